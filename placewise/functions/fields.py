@@ -16,12 +16,12 @@ def has_place() -> Column:
 
 def place_name() -> Column:
     """Full name of the first place; null for an empty list."""
-    return F.try_element_at(F.col(PLACES), F.lit(1))["full_name"]
+    return F.get(F.col(PLACES), F.lit(0))["full_name"]
 
 
 def user_field(name: str) -> Column:
     """A field of the first user; null without users."""
-    return F.try_element_at(F.col(USERS), F.lit(1))[name]
+    return F.get(F.col(USERS), F.lit(0))[name]
 
 
 def user_locations() -> Column:
