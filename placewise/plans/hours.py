@@ -16,19 +16,26 @@ from placewise.functions.times import hour_of_day
 from placewise.operators.counting import count_by, ranked, top_k
 
 
+def _hours(posts: DataFrame, tz: str | None, **columns: Column) -> DataFrame:
+    """Hour, place flag and what else is counted, each worked out once per post."""
+    return posts.select(hour_of_day(tz=tz).alias(names.HOUR), fields.has_place().alias("placed"),
+                        *(column.alias(name) for name, column in columns.items()))
+
+
 def hourly_counts(posts: DataFrame, tz: str | None = "UTC") -> DataFrame:
     """Posts without and with a place per hour, every hour. Works on streams."""
-    return posts.groupBy(hour_of_day(tz=tz).alias(names.HOUR)).agg(
-        F.count_if(~fields.has_place()).alias(names.WITHOUT_ADDRESS),
-        F.count_if(fields.has_place()).alias(names.WITH_ADDRESS))
+    return _hours(posts, tz).groupBy(names.HOUR).agg(
+        F.count_if(~F.col("placed")).alias(names.WITHOUT_ADDRESS),
+        F.count_if("placed").alias(names.WITH_ADDRESS))
 
 
 def _on_all_sides(hours: DataFrame, *counts: str) -> DataFrame:
-    """What an inner join of the single counts keeps: known hours found in all of them."""
-    keep = F.col(names.HOUR).isNotNull()
-    for count in counts:
-        keep = keep & (F.col(count) > 0)
-    return hours.filter(keep)
+    """What an inner join of the single counts keeps: known hours found in all of them.
+
+    One condition for both: a test of the hour alone would be pushed below the aggregate
+    and read the time stamp of every post a second time.
+    """
+    return hours.filter(F.when(F.col(names.HOUR).isNotNull(), F.least(*counts)) > 0)
 
 
 def hourly_geo(posts: DataFrame, tz: str | None = "UTC") -> DataFrame:
@@ -57,8 +64,7 @@ def positive_counts(posts: DataFrame, tz: str | None = "UTC", positive: Column |
     ``positive`` replaces the keyword test of the text where it is already at hand.
     """
     positive = has_keyword() if positive is None else positive
-    return (posts.select(hour_of_day(tz=tz).alias(names.HOUR), fields.has_place().alias("placed"),
-                         positive.alias("positive"))
+    return (_hours(posts, tz, positive=positive)
             .groupBy(names.HOUR).agg(
                 F.count_if("placed").alias(names.WITH_ADDRESS),
                 F.count_if(F.col("placed") & F.col("positive")).alias(names.POSITIVE_WITH),
