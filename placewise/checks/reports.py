@@ -39,47 +39,47 @@ def as_json(df: DataFrame, *columns: str) -> DataFrame:
 
 @report
 def place_text(spark, sf_dir):
-    return feeds.place_text(tables.posts(spark, sf_dir, author=False))
+    return feeds.place_text(tables.posts(spark, sf_dir, "text", "place"))
 
 
 @report
 def text_feed(spark, sf_dir):
-    return feeds.text_feed(tables.posts(spark, sf_dir, author=False))
+    return feeds.text_feed(tables.posts(spark, sf_dir, "text"))
 
 
 @report
 def geo_feed(spark, sf_dir):
-    return as_json(feeds.geo_feed(tables.posts(spark, sf_dir, text=False, author=False)), names.PLACE)
+    return as_json(feeds.geo_feed(tables.posts(spark, sf_dir, "place")), names.PLACE)
 
 
 @report
 def author_feed(spark, sf_dir):
-    return as_json(feeds.author_feed(tables.posts(spark, sf_dir)), names.LOCATION, "Name")
+    return as_json(feeds.author_feed(tables.posts(spark, sf_dir, "text", "author")), names.LOCATION, "Name")
 
 
 @report
 def by_location(spark, sf_dir):
-    return as_json(locations.by_location(tables.posts(spark, sf_dir, text=False)), names.LOCATION)
+    return as_json(locations.by_location(tables.posts(spark, sf_dir, "author")), names.LOCATION)
 
 
 @report
 def by_each_location(spark, sf_dir):
-    return locations.by_location(tables.posts(spark, sf_dir, text=False), each_user=True)
+    return locations.by_location(tables.posts(spark, sf_dir, "author"), each_user=True)
 
 
 @report
 def device_share(spark, sf_dir):
-    return devices.device_share(tables.posts(spark, sf_dir, text=False, author=False))
+    return devices.device_share(tables.posts(spark, sf_dir))
 
 
 @report
 def gender_share(spark, sf_dir):
-    return genders.gender_share(tables.posts(spark, sf_dir, text=False), tables.lookup(spark, sf_dir))
+    return genders.gender_share(tables.posts(spark, sf_dir, "author"), tables.lookup(spark, sf_dir))
 
 
 @report
 def enriched_genders(spark, sf_dir):
-    return enrich_gender(tables.posts(spark, sf_dir, text=False), tables.lookup(spark, sf_dir))
+    return enrich_gender(tables.posts(spark, sf_dir, "author"), tables.lookup(spark, sf_dir))
 
 
 @report
@@ -92,64 +92,64 @@ def record_share(spark, sf_dir):
 
 @report
 def hourly_geo(spark, sf_dir):
-    return hours.hourly_geo(tables.posts(spark, sf_dir, text=False, author=False))
+    return hours.hourly_geo(tables.posts(spark, sf_dir))
 
 
 @report
 def hourly_geo_tz(spark, sf_dir):
-    return hours.hourly_geo(tables.posts(spark, sf_dir, text=False, author=False), tz="America/New_York")
+    return hours.hourly_geo(tables.posts(spark, sf_dir), tz="America/New_York")
 
 
 @report
 def hourly_geo_join(spark, sf_dir):
-    return hours.hourly_geo_join(tables.posts(spark, sf_dir, text=False, author=False))
+    return hours.hourly_geo_join(tables.posts(spark, sf_dir))
 
 
 @report
 def top_hours(spark, sf_dir):
-    return hours.top_hours(tables.posts(spark, sf_dir, text=False, author=False))
+    return hours.top_hours(tables.posts(spark, sf_dir))
 
 
 @report
 def positive_hourly(spark, sf_dir):
-    posts = tables.posts(spark, sf_dir, text=False, author=False, positive=True)
+    posts = tables.posts(spark, sf_dir, "positive")
     return hours.positive_hourly(posts, positive=F.col("positive"))
 
 
 @report
 def place_vs_profile(spark, sf_dir):
-    posts = tables.posts(spark, sf_dir, text=False)
+    posts = tables.posts(spark, sf_dir, "author", "place")
     return locations.place_vs_profile_counts(posts, posts)
 
 
 @report
 def place_vs_profile_rows(spark, sf_dir):
     """The join row by row. The text goes into it as a digest of the whole text."""
-    placed = tables.posts(spark, sf_dir, text=False, author=False)
-    profiled = tables.posts(spark, sf_dir)
+    placed = tables.posts(spark, sf_dir, "place")
+    profiled = tables.posts(spark, sf_dir, "text", "author", "place")
     profiled = profiled.withColumn("data", F.col("data").withField("text", F.md5("data.text")))
     return as_json(locations.place_vs_profile(placed, profiled), names.POST_LOCATION, names.USER_LOCATION)
 
 
 @report
 def location_match(spark, sf_dir):
-    posts = tables.posts(spark, sf_dir, text=False)
+    posts = tables.posts(spark, sf_dir, "author", "place")
     return locations.location_match(posts, posts)
 
 
 @report
 def share_by_region(spark, sf_dir):
-    return locations.share_by_region(tables.posts(spark, sf_dir, text=False), tables.regions(spark, sf_dir))
+    return locations.share_by_region(tables.posts(spark, sf_dir, "author"), tables.regions(spark, sf_dir))
 
 
 @report
 def top_handles(spark, sf_dir):
-    return handles.top_handles(tables.posts(spark, sf_dir, author=False))
+    return handles.top_handles(tables.posts(spark, sf_dir, "text"))
 
 
 @report
 def every_handle(spark, sf_dir):
-    return handles.top_handles(tables.posts(spark, sf_dir, author=False), every=True)
+    return handles.top_handles(tables.posts(spark, sf_dir, "text"), every=True)
 
 
 def _landed(posts: DataFrame) -> DataFrame:
@@ -162,14 +162,14 @@ def _landed(posts: DataFrame) -> DataFrame:
 def landed_posts(spark, sf_dir):
     """Lands the posts as JSON files and reads them back."""
     out = work_folder(spark, "posts")
-    land_posts(tables.posts(spark, sf_dir), out)
+    land_posts(tables.posts(spark, sf_dir, "text", "author", "place"), out)
     return _landed(read_posts(spark, out))
 
 
 # ---- streams: each handles what is there and returns the table it left ----
 
-def _stream(spark: SparkSession, sf_dir: str, **parts: bool) -> DataFrame:
-    return tables.posts(spark, sf_dir, events=tables.stream_events(spark, sf_dir), **parts)
+def _stream(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
+    return tables.posts(spark, sf_dir, *parts, events=tables.stream_events(spark, sf_dir))
 
 
 def _finish(query: StreamingQuery) -> None:
@@ -192,29 +192,29 @@ def _replaced(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 
 @report
 def stream_place_text(spark, sf_dir):
-    return _appended(spark, "place_text", feeds.place_text(_stream(spark, sf_dir, author=False)))
+    return _appended(spark, "place_text", feeds.place_text(_stream(spark, sf_dir, "text", "place")))
 
 
 @report
 def stream_text_feed(spark, sf_dir):
-    return _appended(spark, "text_feed", feeds.text_feed(_stream(spark, sf_dir, author=False)))
+    return _appended(spark, "text_feed", feeds.text_feed(_stream(spark, sf_dir, "text")))
 
 
 @report
 def stream_geo_feed(spark, sf_dir):
-    feed = feeds.geo_feed(_stream(spark, sf_dir, text=False, author=False))
+    feed = feeds.geo_feed(_stream(spark, sf_dir, "place"))
     return as_json(_appended(spark, "geo_feed", feed), names.PLACE)
 
 
 @report
 def stream_device(spark, sf_dir):
-    return _replaced(spark, "device", devices.count_by_device(_stream(spark, sf_dir, text=False, author=False)))
+    return _replaced(spark, "device", devices.count_by_device(_stream(spark, sf_dir)))
 
 
 @report
 def stream_device_share(spark, sf_dir):
     out = work_folder(spark, "device_share")
-    posts = _stream(spark, sf_dir, text=False, author=False)
+    posts = _stream(spark, sf_dir)
     _finish(live.live_device_share(posts, f"{out}/result", f"{out}/checkpoint"))
     schema = f"source string, {names.BY_DEVICE} bigint, {names.RATIO} double"
     return latest(spark, f"{out}/result", schema)
@@ -222,7 +222,7 @@ def stream_device_share(spark, sf_dir):
 
 def _stream_genders(spark: SparkSession, sf_dir: str) -> str:
     out = work_folder(spark, "gender")
-    posts = _stream(spark, sf_dir, text=False)
+    posts = _stream(spark, sf_dir, "author")
     _finish(live.land_genders(posts, tables.lookup(spark, sf_dir), f"{out}/rows", f"{out}/checkpoint"))
     return f"{out}/rows"
 
@@ -249,37 +249,37 @@ def stream_gender_share(spark, sf_dir):
 
 @report
 def stream_by_location(spark, sf_dir):
-    counts = locations.by_location(_stream(spark, sf_dir, text=False))
+    counts = locations.by_location(_stream(spark, sf_dir, "author"))
     return as_json(_replaced(spark, "location", counts), names.LOCATION)
 
 
 @report
 def stream_hourly(spark, sf_dir):
-    return _replaced(spark, "hourly", hours.hourly_counts(_stream(spark, sf_dir, text=False, author=False)))
+    return _replaced(spark, "hourly", hours.hourly_counts(_stream(spark, sf_dir)))
 
 
 @report
 def stream_positive(spark, sf_dir):
-    posts = _stream(spark, sf_dir, text=False, author=False, positive=True)
+    posts = _stream(spark, sf_dir, "positive")
     return _replaced(spark, "positive", hours.positive_counts(posts, positive=F.col("positive")))
 
 
 @report
 def stream_handles(spark, sf_dir):
-    return _replaced(spark, "handles", handles.top_handles(_stream(spark, sf_dir, author=False)))
+    return _replaced(spark, "handles", handles.top_handles(_stream(spark, sf_dir, "text")))
 
 
 @report
 def stream_landed_posts(spark, sf_dir):
     out = work_folder(spark, "posts")
-    _finish(land_stream(_stream(spark, sf_dir), f"{out}/posts", f"{out}/checkpoint"))
+    _finish(land_stream(_stream(spark, sf_dir, "text", "author", "place"), f"{out}/posts", f"{out}/checkpoint"))
     return _landed(read_posts(spark, f"{out}/posts"))
 
 
 @report
 def stream_windowed_device(spark, sf_dir):
     """Devices per day with bounded state: the days that are closed behind the watermark."""
-    posts = _stream(spark, sf_dir, text=False, author=False)
+    posts = _stream(spark, sf_dir)
     counts = live.windowed_count(posts, F.col("data.source"), watermark="1 hour", window="1 day", name="n")
     counts = counts.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "source", "n")
     return _appended(spark, "windowed", counts)

@@ -22,6 +22,6 @@ def last_handle(text: Column | str = "data.text") -> Column:
 
 
 def all_handles(text: Column | str = "data.text") -> Column:
-    """Every handle of the text, as an array with repeats."""
+    """Every handle of the text, as an array with repeats; null for a text without the sign."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(text, F.lit(ANY_HANDLE), F.lit(0))
+    return F.when(text.contains("@"), F.regexp_extract_all(text, F.lit(ANY_HANDLE), F.lit(0)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,4 +62,11 @@ def has_keyword(text: Column | str = "data.text", words: Iterable[str] = POSITIV
     By default case counts and words may be parts of others (``fun`` in ``funeral``).
     """
     text = F.col(text) if isinstance(text, str) else text
-    return text.rlike(keyword_pattern(words, ignore_case, whole_word))
+    words = list(words)
+    plain = [word for word in words if word.isascii()]
+    if ignore_case or whole_word or not plain:
+        return text.rlike(keyword_pattern(words, ignore_case, whole_word))
+    # A byte search for each of the few signs leaves the pattern without surrogate pairs,
+    # which slow the matcher at every character.
+    signs = [text.contains(word) for word in words if not word.isascii()]
+    return reduce(Column.__or__, signs, text.rlike(keyword_pattern(plain)))

@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 from placewise.functions.keywords import has_keyword
 from placewise.sources.schemas import USERS
 
-EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stream_events(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """The events as a stream; one file or a folder of them."""
-    reader = spark.readStream.schema(EVENTS)
+    reader = spark.readStream.schema(SCHEMAS["events"])
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(f"{sf_dir}/[e]vents.parquet")
@@ -43,24 +49,28 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("n_name").alias("location"), F.col("r_name").alias("attribute")))
 
 
-def posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None,
-          text: bool = True, author: bool = True, positive: bool = False) -> DataFrame:
+def posts(spark: SparkSession, sf_dir: str, *parts: str, events: DataFrame | None = None) -> DataFrame:
     """The posts of the test tables; ``events`` may be a stream.
 
-    Left joins on unique keys keep every event once, so a report that needs no text or
-    no author leaves the join out and gets the same rows with nulls there. ``positive``
-    adds the keyword flag of the text as a column: it is worked out once per document,
-    before the join, which then carries a flag instead of the text. The prefix of
-    repeated posts holds no keyword and ends in a space, so it does not change the flag.
+    ``parts`` says what a report needs beyond id, author id, time, source and whether
+    there is a place: ``text``, ``author``, ``place`` (its name), ``positive``. Each is
+    a left join on a unique key, which keeps every event once; so a report that leaves
+    a part out gets the same rows with nulls there, and no join.
+
+    ``positive`` is the keyword flag of the text as a column of its own: it is worked
+    out once per document, before the join, which then carries a flag instead of the
+    text. The prefix of repeated posts holds no keyword and ends in a space, so it does
+    not change the flag.
     """
+    text, author, place, positive = (part in parts for part in ("text", "author", "place", "positive"))
     events = table(spark, sf_dir, "events") if events is None else events
     k = F.get_json_object("props", "$.k").cast("int")
     df = events.select("event_id", "ts", "user_id", "event_type", k.alias("k"))
 
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    place = nation.select(F.col("n_nationkey").alias("place_key"), F.col("n_name").alias("place"))
-    df = df.join(place, F.col("place_key") == F.col("k") % 25, "left")
-
+    if place:
+        there = nation.select(F.col("n_nationkey").alias("place_key"), F.col("n_name").alias("place_name"))
+        df = df.join(there, F.col("place_key") == F.col("k") % 25, "left")
     if text or positive:
         documents = table(spark, sf_dir, "documents")
         count = documents.count()  # a literal keeps the join an equi-join
@@ -84,8 +94,9 @@ def posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None,
     if author:
         users = F.array(F.struct(user_id.alias("id"), F.col("c_name").alias("name"),
                                  F.col("c_name").alias("username"), F.col("location").alias("location")))
+    full_name, place_id = (F.col("place_name"), F.col("place_key")) if place else (F.lit(None), F.lit(None))
     places = F.when(F.col("k") % 3 == 0, F.array(F.struct(
-        F.col("place").alias("full_name"), F.col("place_key").cast("string").alias("id"))))
+        full_name.cast("string").alias("full_name"), place_id.cast("string").alias("id"))))
     data = F.struct(F.col("event_id").cast("string").alias("id"), body.alias("text"), user_id.alias("author_id"),
                     stamp.alias("created_at"), F.col("event_type").alias("source"))
     includes = F.struct(places.alias("places"), users.alias("users"))
