@@ -21,7 +21,7 @@ from placewise.sources import tables
 from placewise.sources.landing import land_posts, land_stream
 from placewise.sources.posts import read_gender_records, read_posts, stream_gender_records
 from placewise.streaming import reports as live
-from placewise.streaming.sinks import append_files, latest, replace_table
+from placewise.streaming.sinks import FEW_KEYS, append_files, latest, replace_table
 
 REPORTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -126,7 +126,7 @@ def place_vs_profile(spark, sf_dir):
 def place_vs_profile_rows(spark, sf_dir):
     """The join row by row. The text goes into it as a digest of the whole text."""
     placed = tables.posts(spark, sf_dir, "place")
-    profiled = tables.posts(spark, sf_dir, "text", "author", "place")
+    profiled = tables.posts(spark, sf_dir, "text", "author")
     profiled = profiled.withColumn("data", F.col("data").withField("text", F.md5("data.text")))
     return as_json(locations.place_vs_profile(placed, profiled), names.POST_LOCATION, names.USER_LOCATION)
 
@@ -184,9 +184,9 @@ def _appended(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{out}/rows")
 
 
-def _replaced(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+def _replaced(spark: SparkSession, name: str, df: DataFrame, state_partitions: int | None = FEW_KEYS) -> DataFrame:
     out = work_folder(spark, name)
-    _finish(replace_table(df, f"{out}/result", f"{out}/checkpoint"))
+    _finish(replace_table(df, f"{out}/result", f"{out}/checkpoint", state_partitions=state_partitions))
     return latest(spark, f"{out}/result", df.schema)
 
 
@@ -250,7 +250,7 @@ def stream_gender_share(spark, sf_dir):
 @report
 def stream_by_location(spark, sf_dir):
     counts = locations.by_location(_stream(spark, sf_dir, "author"))
-    return as_json(_replaced(spark, "location", counts), names.LOCATION)
+    return as_json(_replaced(spark, "location", counts, None), names.LOCATION)
 
 
 @report
@@ -266,7 +266,7 @@ def stream_positive(spark, sf_dir):
 
 @report
 def stream_handles(spark, sf_dir):
-    return _replaced(spark, "handles", handles.top_handles(_stream(spark, sf_dir, "text")))
+    return _replaced(spark, "handles", handles.top_handles(_stream(spark, sf_dir, "text")), None)
 
 
 @report
@@ -281,5 +281,6 @@ def stream_windowed_device(spark, sf_dir):
     """Devices per day with bounded state: the days that are closed behind the watermark."""
     posts = _stream(spark, sf_dir)
     counts = live.windowed_count(posts, F.col("data.source"), watermark="1 hour", window="1 day", name="n")
-    counts = counts.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "source", "n")
+    day = F.floor(F.unix_seconds("window.start") / 86400).cast("int")
+    counts = counts.select(F.date_from_unix_date(day).cast("string").alias("day"), "source", "n")
     return _appended(spark, "windowed", counts)

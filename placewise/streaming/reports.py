@@ -17,7 +17,7 @@ from placewise.operators.counting import share_of_total
 from placewise.operators.enriching import enrich_gender
 from placewise.plans.devices import count_by_device
 from placewise.plans.genders import count_records_by_gender
-from placewise.streaming.sinks import append_files, replace_table
+from placewise.streaming.sinks import FEW_KEYS, append_files, replace_table
 
 
 def land_genders(posts: DataFrame, lookup: DataFrame, out: str, checkpoint: str,
@@ -32,13 +32,13 @@ def land_genders(posts: DataFrame, lookup: DataFrame, out: str, checkpoint: str,
 def live_device_share(posts: DataFrame, out: str, checkpoint: str, **run) -> StreamingQuery:
     """``device_share`` kept up to date."""
     share = partial(share_of_total, count=names.BY_DEVICE, name=names.RATIO)
-    return replace_table(count_by_device(posts), out, checkpoint, finish=share, **run)
+    return replace_table(count_by_device(posts), out, checkpoint, share, FEW_KEYS, **run)
 
 
 def live_record_share(records: DataFrame, out: str, checkpoint: str, **run) -> StreamingQuery:
     """``record_share`` kept up to date."""
     share = partial(share_of_total, count=names.BY_GENDER, name=names.RATIO)
-    return replace_table(count_records_by_gender(records), out, checkpoint, finish=share, **run)
+    return replace_table(count_records_by_gender(records), out, checkpoint, share, FEW_KEYS, **run)
 
 
 def windowed_count(posts: DataFrame, key: Column, watermark: str, window: str, name: str = "count") -> DataFrame:

@@ -6,7 +6,8 @@ All sinks are started with a checkpoint and go on where they stopped. With
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,27 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
+# Counts over a handful of keys, such as hours, devices or genders, need no more state
+# partitions than this; each partition writes files in every batch.
+FEW_KEYS = 8
+
+# Batches per part of the log of ``replace_table``, of which two are kept.
+LOG_LENGTH = 100
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """A stream takes over the session's shuffle partitions when it starts."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        if number:
+            spark.conf.set(key, number)
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _start(writer: DataStreamWriter, checkpoint: str | None, available_now: bool,
            every: str | None) -> StreamingQuery:
     if checkpoint:
@@ -33,7 +55,7 @@ def append_files(df: DataFrame, out: str, checkpoint: str, format: str = "parque
 
 
 def replace_table(df: DataFrame, out: str, checkpoint: str,
-                  finish: Callable[[DataFrame], DataFrame] | None = None,
+                  finish: Callable[[DataFrame], DataFrame] | None = None, state_partitions: int | None = None,
                   available_now: bool = True, every: str | None = None) -> StreamingQuery:
     """Keep the full result of a running aggregate as a table; read it with ``latest``.
 
@@ -41,6 +63,9 @@ def replace_table(df: DataFrame, out: str, checkpoint: str,
     log, so readers always find a finished table and storage stays bounded. A batch that
     is run again writes the same folder again. ``finish`` is applied to the written
     table: it may use what streams cannot do, such as a share of the total.
+
+    The number of ``state_partitions`` is the session's shuffle partitions by default;
+    it is fixed by the first run of a checkpoint.
     """
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -49,14 +74,23 @@ def replace_table(df: DataFrame, out: str, checkpoint: str,
         batch.write.mode("overwrite").parquet(counts)
         if finish:
             finish(spark.read.schema(batch.schema).parquet(counts)).write.mode("overwrite").parquet(f"{folder}/table")
-        spark.range(1).select(F.lit(number).cast("long").alias("batch")).write.mode("append").parquet(f"{out}/log")
+        _log(spark, out, number)
+
+    writer = df.writeStream.outputMode("complete").foreachBatch(write)
+    with _state_partitions(df.sparkSession, state_partitions):
+        return _start(writer, checkpoint, available_now, every)
+
 
-    return _start(df.writeStream.outputMode("complete").foreachBatch(write), checkpoint, available_now, every)
+def _log(spark: SparkSession, out: str, number: int) -> None:
+    """Note a finished batch. A part of the log is begun anew when its turn comes again."""
+    mode = "append" if number % LOG_LENGTH else "overwrite"
+    row = spark.range(0, 1, 1, 1).select(F.lit(number).cast("long").alias("batch"))
+    row.write.mode(mode).parquet(f"{out}/log/part={number // LOG_LENGTH % 2}")
 
 
-def latest(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+def latest(spark: SparkSession, out: str, schema: T.StructType | str) -> DataFrame:
     """The table that the last finished batch of ``replace_table`` left."""
-    number = spark.read.parquet(f"{out}/log").agg(F.max("batch")).first()[0]
+    number = spark.read.schema("batch long").parquet(f"{out}/log").agg(F.max("batch")).first()[0]
     return spark.read.schema(schema).parquet(f"{out}/turn={number % 2}/table")
 
 

@@ -7,6 +7,7 @@ from conftest import TRAPS, write_lines
 from placewise.plans import devices, feeds, genders, handles, hours, locations
 from placewise.sources.posts import read_gender_records, read_posts, stream_gender_records, stream_posts
 from placewise.streaming import reports as live
+from placewise.streaming import sinks
 from placewise.streaming.sinks import append_files, latest, replace_table, to_console
 
 PARTS = (TRAPS[:4], TRAPS[4:8], TRAPS[8:])
@@ -102,6 +103,29 @@ def test_windowed_count_gives_closed_windows_only(spark, landing, tmp_path):
     assert sorted(map(tuple, got)) == [(10, "phone", 1), (10, "web", 9)]  # 23 h is still open
 
 
+def test_the_log_stays_short_and_names_the_last_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "LOG_LENGTH", 3)
+    out = tmp_path / "out"
+    for turn in (0, 1):
+        spark.range(1).select(F.lit(turn).alias("turn")).write.parquet(f"{out}/turn={turn}/table")
+    for number in range(11):
+        sinks._log(spark, str(out), number)
+        if number % 4 == 0:
+            sinks._log(spark, str(out), number)  # run again
+        assert latest(spark, str(out), "turn int").first()[0] == number % 2
+    assert len(list((out / "log").glob("*/*.parquet"))) <= 2 * 4 + 2
+
+
+def test_state_partitions_leave_the_session_alone(spark, landing, tmp_path):
+    landing(0)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    query = replace_table(devices.count_by_device(stream_posts(spark, landing.path)), str(tmp_path / "out"),
+                          str(tmp_path / "cp"), state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    query.awaitTermination(120)
+    assert len([p for p in (tmp_path / "cp" / "state" / "0").iterdir() if p.name.isdigit()]) == 3
+
+
 def test_console(spark, landing, capfd):
     landing(0)
     posts = stream_posts(spark, landing.path)
