@@ -21,7 +21,7 @@ def _heavy(df: DataFrame, key: str, name: str, cell_rows: int, max_heavy: int) -
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, left_row: Column, right_row: Column,
-                cell_rows: int = 100_000, max_heavy: int = 10_000) -> DataFrame:
+                cell_rows: int = 10_000, max_heavy: int = 100_000) -> DataFrame:
     """Inner equi-join on ``key`` in which no task meets all rows of a heavy key.
 
     The rows of a heavy key are cut into cells on either side and each pair of cells is
