@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 # Fixed value: the whole text must match; greedy, so the last handle before white space.
 LAST_HANDLE = r"\A.*(@\w+)\s+.*\z"
+
+# The same in linear time: LAST_HANDLE tries the rest of the line again for each handle of
+# a text with line ends. Either the text is one line, or all its line ends lie in the white
+# space right after the handle.
+_LAST_HANDLE = r"\A(?:(?=.*+\z).*(?=@\w+\s)|.*(?=@\w+[ \t\x0B\f]*+[\n\r]\s*+.*+\z))(@\w+)"
+
 ANY_HANDLE = r"@\w+"
 
 
@@ -18,7 +24,7 @@ def last_handle(text: Column | str = "data.text") -> Column:
     """
     text = F.col(text) if isinstance(text, str) else text
     # Looking for the sign first spares most texts the backtracking pattern.
-    return F.when(text.contains("@"), F.nullif(F.regexp_extract(text, LAST_HANDLE, 1), F.lit("")))
+    return F.when(text.contains("@"), F.nullif(F.regexp_extract(text, _LAST_HANDLE, 1), F.lit("")))
 
 
 def all_handles(text: Column | str = "data.text") -> Column:

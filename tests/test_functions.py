@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import as_dict
 from placewise.functions import fields
-from placewise.functions.handles import all_handles, last_handle
+from placewise.functions.handles import LAST_HANDLE, all_handles, last_handle
 from placewise.functions.keywords import POSITIVE_WORDS, has_keyword, keyword_pattern
 from placewise.functions.times import hour_of_day
 
@@ -62,6 +64,25 @@ def test_handles(traps):
     assert by_id(traps, all_handles())["6"] == ["@ann", "@bob"]
 
 
+def test_last_handle_is_the_fixed_pattern(spark):
+    rng = random.Random(7)
+    signs = ["@", "@", "a", "b_", "é", " ", " ", "\t", "\x0b", "\n", "\r", "\u2028", "\x85", "."]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 12))) for _ in range(20_000)]
+    texts += ["".join(rng.choices(signs[:8] + ["\n"], k=rng.randint(0, 40))) for _ in range(5_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.regexp_extract("t", LAST_HANDLE, 1)
+    differ = df.filter(F.coalesce(last_handle("t"), F.lit("")) != plain)
+    assert differ.count() == 0 and df.filter(plain != "").count() > 300
+
+
+def test_last_handle_of_a_long_list_of_handles(spark):
+    text = "@ann " * 100_000 + "\n" + "tail"
+    df = spark.createDataFrame([(text,), (text + "\nmore",), ("@ann " * 100_000 + "@bob\n",)], "t string")
+    start = time.time()
+    assert [r[0] for r in df.select(last_handle("t")).collect()] == ["@ann", None, "@bob"]
+    assert time.time() - start < 20
+
+
 def test_the_word_list():
     assert len(POSITIVE_WORDS) == len(set(POSITIVE_WORDS)) == 126
 
