@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from placewise.jobs import JOBS
+from placewise.operators.counting import ranked
 from placewise.session import build_session
-from placewise.sources.posts import read_posts, stream_posts
+from placewise.sources.posts import read_gender_records, read_posts, stream_gender_records, stream_posts
 from placewise.streaming.sinks import append_files, replace_table, to_console
 
 LOOKUP = "username string, gender string, probability long"
@@ -25,7 +26,7 @@ REGIONS = "location string, attribute string"
 def parse(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="placewise", description=__doc__.splitlines()[0])
     parser.add_argument("report", choices=sorted(JOBS))
-    parser.add_argument("--posts", required=True, help="directory of landed posts")
+    parser.add_argument("--posts", required=True, help="directory of landed posts (of gender records for record_share)")
     parser.add_argument("--profiles", help="directory of posts with profile locations; default: the posts")
     parser.add_argument("--lookup", help=f"directory of JSON lines: {LOOKUP}")
     parser.add_argument("--regions", help=f"directory of JSON lines: {REGIONS}")
@@ -35,6 +36,7 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--rows", type=int, default=20, help="rows to print")
     parser.add_argument("--live", action="store_true", help="keep the report up to date")
     parser.add_argument("--every", help="pause between live batches; default: handle what has landed and end")
+    parser.add_argument("--max-files", type=int, help="landed files per live batch; default: all there are")
     parser.add_argument("--checkpoint", help="directory for the state of a live report")
     args = parser.parse_args(argv)
     job = JOBS[args.report]
@@ -48,16 +50,25 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     return args
 
 
-def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    job = JOBS[args.report]
-    inputs = [read_posts(spark, args.posts, *job.fields, format=args.format)]
+def tables(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
+    """The further inputs of the report."""
+    job, inputs = JOBS[args.report], []
     if "profiles" in job.needs:
         inputs.append(read_posts(spark, args.profiles or args.posts, *job.fields, format=args.format))
     if "lookup" in job.needs:
         inputs.append(spark.read.schema(LOOKUP).json(args.lookup))
     if "regions" in job.needs:
         inputs.append(spark.read.schema(REGIONS).json(args.regions))
-    result = job.batch(*inputs, **({"tz": args.tz} if job.zoned else {}))
+    return inputs
+
+
+def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
+    job = JOBS[args.report]
+    if job.reads == "records":
+        first = read_gender_records(spark, args.posts)
+    else:
+        first = read_posts(spark, args.posts, *job.fields, format=args.format)
+    result = job.batch(first, *tables(spark, args), **({"tz": args.tz} if job.zoned else {}))
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
     else:
@@ -66,15 +77,19 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
     job = JOBS[args.report]
-    posts = stream_posts(spark, args.posts, *job.fields, format=args.format)
-    rows = job.live(posts, **({"tz": args.tz} if job.zoned else {}))
+    if job.reads == "records":
+        first = stream_gender_records(spark, args.posts, args.max_files)
+    else:
+        first = stream_posts(spark, args.posts, *job.fields, format=args.format, max_files=args.max_files)
+    rows = job.live(first, *tables(spark, args), **({"tz": args.tz} if job.zoned else {}))
     run = {"available_now": not args.every, "every": args.every}
     if not args.out:
+        rows = ranked(rows, *job.rank) if job.rank else rows
         query = to_console(rows, "append" if job.appends else "complete", args.checkpoint, **run)
     elif job.appends:
-        query = append_files(rows, args.out, args.checkpoint, **run)
+        query = append_files(rows, args.out, args.checkpoint, job.appends, **run)
     else:
-        query = replace_table(rows, args.out, args.checkpoint, job.finish(), **run)
+        query = replace_table(rows, args.out, args.checkpoint, job.finish(), job.state_partitions, **run)
     query.awaitTermination()
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from placewise import names
 from placewise.functions import fields
+from placewise.operators.counting import ranked
 from placewise.operators.enriching import enrich_gender
 from placewise.plans import devices, feeds, genders, handles, hours, locations
 from placewise.session import work_folder
@@ -184,9 +185,11 @@ def _appended(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{out}/rows")
 
 
-def _replaced(spark: SparkSession, name: str, df: DataFrame, state_partitions: int | None = FEW_KEYS) -> DataFrame:
+def _replaced(spark: SparkSession, name: str, df: DataFrame, rank: tuple[str, ...] = (),
+              state_partitions: int | None = FEW_KEYS) -> DataFrame:
     out = work_folder(spark, name)
-    _finish(replace_table(df, f"{out}/result", f"{out}/checkpoint", state_partitions=state_partitions))
+    finish = (lambda counts: ranked(counts, *rank)) if rank else None
+    _finish(replace_table(df, f"{out}/result", f"{out}/checkpoint", finish, state_partitions))
     return latest(spark, f"{out}/result", df.schema)
 
 
@@ -249,8 +252,9 @@ def stream_gender_share(spark, sf_dir):
 
 @report
 def stream_by_location(spark, sf_dir):
-    counts = locations.by_location(_stream(spark, sf_dir, "author"))
-    return as_json(_replaced(spark, "location", counts, None), names.LOCATION)
+    counts = locations.count_by_location(_stream(spark, sf_dir, "author"))
+    rank = (names.BY_LOCATION, names.LOCATION)
+    return as_json(_replaced(spark, "location", counts, rank, None), names.LOCATION)
 
 
 @report
@@ -266,7 +270,8 @@ def stream_positive(spark, sf_dir):
 
 @report
 def stream_handles(spark, sf_dir):
-    return _replaced(spark, "handles", handles.top_handles(_stream(spark, sf_dir, "text")), None)
+    counts = handles.count_handles(_stream(spark, sf_dir, "text"))
+    return _replaced(spark, "handles", counts, ("count", "value"), None)
 
 
 @report

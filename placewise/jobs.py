@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from placewise import names
-from placewise.operators.counting import share_of_total
+from placewise.operators.counting import ranked, share_of_total
+from placewise.operators.enriching import enrich_gender
 from placewise.plans import devices, feeds, genders, handles, hours, locations
+from placewise.streaming.sinks import FEW_KEYS
 
 PLACES = "includes.places"
 LOCATIONS = "includes.users.location"
@@ -17,24 +20,32 @@ LOCATIONS = "includes.users.location"
 
 @dataclass(frozen=True)
 class Job:
-    """``batch`` makes the report. ``live`` is its form for streams: rows to append, or a
-    running count whose full result is kept; then ``ratio`` names the count to take shares of.
+    """A report and its live form.
+
+    ``live`` gives rows to append, or a running count whose full result is kept. A count
+    may then be given shares of the total (``ratio``, which streams cannot work out) or
+    an order (``rank``); both are done on the kept table.
     """
 
     fields: tuple[str, ...]
     batch: Callable[..., DataFrame]
     live: Callable[..., DataFrame] | None = None
-    appends: bool = False
-    ratio: str | None = None
+    reads: str = "posts"  # or records: landed answers of a name service
     needs: tuple[str, ...] = ()  # further inputs: profiles, lookup, regions
     zoned: bool = False  # takes a time zone
+    appends: str | None = None  # file format of appended rows
+    ratio: str | None = None
+    rank: tuple[str, ...] = ()
+    state_partitions: int | None = None
 
     def finish(self) -> Callable[[DataFrame], DataFrame] | None:
-        return (lambda counts: share_of_total(counts, self.ratio, names.RATIO)) if self.ratio else None
+        if self.ratio:
+            return partial(share_of_total, count=self.ratio, name=names.RATIO)
+        return (lambda counts: ranked(counts, *self.rank)) if self.rank else None
 
 
 def _feed(function: Callable[..., DataFrame], *fields: str) -> Job:
-    return Job(fields, function, function, appends=True)
+    return Job(fields, function, function, appends="parquet")
 
 
 JOBS: dict[str, Job] = {
@@ -42,14 +53,21 @@ JOBS: dict[str, Job] = {
     "text_feed": _feed(feeds.text_feed, "data.text"),
     "geo_feed": _feed(feeds.geo_feed, "data.author_id", "data.created_at", PLACES),
     "author_feed": _feed(feeds.author_feed, "data.text", "data.author_id", "includes.users.name", LOCATIONS),
-    "device_share": Job(("data.source", PLACES), devices.device_share, devices.count_by_device, ratio=names.BY_DEVICE),
+    "device_share": Job(("data.source", PLACES), devices.device_share, devices.count_by_device,
+                        ratio=names.BY_DEVICE, state_partitions=FEW_KEYS),
+    "enriched_genders": Job((PLACES, "includes.users.username"), enrich_gender, enrich_gender,
+                            needs=("lookup",), appends="json"),
+    "record_share": Job((), genders.record_share, genders.count_records_by_gender, reads="records",
+                        ratio=names.BY_GENDER, state_partitions=FEW_KEYS),
     "gender_share": Job((PLACES, "includes.users.username"), genders.gender_share, needs=("lookup",)),
-    "hourly_geo": Job(("data.created_at", PLACES), hours.hourly_geo, hours.hourly_counts, zoned=True),
+    "hourly_geo": Job(("data.created_at", PLACES), hours.hourly_geo, hours.hourly_counts, zoned=True,
+                      rank=(names.WITH_ADDRESS, names.HOUR), state_partitions=FEW_KEYS),
     "top_hours": Job(("data.created_at", PLACES), hours.top_hours, zoned=True),
     "positive_hourly": Job(("data.text", "data.created_at", PLACES), hours.positive_hourly, hours.positive_counts,
-                           zoned=True),
-    "by_location": Job((LOCATIONS,), locations.by_location, locations.by_location),
-    "top_handles": Job(("data.text",), handles.top_handles, handles.top_handles),
+                           zoned=True, rank=(names.POSITIVE_WITH, names.HOUR), state_partitions=FEW_KEYS),
+    "by_location": Job((LOCATIONS,), locations.by_location, locations.count_by_location,
+                       rank=(names.BY_LOCATION, names.LOCATION)),
+    "top_handles": Job(("data.text",), handles.top_handles, handles.count_handles, rank=("count", "value")),
     "place_vs_profile": Job(("data.text", "data.author_id", "data.created_at", PLACES, LOCATIONS),
                             locations.place_vs_profile, needs=("profiles",)),
     "place_vs_profile_counts": Job(("data.author_id", PLACES, LOCATIONS),

@@ -4,7 +4,7 @@ import pytest
 
 from placewise.__main__ import main
 from placewise.jobs import JOBS
-from placewise.sources.posts import read_posts
+from placewise.sources.posts import read_gender_records, read_posts
 from placewise.streaming.sinks import latest
 
 
@@ -18,25 +18,51 @@ def extra(tmp_path_factory):
     return {name: str(folder / name) for name in ("lookup", "regions")}
 
 
+@pytest.fixture(scope="module")
+def records_dir(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("records")
+    rows = [{"q": q, "gender": g} for q, g in (("nell", "female"), ("omar", "male"), ("zz", "null"), ("nell", "female"))]
+    (folder / "rows.json").write_text("\n".join(map(json.dumps, rows)))
+    return str(folder)
+
+
+def inputs(spark, job, traps_dir, records_dir, extra):
+    more = {"profiles": lambda: read_posts(spark, traps_dir), "lookup": lambda: spark.read.json(extra["lookup"]),
+            "regions": lambda: spark.read.json(extra["regions"])}
+    first = read_posts(spark, traps_dir) if job.reads == "posts" else read_gender_records(spark, records_dir)
+    return first, *(more[need]() for need in job.needs)
+
+
+def call(name, traps_dir, records_dir, extra, *more):
+    folder = traps_dir if JOBS[name].reads == "posts" else records_dir
+    return [name, "--posts", folder, "--lookup", extra["lookup"], "--regions", extra["regions"], *more]
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
 @pytest.mark.parametrize("name", JOBS)
-def test_narrow_scan_gives_the_report_of_the_full_one(spark, traps, traps_dir, extra, tmp_path, name):
-    job, out = JOBS[name], str(tmp_path / "out")
-    main([name, "--posts", traps_dir, "--out", out, "--lookup", extra["lookup"], "--regions", extra["regions"]], spark)
-    more = {"profiles": traps, "lookup": spark.read.json(extra["lookup"]), "regions": spark.read.json(extra["regions"])}
-    want = job.batch(traps, *(more[n] for n in job.needs))
+def test_narrow_scan_gives_the_report_of_the_full_one(spark, traps_dir, records_dir, extra, tmp_path, name):
+    out = str(tmp_path / "out")
+    main(call(name, traps_dir, records_dir, extra, "--out", out), spark)
+    want = JOBS[name].batch(*inputs(spark, JOBS[name], traps_dir, records_dir, extra))
     got = spark.read.parquet(out)
-    assert got.columns == want.columns and want.count() > 0
-    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert got.columns == want.columns and want.count() > 0 and rows(got) == rows(want)
 
 
 @pytest.mark.parametrize("name", [n for n in JOBS if JOBS[n].live])
-def test_live_form_ends_like_the_batch(spark, traps_dir, tmp_path, name):
+def test_live_form_ends_like_the_batch(spark, traps_dir, records_dir, extra, tmp_path, name):
     job, out = JOBS[name], str(tmp_path / "out")
-    main([name, "--posts", traps_dir, "--live", "--out", out, "--checkpoint", str(tmp_path / "cp")], spark)
-    posts = read_posts(spark, traps_dir, *job.fields)
-    want = (job.finish() or (lambda df: df))(job.live(posts))
-    got = spark.read.parquet(out) if job.appends else latest(spark, out, want.schema)
-    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    main(call(name, traps_dir, records_dir, extra, "--live", "--out", out, "--checkpoint", str(tmp_path / "cp")), spark)
+    want = job.live(*inputs(spark, job, traps_dir, records_dir, extra))
+    want = job.finish()(want) if job.finish() else want
+    got = spark.read.schema(want.schema).format(job.appends).load(out) if job.appends else latest(spark, out, want.schema)
+    assert rows(got) == rows(want)
+
+
+def test_live_to_the_console_is_ranked(spark, traps_dir, records_dir, extra, capfd):
+    main(call("by_location", traps_dir, records_dir, extra, "--live", "--max-files", "1"), spark)
 
 
 def test_printing(spark, traps_dir, capsys):
