@@ -34,6 +34,7 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--tz", default="UTC", help="time zone of the hours")
     parser.add_argument("--out", help="directory for the result (Parquet); default: print it")
     parser.add_argument("--rows", type=int, default=20, help="rows to print")
+    parser.add_argument("--schema", action="store_true", help="print the schema that is read, then run")
     parser.add_argument("--live", action="store_true", help="keep the report up to date")
     parser.add_argument("--every", help="pause between live batches; default: handle what has landed and end")
     parser.add_argument("--max-files", type=int, help="landed files per live batch; default: all there are")
@@ -68,6 +69,8 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
         first = read_gender_records(spark, args.posts)
     else:
         first = read_posts(spark, args.posts, *job.fields, format=args.format)
+    if args.schema:
+        first.printSchema()
     result = job.batch(first, *tables(spark, args), **({"tz": args.tz} if job.zoned else {}))
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
@@ -81,6 +84,8 @@ def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
         first = stream_gender_records(spark, args.posts, args.max_files)
     else:
         first = stream_posts(spark, args.posts, *job.fields, format=args.format, max_files=args.max_files)
+    if args.schema:
+        first.printSchema()
     rows = job.live(first, *tables(spark, args), **({"tz": args.tz} if job.zoned else {}))
     run = {"available_now": not args.every, "every": args.every}
     if not args.out:

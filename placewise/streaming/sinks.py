@@ -89,7 +89,10 @@ def _log(spark: SparkSession, out: str, number: int) -> None:
 
 
 def latest(spark: SparkSession, out: str, schema: T.StructType | str) -> DataFrame:
-    """The table that the last finished batch of ``replace_table`` left."""
+    """The table that the last finished batch of ``replace_table`` left.
+
+    It stays as it is until the batch after next begins.
+    """
     number = spark.read.schema("batch long").parquet(f"{out}/log").agg(F.max("batch")).first()[0]
     return spark.read.schema(schema).parquet(f"{out}/turn={number % 2}/table")
 

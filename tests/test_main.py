@@ -66,8 +66,9 @@ def test_live_to_the_console_is_ranked(spark, traps_dir, records_dir, extra, cap
 
 
 def test_printing(spark, traps_dir, capsys):
-    main(["hourly_geo", "--posts", traps_dir, "--tz", "America/New_York"], spark)
-    assert "Time_In_EST" in capsys.readouterr().out
+    main(["hourly_geo", "--posts", traps_dir, "--tz", "America/New_York", "--schema"], spark)
+    out = capsys.readouterr().out
+    assert "Time_In_EST" in out and "created_at: string" in out and "text" not in out
 
 
 @pytest.mark.parametrize("argv", [["nothing", "--posts", "x"], ["gender_share", "--posts", "x"],
