@@ -21,7 +21,7 @@ def _heavy(df: DataFrame, key: str, name: str, cell_rows: int, max_heavy: int) -
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, left_row: Column, right_row: Column,
-                cell_rows: int = 10_000, max_heavy: int = 100_000) -> DataFrame:
+                cell_rows: int = 10_000, max_heavy: int = 100_000, partitions: int | None = None) -> DataFrame:
     """Inner equi-join on ``key`` in which no task meets all rows of a heavy key.
 
     The rows of a heavy key are cut into cells on either side and each pair of cells is
@@ -29,6 +29,10 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, left_row: Column, r
     at most the output divided by ``cell_rows``, on each side. ``left_row`` and
     ``right_row`` tell rows apart; a hash of them picks the cell, so that a task that
     is run again repeats its work exactly. Column order: key, left, right.
+
+    The cells go to a fixed number of ``partitions`` (the session's shuffle partitions by
+    default): left alone, adaptive execution would judge cells by their small input and
+    put many into one task, where their products pile up.
     """
     left = left.filter(F.col(key).isNotNull()).withColumn("_row", F.xxhash64(left_row))
     right = right.filter(F.col(key).isNotNull()).withColumn("_row", F.xxhash64(right_row))
@@ -45,7 +49,9 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, left_row: Column, r
 
     left = cells(left, "_rows", "_cols").withColumnsRenamed({"_own": "_r", "_other": "_c"})
     right = cells(right, "_cols", "_rows").withColumnsRenamed({"_own": "_c", "_other": "_r"})
-    return left.join(right, [key, "_r", "_c"], "inner").drop("_r", "_c")
+    on = [key, "_r", "_c"]
+    partitions = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return left.repartition(partitions, *on).join(right.repartition(partitions, *on), on, "inner").drop("_r", "_c")
 
 
 def count_pairs(left: DataFrame, right: DataFrame, key: str, name: str = "n") -> DataFrame:

@@ -66,3 +66,8 @@ def test_generated_code_covers_the_counting(spark):
     df.collect()
     final = plan(df, "simple").split("== Initial Plan ==")[0]
     assert re.search(r"\*\(\d+\) HashAggregate\(keys=\[Time_In_EST", final)
+
+
+def test_the_spread_join_shuffles_each_side_once(spark):
+    text = plan(REPORTS["place_vs_profile_rows"](spark, SF), "simple")
+    assert text.count("REPARTITION_BY_NUM") == 2
