@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -32,20 +30,16 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="placewise-")
-
-
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh path for tables and stream checkpoints, on storage all executors see.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``. Only a local
-    session, where driver and executors are one process, may do without it.
+    The cluster names the shared folder in ``spark.checkpoint.dir``; where it is unset, as
+    in tests, the warehouse folder serves. The path is removed when the session ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_folder()
-    return f"{base.rstrip('/')}/placewise/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/placewise/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return f"{folder}/data"

@@ -1,33 +1,18 @@
-import tempfile
-
-import pytest
-
 from placewise.session import work_folder
 
 
-class Session:
-    """Stands for a session with these settings."""
-
-    def __init__(self, **settings):
-        self.settings = {key.replace("__", "."): value for key, value in settings.items()}
-        self.conf = self
-
-    def get(self, key, default=None):
-        return self.settings.get(key, default)
-
-
-def test_work_folders_lie_in_the_shared_folder():
-    session = Session(spark__master="yarn", spark__checkpoint__dir="hdfs://shared/checkpoints/")
-    first, second = work_folder(session, "a"), work_folder(session, "a")
-    assert first.startswith("hdfs://shared/checkpoints/placewise/a-") and first != second
-
-
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(ValueError):
-        work_folder(Session(spark__master="yarn"), "a")
+def test_work_folders_lie_in_the_shared_folder(spark, tmp_path):
+    unset = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/")
+    try:
+        first, second = work_folder(spark, "a"), work_folder(spark, "a")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", unset) if unset else spark.conf.unset("spark.checkpoint.dir")
+    assert first.startswith(f"file://{tmp_path}/placewise/a-") and first != second
+    spark.range(3).write.parquet(first)
+    assert spark.read.parquet(first).count() == 3
 
 
-def test_a_local_session_may_do_without(spark):
-    assert work_folder(Session(spark__master="local[2]"), "a").startswith(tempfile.gettempdir())
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    assert work_folder(spark, "a").startswith(base)
+def test_without_a_shared_folder_the_warehouse_serves(spark):
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        assert work_folder(spark, "a").startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/placewise/")
