@@ -91,6 +91,10 @@ class Words:
         """Bytes of each word."""
         return np.diff(self._ends)
 
+    def between(self, begin: int, end: int) -> list[str]:
+        """The words from one number to another, the end not included."""
+        return [self._data[self._ends[i]:self._ends[i + 1]].tobytes().decode() for i in range(begin, end)]
+
     def hashes(self, lanes: int = 2) -> np.ndarray:
         """One or two 64-bit hashes of each word: sums of its bytes by random factors for each place."""
         count = len(self.starts)
@@ -109,6 +113,21 @@ class Words:
             result[:, word] = np.frombuffer(xxhash.xxh3_128_digest(own), "<u8")[:lanes]
         return result
 
+    def joined(self, kept: np.ndarray) -> pa.Array:
+        """Each text as its words of ``kept``, with one space between them."""
+        lengths = np.diff(self._ends)[kept].astype(np.int64)
+        begins = self._ends[:-1][kept].astype(np.int64)
+        places = np.cumsum(lengths + 1) - lengths - 1
+        out = np.full(int((lengths + 1).sum()), 0x20, np.uint8)
+        inner = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        out[np.repeat(places, lengths) + inner] = self._data[np.repeat(begins, lengths) + inner]
+        counts = np.diff(np.append(0, np.cumsum(kept))[self.first])
+        ends = np.append(0, np.cumsum(lengths + 1))[np.append(0, np.cumsum(counts))]
+        bare = np.ones(len(out), bool)
+        bare[ends[1:][counts > 0] - 1] = False
+        ends = ends - np.append(0, np.cumsum(counts > 0))
+        return pa.Array.from_buffers(pa.string(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out[bare])])
+
     def owners(self) -> np.ndarray:
         """The text of each word."""
         return np.repeat(np.arange(len(self.counts)), self.counts)
