@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from placewise.llm import (cascade, contamination, jaccard, lattice, packing, records, rule_ensemble, substring,
                            token_counts, tool_calls)
+from placewise.llm.oracle import SQL  # noqa: F401
 from placewise.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 BYTE_BPE = tokenizer_path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
