@@ -16,10 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from placewise.jobs import JOBS
 from placewise.operators.counting import ranked
 from placewise.session import build_session
-from placewise.sources.posts import read_gender_records, read_posts, stream_gender_records, stream_posts
+from placewise.sources.posts import read_gender_records, read_posts, stream_gender_records, stream_posts, torn_lines
+from placewise.streaming.reports import windowed_count
 from placewise.streaming.sinks import append_files, replace_table, to_console
 
-LOOKUP = "username string, gender string, probability long"
+LOOKUP = "username string, name string, gender string, country string, probability long, total_names long"
+# Options of the command line, and their names as arguments of the reports.
+OPTIONS = {"strict": "strict", "each_user": "each_user", "every_handle": "every", "ignore_case": "ignore_case", "whole_word": "whole_word"}
 REGIONS = "location string, attribute string"
 
 
@@ -31,7 +34,15 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--lookup", help=f"directory of JSON lines: {LOOKUP}")
     parser.add_argument("--regions", help=f"directory of JSON lines: {REGIONS}")
     parser.add_argument("--format", default="json", choices=("json", "parquet", "orc"), help="of the posts")
-    parser.add_argument("--tz", default="UTC", help="time zone of the hours")
+    parser.add_argument("--tz", default="UTC", help="time zone of the hours; 'session' is that of the session")
+    parser.add_argument("--strict", action="store_true", help="only posts whose author states a profile location")
+    parser.add_argument("--each-user", action="store_true", help="single locations instead of lists of them")
+    parser.add_argument("--every-handle", action="store_true", help="all handles of a post instead of the last")
+    parser.add_argument("--ignore-case", action="store_true", help="positive words in any case")
+    parser.add_argument("--whole-word", action="store_true", help="positive words only as words of their own")
+    parser.add_argument("--torn", action="store_true", help="print how many lines are no posts, then run")
+    parser.add_argument("--window", help="live: count by time windows of this length, with bounded state")
+    parser.add_argument("--watermark", default="1 hour", help="how late posts may come for --window")
     parser.add_argument("--out", help="directory for the result (Parquet); default: print it")
     parser.add_argument("--rows", type=int, default=20, help="rows to print")
     parser.add_argument("--schema", action="store_true", help="print the schema that is read, then run")
@@ -45,12 +56,24 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
         parser.error(f"{args.report} has no live form")
     if args.live and args.out and not args.checkpoint:
         parser.error("--live --out needs --checkpoint")
+    if args.window and not (args.live and job.window):
+        parser.error("--window needs --live and a report of devices, locations or handles")
+    for option in OPTIONS:
+        if getattr(args, option) and option not in job.options:
+            parser.error(f"{args.report} takes no --{option.replace('_', '-')}")
     for need in set(job.needs) - {"profiles"}:
         if not getattr(args, need):
             parser.error(f"{args.report} needs --{need}")
     return args
 
 
+def options(args: argparse.Namespace) -> dict:
+    """What the report's function is called with."""
+    job = JOBS[args.report]
+    found = {OPTIONS[o]: True for o in job.options if getattr(args, o)}
+    return found | ({"tz": None if args.tz == "session" else args.tz} if job.zoned else {})
+
+
 def tables(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
     """The further inputs of the report."""
     job, inputs = JOBS[args.report], []
@@ -71,7 +94,9 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
         first = read_posts(spark, args.posts, *job.fields, format=args.format)
     if args.schema:
         first.printSchema()
-    result = job.batch(first, *tables(spark, args), **({"tz": args.tz} if job.zoned else {}))
+    if args.torn and args.format == "json":
+        print(f"{torn_lines(spark, args.posts).count()} lines are no posts")
+    result = job.batch(first, *tables(spark, args), **options(args))
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
     else:
@@ -83,11 +108,17 @@ def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
     if job.reads == "records":
         first = stream_gender_records(spark, args.posts, args.max_files)
     else:
-        first = stream_posts(spark, args.posts, *job.fields, format=args.format, max_files=args.max_files)
+        stamp = ["data.created_at"] if args.window else []
+        first = stream_posts(spark, args.posts, *job.fields, *stamp, format=args.format, max_files=args.max_files)
     if args.schema:
         first.printSchema()
-    rows = job.live(first, *tables(spark, args), **({"tz": args.tz} if job.zoned else {}))
     run = {"available_now": not args.every, "every": args.every}
+    if args.window:
+        rows = windowed_count(first, job.window(), args.watermark, args.window)
+        query = append_files(rows, args.out, args.checkpoint, **run) if args.out else to_console(rows, "append", args.checkpoint, **run)
+        query.awaitTermination()
+        return
+    rows = job.live(first, *tables(spark, args), **options(args))
     if not args.out:
         rows = ranked(rows, *job.rank) if job.rank else rows
         query = to_console(rows, "append" if job.appends else "complete", args.checkpoint, **run)

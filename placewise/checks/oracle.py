@@ -15,7 +15,8 @@ POSTS = f"""WITH posts AS (
     CASE WHEN {_K} % 3 = 0 THEN pn.n_name END AS place,
     CASE WHEN {_K} % 3 = 0 THEN cast(pn.n_nationkey AS varchar) END AS place_id,
     un.n_name AS location, c.c_name AS username,
-    CASE c.c_nationkey % 3 WHEN 0 THEN 'male' WHEN 1 THEN 'female' ELSE 'null' END AS gender
+    CASE c.c_nationkey % 3 WHEN 0 THEN 'male' WHEN 1 THEN 'female' ELSE 'null' END AS gender,
+    c.c_mktsegment AS country, c.c_custkey % 50 + 50 AS probability, c.c_nationkey AS total_names
   FROM events e
   LEFT JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
   LEFT JOIN customer c ON c.c_custkey = e.user_id
@@ -44,11 +45,27 @@ def _hourly(ts: str) -> str:
 _BOTH = "HAVING count(*) FILTER (WHERE NOT placed) > 0 AND count(*) FILTER (WHERE placed) > 0"
 _HOURLY_GEO = _hourly("ts") + " " + _BOTH
 
-_POSITIVE_COUNTS = f"""SELECT cast(hour(ts) AS integer) AS Time_In_EST,
+_WHOLE_WORDS = rf"regexp_matches(text, '(?i)(?:^|[^\p{{L}}\p{{N}}_])(?:{'|'.join(POSITIVE_WORDS)})(?:[^\p{{L}}\p{{N}}_]|$)')"
+
+
+def _positive_counts(positive: str) -> str:
+    return f"""SELECT cast(hour(ts) AS integer) AS Time_In_EST,
       count(*) FILTER (WHERE placed) AS Tweets_Having_Address,
       count(*) FILTER (WHERE placed AND positive) AS positive_tweet_having_address,
       count(*) FILTER (WHERE NOT placed AND positive) AS positive_tweet_not_having_address
-    FROM (SELECT ts, placed, {_POSITIVE} AS positive FROM posts) GROUP BY 1"""
+    FROM (SELECT ts, placed, {positive} AS positive FROM posts) GROUP BY 1"""
+
+
+def _in_all_counts(positive: str) -> str:
+    return f"""SELECT * FROM ({_positive_counts(positive)}) WHERE Tweets_Having_Address > 0
+      AND positive_tweet_having_address > 0 AND positive_tweet_not_having_address > 0"""
+
+
+def _windowed(key: str) -> str:
+    return f"""SELECT strftime(ts, '%Y-%m-%d') AS day, {key}, count(*) AS n FROM posts
+      GROUP BY 1, 2, date_trunc('day', ts)
+      HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM posts)"""
+
 
 _LANDED = "SELECT id, author_id, created_at, source, text, place, username, location FROM posts"
 
@@ -67,7 +84,7 @@ _QUERIES = {
     "device_share": _share("source", "Tot_Tweets_By_Device"),
     "gender_share": _share("gender", "Tot_Tweets_By_Gender"),
     "record_share": _share("gender", "Tot_Tweets_By_Gender"),
-    "enriched_genders": "SELECT id, username, gender FROM posts WHERE placed",
+    "enriched_genders": "SELECT id, username, username AS name, gender, country, probability, total_names FROM posts WHERE placed",
     "hourly_geo": _HOURLY_GEO,
     "hourly_geo_tz": _hourly("(ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York'") + " " + _BOTH,
     "hourly_geo_join": """SELECT Time_In_EST, Tweets_Not_Having_Address, Tweets_Having_Address
@@ -76,8 +93,8 @@ _QUERIES = {
       JOIN (SELECT cast(hour(ts) AS integer) AS Time_In_EST, count(*) AS Tweets_Having_Address
             FROM posts WHERE placed GROUP BY 1) USING (Time_In_EST)""",
     "top_hours": _HOURLY_GEO + " ORDER BY Tweets_Having_Address DESC, Time_In_EST LIMIT 20",
-    "positive_hourly": f"""SELECT * FROM ({_POSITIVE_COUNTS}) WHERE Tweets_Having_Address > 0
-      AND positive_tweet_having_address > 0 AND positive_tweet_not_having_address > 0""",
+    "positive_hourly": _in_all_counts(_POSITIVE),
+    "positive_hourly_words": _in_all_counts(_WHOLE_WORDS),
     "place_vs_profile": f"SELECT place, location, count(*) AS n FROM t GROUP BY 1, 2",
     "place_vs_profile_rows": f"""SELECT a.author_id AS ID, a.Created, a.Location_Per_Tweet, b.Tweet_Content,
         b.Location_Per_User
@@ -91,7 +108,7 @@ _QUERIES = {
       FROM t WHERE place IS NOT NULL AND location IS NOT NULL GROUP BY 1""",
     "share_by_region": """SELECT r_name AS attribute, count(*) FILTER (WHERE placed) AS placed, count(*) AS posts,
         count(*) FILTER (WHERE placed) / cast(count(*) AS double) AS share
-      FROM posts JOIN nation n ON n.n_name = location JOIN region ON r_regionkey = n_regionkey GROUP BY 1""",
+      FROM posts LEFT JOIN nation n ON n.n_name = location LEFT JOIN region ON r_regionkey = n_regionkey GROUP BY 1""",
     "top_handles": f"SELECT {_HANDLE} AS value, count(*) AS count FROM posts WHERE {_HANDLE} <> '' GROUP BY 1",
     "every_handle": r"""SELECT value, count(*) AS count
       FROM (SELECT unnest(regexp_extract_all(text, '@\w+')) AS value FROM posts) GROUP BY 1""",
@@ -99,10 +116,10 @@ _QUERIES = {
     "stream_device": "SELECT source, count(*) AS Tot_Tweets_By_Device FROM posts WHERE placed GROUP BY 1",
     "stream_gender": "SELECT gender, count(*) AS Tot_Tweets_By_Gender FROM posts WHERE placed GROUP BY 1",
     "stream_hourly": _hourly("ts"),
-    "stream_positive": _POSITIVE_COUNTS,
-    "stream_windowed_device": """SELECT strftime(ts, '%Y-%m-%d') AS day, source, count(*) AS n FROM posts
-      GROUP BY 1, 2, date_trunc('day', ts)
-      HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM posts)""",
+    "stream_positive": _positive_counts(_POSITIVE),
+    "stream_windowed_device": _windowed("source"),
+    "stream_windowed_location": _windowed(f"{_LOCATIONS} AS Location"),
+    "stream_windowed_handles": _windowed(f"nullif({_HANDLE}, '') AS value"),
 }
 
 # A live report must leave what its batch form gives.
@@ -114,6 +131,7 @@ _SAME = {
     "stream_enriched_genders": "enriched_genders",
     "stream_gender_share": "record_share",
     "stream_by_location": "by_location",
+    "stream_sorted_location": "by_location",
     "stream_handles": "top_handles",
     "stream_landed_posts": "landed_posts",
 }

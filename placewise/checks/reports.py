@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from placewise import names
 from placewise.functions import fields
+from placewise.functions.handles import last_handle
 from placewise.operators.counting import ranked
 from placewise.operators.enriching import enrich_gender
 from placewise.plans import devices, feeds, genders, handles, hours, locations
@@ -24,6 +25,8 @@ from placewise.sources.posts import read_gender_records, read_posts, stream_gend
 from placewise.streaming import reports as live
 from placewise.streaming.sinks import FEW_KEYS, append_files, latest, replace_table
 
+LANDED_ANSWER = "id string, username string, name string, gender string, country string, probability long, total_names long"
+
 REPORTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -113,8 +116,13 @@ def top_hours(spark, sf_dir):
 
 @report
 def positive_hourly(spark, sf_dir):
-    posts = tables.posts(spark, sf_dir, "positive")
-    return hours.positive_hourly(posts, positive=F.col("positive"))
+    return hours.positive_hourly(tables.posts(spark, sf_dir, "text"))
+
+
+@report
+def positive_hourly_words(spark, sf_dir):
+    """Whole words only, whatever their case."""
+    return hours.positive_hourly(tables.posts(spark, sf_dir, "text"), ignore_case=True, whole_word=True)
 
 
 @report
@@ -125,11 +133,11 @@ def place_vs_profile(spark, sf_dir):
 
 @report
 def place_vs_profile_rows(spark, sf_dir):
-    """The join row by row. The text goes into it as a digest of the whole text."""
+    """The join row by row, texts and all; a digest stands for each text in the result."""
     placed = tables.posts(spark, sf_dir, "place")
     profiled = tables.posts(spark, sf_dir, "text", "author")
-    profiled = profiled.withColumn("data", F.col("data").withField("text", F.md5("data.text")))
-    return as_json(locations.place_vs_profile(placed, profiled), names.POST_LOCATION, names.USER_LOCATION)
+    joined = locations.place_vs_profile(placed, profiled).withColumn(names.POST_TEXT, F.md5(names.POST_TEXT))
+    return as_json(joined, names.POST_LOCATION, names.USER_LOCATION)
 
 
 @report
@@ -188,9 +196,9 @@ def _appended(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 def _replaced(spark: SparkSession, name: str, df: DataFrame, rank: tuple[str, ...] = (),
               state_partitions: int | None = FEW_KEYS) -> DataFrame:
     out = work_folder(spark, name)
-    finish = (lambda counts: ranked(counts, *rank)) if rank else None
-    _finish(replace_table(df, f"{out}/result", f"{out}/checkpoint", finish, state_partitions))
-    return latest(spark, f"{out}/result", df.schema)
+    _finish(replace_table(df, f"{out}/result", f"{out}/checkpoint", state_partitions=state_partitions))
+    counts = latest(spark, f"{out}/result", df.schema)
+    return ranked(counts, *rank) if rank else counts
 
 
 @report
@@ -232,7 +240,7 @@ def _stream_genders(spark: SparkSession, sf_dir: str) -> str:
 
 @report
 def stream_enriched_genders(spark, sf_dir):
-    return spark.read.schema("id string, username string, gender string").json(_stream_genders(spark, sf_dir))
+    return spark.read.schema(LANDED_ANSWER).json(_stream_genders(spark, sf_dir))
 
 
 @report
@@ -257,6 +265,13 @@ def stream_by_location(spark, sf_dir):
     return as_json(_replaced(spark, "location", counts, rank, None), names.LOCATION)
 
 
+@report
+def stream_sorted_location(spark, sf_dir):
+    """The same with the sort inside the stream; the kept table is read in the order of the counts."""
+    counts = locations.by_location(_stream(spark, sf_dir, "author"))
+    return as_json(_replaced(spark, "sorted", counts, (names.BY_LOCATION, names.LOCATION), None), names.LOCATION)
+
+
 @report
 def stream_hourly(spark, sf_dir):
     return _replaced(spark, "hourly", hours.hourly_counts(_stream(spark, sf_dir)))
@@ -264,8 +279,7 @@ def stream_hourly(spark, sf_dir):
 
 @report
 def stream_positive(spark, sf_dir):
-    posts = _stream(spark, sf_dir, "positive")
-    return _replaced(spark, "positive", hours.positive_counts(posts, positive=F.col("positive")))
+    return _replaced(spark, "positive", hours.positive_counts(_stream(spark, sf_dir, "text")))
 
 
 @report
@@ -281,11 +295,24 @@ def stream_landed_posts(spark, sf_dir):
     return _landed(read_posts(spark, f"{out}/posts"))
 
 
+def _windowed(spark: SparkSession, posts: DataFrame, key: Column, name: str) -> DataFrame:
+    counts = live.windowed_count(posts, key.alias(name), watermark="1 hour", window="1 day", name="n")
+    day = F.floor(F.unix_seconds("window.start") / 86400).cast("int")
+    counts = counts.select(F.date_from_unix_date(day).cast("string").alias("day"), name, "n")
+    return _appended(spark, "windowed", counts)
+
+
 @report
 def stream_windowed_device(spark, sf_dir):
     """Devices per day with bounded state: the days that are closed behind the watermark."""
-    posts = _stream(spark, sf_dir)
-    counts = live.windowed_count(posts, F.col("data.source"), watermark="1 hour", window="1 day", name="n")
-    day = F.floor(F.unix_seconds("window.start") / 86400).cast("int")
-    counts = counts.select(F.date_from_unix_date(day).cast("string").alias("day"), "source", "n")
-    return _appended(spark, "windowed", counts)
+    return _windowed(spark, _stream(spark, sf_dir), F.col("data.source"), "source")
+
+
+@report
+def stream_windowed_location(spark, sf_dir):
+    return _windowed(spark, _stream(spark, sf_dir, "author"), F.to_json(fields.user_locations()), names.LOCATION)
+
+
+@report
+def stream_windowed_handles(spark, sf_dir):
+    return _windowed(spark, _stream(spark, sf_dir, "text"), last_handle(), "value")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 def hour_of_day(stamp: Column | str = "data.created_at", tz: str | None = "UTC") -> Column:
     """Hour 0-23 in ``tz``; null for an unreadable stamp.
 
-    ``tz=None`` gives the hour in the session's zone. With a zone, the result does not
-    depend on the session: the shifted wall clock is read off the epoch seconds.
+    ``tz=None`` gives the hour in the session's zone. With a zone, stamps that carry
+    their own zone give the same hour in every session (others are read in the session's): the shifted wall clock is read off the epoch seconds.
     """
     moment = F.try_to_timestamp(F.col(stamp) if isinstance(stamp, str) else stamp)
     if tz is None:

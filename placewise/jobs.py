@@ -6,11 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from placewise import names
 from placewise.operators.counting import ranked, share_of_total
 from placewise.operators.enriching import enrich_gender
+from placewise.functions import fields
+from placewise.functions.handles import last_handle
 from placewise.plans import devices, feeds, genders, handles, hours, locations
 from placewise.streaming.sinks import FEW_KEYS
 
@@ -23,8 +26,9 @@ class Job:
     """A report and its live form.
 
     ``live`` gives rows to append, or a running count whose full result is kept. A count
-    may then be given shares of the total (``ratio``, which streams cannot work out) or
-    an order (``rank``); both are done on the kept table.
+    may then be given shares of the total (``ratio``, which streams cannot work out), as
+    the table is kept, or an order (``rank``), as it is read: files have none. ``options``
+    are those of both forms, ``window`` is what is counted by time windows.
     """
 
     fields: tuple[str, ...]
@@ -37,11 +41,17 @@ class Job:
     ratio: str | None = None
     rank: tuple[str, ...] = ()
     state_partitions: int | None = None
+    options: tuple[str, ...] = ()
+    window: Callable[[], Column] | None = None
 
     def finish(self) -> Callable[[DataFrame], DataFrame] | None:
         if self.ratio:
             return partial(share_of_total, count=self.ratio, name=names.RATIO)
-        return (lambda counts: ranked(counts, *self.rank)) if self.rank else None
+        return None
+
+    def ordered(self, counts: DataFrame) -> DataFrame:
+        """The kept table as the report has it."""
+        return ranked(counts, *self.rank) if self.rank else counts
 
 
 def _feed(function: Callable[..., DataFrame], *fields: str) -> Job:
@@ -54,7 +64,7 @@ JOBS: dict[str, Job] = {
     "geo_feed": _feed(feeds.geo_feed, "data.author_id", "data.created_at", PLACES),
     "author_feed": _feed(feeds.author_feed, "data.text", "data.author_id", "includes.users.name", LOCATIONS),
     "device_share": Job(("data.source", PLACES), devices.device_share, devices.count_by_device,
-                        ratio=names.BY_DEVICE, state_partitions=FEW_KEYS),
+                        ratio=names.BY_DEVICE, state_partitions=FEW_KEYS, window=lambda: F.col("data.source")),
     "enriched_genders": Job((PLACES, "includes.users.username"), enrich_gender, enrich_gender,
                             needs=("lookup",), appends="json"),
     "record_share": Job((), genders.record_share, genders.count_records_by_gender, reads="records",
@@ -64,14 +74,17 @@ JOBS: dict[str, Job] = {
                       rank=(names.WITH_ADDRESS, names.HOUR), state_partitions=FEW_KEYS),
     "top_hours": Job(("data.created_at", PLACES), hours.top_hours, zoned=True),
     "positive_hourly": Job(("data.text", "data.created_at", PLACES), hours.positive_hourly, hours.positive_counts,
-                           zoned=True, rank=(names.POSITIVE_WITH, names.HOUR), state_partitions=FEW_KEYS),
+                           zoned=True, rank=(names.POSITIVE_WITH, names.HOUR), state_partitions=FEW_KEYS,
+                           options=("ignore_case", "whole_word")),
     "by_location": Job((LOCATIONS,), locations.by_location, locations.count_by_location,
-                       rank=(names.BY_LOCATION, names.LOCATION)),
-    "top_handles": Job(("data.text",), handles.top_handles, handles.count_handles, rank=("count", "value")),
+                       rank=(names.BY_LOCATION, names.LOCATION), options=("each_user",),
+                       window=lambda: fields.user_locations().alias(names.LOCATION)),
+    "top_handles": Job(("data.text",), handles.top_handles, handles.count_handles, rank=("count", "value"), options=("every_handle",),
+                       window=lambda: last_handle().alias("value")),
     "place_vs_profile": Job(("data.text", "data.author_id", "data.created_at", PLACES, LOCATIONS),
-                            locations.place_vs_profile, needs=("profiles",)),
+                            locations.place_vs_profile, needs=("profiles",), options=("strict",)),
     "place_vs_profile_counts": Job(("data.author_id", PLACES, LOCATIONS),
-                                   locations.place_vs_profile_counts, needs=("profiles",)),
+                                   locations.place_vs_profile_counts, needs=("profiles",), options=("strict",)),
     "location_match": Job(("data.author_id", PLACES, LOCATIONS), locations.location_match, needs=("profiles",)),
     "share_by_region": Job((PLACES, LOCATIONS), locations.share_by_region, needs=("regions",)),
 }

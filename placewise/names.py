@@ -3,6 +3,8 @@
 # Names that existing readers of these reports rely on.
 PLACE = "Place"
 TEXT = "Tweet"
+AUTHOR_TEXT = "Text"
+AUTHOR_NAME = "Name"
 LOCATION = "Location"
 HOUR = "Time_In_EST"
 RATIO = "ratio"

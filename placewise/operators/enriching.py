@@ -10,14 +10,19 @@ from placewise.operators.counting import count_by
 
 # Fixed value: the gender of an unknown name, as the name service spells it.
 UNKNOWN = "null"
+# What the name service answers about a name.
+ANSWER = ("name", "gender", "country", "probability", "total_names")
 
 
 def unique_lookup(lookup: DataFrame) -> DataFrame:
-    """One row per username: the surest answer, ties settled by value."""
-    best = F.max(F.struct("probability", "gender"))
+    """One row per username: the surest answer as a whole, ties settled by value. Fields that the lookup lacks are null."""
+    there = {c: F.col(c) for c in lookup.columns}
+    fields_ = ["probability", "gender", *(f for f in ANSWER if f not in ("probability", "gender"))]
+    kinds = {"probability": "long", "total_names": "long"}
+    best = F.max(F.struct(*(there.get(f, F.lit(None)).cast(kinds.get(f, "string")).alias(f) for f in fields_)))
     return (lookup.filter(F.col("username").isNotNull())
             .groupBy("username").agg(best.alias("best"))
-            .select("username", F.col("best.gender").alias("gender")))
+            .select("username", *(F.col(f"best.{f}").alias(f) for f in ANSWER)))
 
 
 def placed_users(posts: DataFrame) -> DataFrame:
@@ -34,15 +39,16 @@ def _with_gender(users: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def enrich_gender(posts: DataFrame, lookup: DataFrame) -> DataFrame:
-    """One row per placed post: ``id, username, gender``. Works on streams of posts.
+    """One row per placed post: ``id, username`` and the answer about the name. Works on streams of posts.
 
-    Posts without a user keep their row. They get keys of their own for the join, else
-    all of them would meet in one task.
+    Posts without a user keep their row. They get keys of their own for the join, made of
+    the id or else of the whole post, for otherwise all of them would meet in one task.
     """
-    users = placed_users(posts).withColumn("named", F.col("username"))
-    own = F.concat(F.lit("\0"), F.col("id"))
-    users = users.withColumn("username", F.coalesce("username", own))
-    return _with_gender(users, lookup).select("id", F.col("named").alias("username"), "gender")
+    placed = posts.filter(fields.has_place())
+    own = F.concat(F.lit("\0"), F.coalesce(F.col("data.id"), F.xxhash64("data", "includes").cast("string")))
+    name = fields.user_field("username")
+    users = placed.select(F.col("data.id").alias("id"), name.alias("named"), F.coalesce(name, own).alias("username"))
+    return _with_gender(users, lookup).select("id", F.col("named").alias("username"), *ANSWER)
 
 
 def count_by_gender(posts: DataFrame, lookup: DataFrame, name: str = "count") -> DataFrame:

@@ -2,62 +2,73 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _heavy(df: DataFrame, key: str, name: str, cell_rows: int, max_heavy: int) -> DataFrame:
-    """Keys with more rows than a cell may hold, and how many cells they need.
+def _heavy(left: DataFrame, right: DataFrame, key: str, cell_pairs: int) -> DataFrame:
+    """Keys whose rows make more pairs than a cell may, and the grid of cells they need.
 
-    A cell holds at least 1/``max_heavy`` of the rows, so at most ``max_heavy`` keys
-    can be heavy: the table is small whatever the data.
+    A grid of ``_rows`` by ``_cols`` has cells of about ``cell_pairs`` pairs, whatever the
+    sizes of the two sides and of the tables.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    cell = F.greatest(F.lit(cell_rows), F.ceil(total / max_heavy))
-    return (counts.withColumn("cell", cell)
-            .filter(F.col("n") > F.col("cell"))
-            .select(key, F.ceil(F.col("n") / F.col("cell")).cast("int").alias(name)))
+    counts = (left.groupBy(key).agg(F.count("*").cast("double").alias("_l"))
+              .join(right.groupBy(key).agg(F.count("*").cast("double").alias("_n")), key)
+              .filter(F.col("_l") * F.col("_n") > cell_pairs))
+    side, all_cells = math.sqrt(cell_pairs), F.ceil(F.col("_l") * F.col("_n") / cell_pairs)
+
+    def parts(own: str, other: str) -> Column:
+        return F.when(F.col(own) < side, 1).when(F.col(other) < side, all_cells).otherwise(F.ceil(F.col(own) / side)).cast("int")
+
+    return counts.select(key, parts("_l", "_n").alias("_rows"), parts("_n", "_l").alias("_cols"))
+
+
+def _session_partitions(df: DataFrame) -> int:
+    """As many partitions as the session wants before adaptive execution shrinks them."""
+    conf = df.sparkSession.conf
+    return int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions"))
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, left_row: Column, right_row: Column,
-                cell_rows: int = 10_000, max_heavy: int = 100_000, partitions: int | None = None) -> DataFrame:
-    """Inner equi-join on ``key`` in which no task meets all rows of a heavy key.
+                cell_pairs: int = 1_000_000, partitions: int | None = None) -> DataFrame:
+    """Inner equi-join on ``key`` in which no task makes all pairs of a heavy key.
 
-    The rows of a heavy key are cut into cells on either side and each pair of cells is
-    joined by itself; the result is that of the plain join. Copies sent for this number
-    at most the output divided by ``cell_rows``, on each side. ``left_row`` and
-    ``right_row`` tell rows apart; a hash of them picks the cell, so that a task that
-    is run again repeats its work exactly. Column order: key, left, right.
+    A key is heavy if the product of its rows on both sides exceeds ``cell_pairs``. Its
+    rows are cut into a grid of cells and each cell is joined by itself; all other keys go
+    through the plain join. The result is that of the plain join. A heavy row is sent at
+    most the output of its key divided by the square root of ``cell_pairs`` times.
+    ``left_row`` and ``right_row`` tell rows apart; a hash of them picks the cell, so that
+    a task that is run again repeats its work exactly. Column order: key, left, right.
 
-    The cells go to a fixed number of ``partitions`` (the session's shuffle partitions by
-    default): left alone, adaptive execution would judge cells by their small input and
+    The cells go to a fixed number of ``partitions`` (by default the session's initial
+    number): left alone, adaptive execution would judge cells by their small input and
     put many into one task, where their products pile up.
     """
-    left = left.filter(F.col(key).isNotNull()).withColumn("_row", F.xxhash64(left_row))
-    right = right.filter(F.col(key).isNotNull()).withColumn("_row", F.xxhash64(right_row))
-    heavy = (_heavy(left, key, "_rows", cell_rows, max_heavy)
-             .join(_heavy(right, key, "_cols", cell_rows, max_heavy), key, "full"))
-    heavy = F.broadcast(heavy)  # at most 2 * max_heavy rows
-
-    def cells(df: DataFrame, own: str, other: str) -> DataFrame:
-        one = F.lit(1)
-        return (df.join(heavy, key, "left")
-                .withColumn("_own", F.pmod(F.col("_row"), F.coalesce(own, one)).cast("int"))
-                .withColumn("_other", F.explode(F.sequence(F.lit(0), F.coalesce(other, one) - 1)))
-                .drop("_row", own, other))
-
-    left = cells(left, "_rows", "_cols").withColumnsRenamed({"_own": "_r", "_other": "_c"})
-    right = cells(right, "_cols", "_rows").withColumnsRenamed({"_own": "_c", "_other": "_r"})
+    left = left.filter(F.col(key).isNotNull())
+    right = right.filter(F.col(key).isNotNull())
+    heavy = _heavy(left, right, key, cell_pairs)
+    plain = left.join(heavy.select(key), key, "left_anti").join(right, key)
+
+    def cells(df: DataFrame, row: Column, own: str, other: str, names: tuple[str, str]) -> DataFrame:
+        return (df.withColumn("_row", F.xxhash64(row)).join(heavy, key)
+                .withColumn(names[0], F.pmod(F.col("_row"), F.col(own)).cast("int"))
+                .withColumn(names[1], F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                .drop("_row", "_rows", "_cols"))
+
     on = [key, "_r", "_c"]
-    partitions = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return left.repartition(partitions, *on).join(right.repartition(partitions, *on), on, "inner").drop("_r", "_c")
+    partitions = partitions or _session_partitions(left)
+    spread = (cells(left, left_row, "_rows", "_cols", ("_r", "_c")).repartition(partitions, *on)
+              .join(cells(right, right_row, "_cols", "_rows", ("_c", "_r")).repartition(partitions, *on), on).drop("_r", "_c"))
+    return plain.unionByName(spread)
 
 
 def count_pairs(left: DataFrame, right: DataFrame, key: str, name: str = "n") -> DataFrame:
     """Pairs per key and distinct values of the many-to-many join, without making the pairs.
 
-    Equal rows are counted on each side first; joined counts multiply.
+    Equal rows are counted on each side first; joined counts multiply. The distinct rows of
+    one key on both sides meet in one task.
     """
     l = left.groupBy(*left.columns).agg(F.count("*").alias("_l"))
     r = right.groupBy(*right.columns).agg(F.count("*").alias("_r"))

@@ -29,5 +29,5 @@ def text_feed(posts: DataFrame) -> DataFrame:
 
 def author_feed(posts: DataFrame) -> DataFrame:
     """Profile locations, text, names and author of every post."""
-    return posts.select(fields.user_locations().alias(names.LOCATION), F.col("data.text").alias("Text"),
-                        F.col("includes.users.name").alias("Name"), "data.author_id")
+    return posts.select(fields.user_locations().alias(names.LOCATION), F.col("data.text").alias(names.AUTHOR_TEXT),
+                        F.col("includes.users.name").alias(names.AUTHOR_NAME), "data.author_id")

@@ -13,7 +13,7 @@ from placewise import names
 from placewise.functions import fields
 from placewise.functions.keywords import has_keyword
 from placewise.functions.times import hour_of_day
-from placewise.operators.counting import count_by, top_k
+from placewise.operators.counting import count_by, ranked, top_k
 
 
 def _hours(posts: DataFrame, tz: str | None, **columns: Column) -> DataFrame:
@@ -38,15 +38,10 @@ def _on_all_sides(hours: DataFrame, *counts: str) -> DataFrame:
     return hours.filter(F.when(F.col(names.HOUR).isNotNull(), F.least(*counts)) > 0)
 
 
-def _ranked(hours: DataFrame, count: str) -> DataFrame:
-    """Highest count first. A day has 24 hours, so the bound drops nothing; it spares the full sort."""
-    return top_k(hours, count, names.HOUR, n=24)
-
-
 def hourly_geo(posts: DataFrame, tz: str | None = "UTC") -> DataFrame:
     """Posts without and with a place, for the hours that have both."""
     hours = _on_all_sides(hourly_counts(posts, tz), names.WITHOUT_ADDRESS, names.WITH_ADDRESS)
-    return _ranked(hours, names.WITH_ADDRESS)
+    return ranked(hours, names.WITH_ADDRESS, names.HOUR)
 
 
 def hourly_geo_join(posts: DataFrame, tz: str | None = "UTC") -> DataFrame:
@@ -54,7 +49,7 @@ def hourly_geo_join(posts: DataFrame, tz: str | None = "UTC") -> DataFrame:
     hour = hour_of_day(tz=tz).alias(names.HOUR)
     without = count_by(posts.filter(~fields.has_place()), hour, name=names.WITHOUT_ADDRESS)
     placed = count_by(posts.filter(fields.has_place()), hour, name=names.WITH_ADDRESS)
-    return _ranked(without.join(placed, names.HOUR), names.WITH_ADDRESS)
+    return ranked(without.join(placed, names.HOUR), names.WITH_ADDRESS, names.HOUR)
 
 
 def top_hours(posts: DataFrame, tz: str | None = "UTC", n: int = 20) -> DataFrame:
@@ -63,21 +58,20 @@ def top_hours(posts: DataFrame, tz: str | None = "UTC", n: int = 20) -> DataFram
     return top_k(hours, names.WITH_ADDRESS, names.HOUR, n=n)
 
 
-def positive_counts(posts: DataFrame, tz: str | None = "UTC", positive: Column | None = None) -> DataFrame:
+def positive_counts(posts: DataFrame, tz: str | None = "UTC", ignore_case: bool = False, whole_word: bool = False) -> DataFrame:
     """Placed posts, and positive posts with and without a place, per hour. Works on streams.
 
-    ``positive`` replaces the keyword test of the text where it is already at hand.
+    The options are those of ``has_keyword``, which reads the text of each post once.
     """
-    positive = has_keyword() if positive is None else positive
-    return (_hours(posts, tz, positive=positive)
+    return (_hours(posts, tz, positive=has_keyword(ignore_case=ignore_case, whole_word=whole_word))
             .groupBy(names.HOUR).agg(
                 F.count_if("placed").alias(names.WITH_ADDRESS),
                 F.count_if(F.col("placed") & F.col("positive")).alias(names.POSITIVE_WITH),
                 F.count_if(~F.col("placed") & F.col("positive")).alias(names.POSITIVE_WITHOUT)))
 
 
-def positive_hourly(posts: DataFrame, tz: str | None = "UTC", positive: Column | None = None) -> DataFrame:
+def positive_hourly(posts: DataFrame, tz: str | None = "UTC", ignore_case: bool = False, whole_word: bool = False) -> DataFrame:
     """The same for the hours in which all three counts are above zero."""
-    hours = _on_all_sides(positive_counts(posts, tz, positive),
+    hours = _on_all_sides(positive_counts(posts, tz, ignore_case, whole_word),
                           names.WITH_ADDRESS, names.POSITIVE_WITH, names.POSITIVE_WITHOUT)
-    return _ranked(hours, names.POSITIVE_WITH)
+    return ranked(hours, names.POSITIVE_WITH, names.HOUR)

@@ -86,11 +86,12 @@ def share_by_region(posts: DataFrame, regions: DataFrame) -> DataFrame:
     """Share of placed posts per attribute of the region the author names.
 
     ``regions`` has one row ``location, attribute`` per location. Posts are counted per
-    location first; only these counts meet the regions.
+    location first; only these counts meet the regions. Posts whose author names no
+    location, or one without a region, are the group with a null attribute.
     """
     counts = (posts.select(fields.user_field("location").alias("location"), fields.has_place().alias("placed"))
               .groupBy("location")
               .agg(F.count_if("placed").alias("placed"), F.count("*").alias("posts")))
-    return (counts.join(regions, "location")
+    return (counts.join(regions, "location", "left")
             .groupBy("attribute").agg(F.sum("placed").alias("placed"), F.sum("posts").alias("posts"))
             .withColumn("share", F.col("placed") / F.col("posts")))

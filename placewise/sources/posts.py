@@ -14,8 +14,20 @@ def _only_posts(df: DataFrame) -> DataFrame:
     return df.filter(F.col("data").isNotNull())
 
 
+TORN = "_corrupt_record"
+
+
+def torn_lines(spark: SparkSession, path) -> DataFrame:
+    """The lines of a directory of JSON lines that are no posts, as text: torn ones, which ``read_posts`` leaves out.
+
+    Foreign but whole lines are rows with a null.
+    """
+    schema = T.StructType([*post_schema("data.id"), T.StructField(TORN, T.StringType())])
+    return spark.read.schema(schema).json(path).filter(F.col("data").isNull()).select(TORN)
+
+
 def read_posts(spark: SparkSession, path, *fields: str, format: str = "json") -> DataFrame:
-    """The posts of one directory (or several) of JSON lines, Parquet or ORC files."""
+    """The posts of one directory (or several) of JSON lines, Parquet or ORC files. See ``torn_lines`` for what is no post."""
     return _only_posts(spark.read.format(format).schema(post_schema(*fields)).load(path))
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.functions.keywords import has_keyword
 from placewise.sources.schemas import USERS
 
 SCHEMAS = {
@@ -39,7 +38,8 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     gender = (F.when(F.col("c_nationkey") % 3 == 0, "male")
               .when(F.col("c_nationkey") % 3 == 1, "female").otherwise("null"))
     return table(spark, sf_dir, "customer").select(
-        F.col("c_name").alias("username"), gender.alias("gender"), F.lit(100).cast("long").alias("probability"))
+        F.col("c_name").alias("username"), F.col("c_name").alias("name"), gender.alias("gender"), F.col("c_mktsegment").alias("country"),
+        (F.col("c_custkey") % 50 + 50).alias("probability"), F.col("c_nationkey").cast("long").alias("total_names"))
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,16 +53,11 @@ def posts(spark: SparkSession, sf_dir: str, *parts: str, events: DataFrame | Non
     """The posts of the test tables; ``events`` may be a stream.
 
     ``parts`` says what a report needs beyond id, author id, time, source and whether
-    there is a place: ``text``, ``author``, ``place`` (its name), ``positive``. Each is
+    there is a place: ``text``, ``author``, ``place`` (its name). Each is
     a left join on a unique key, which keeps every event once; so a report that leaves
     a part out gets the same rows with nulls there, and no join.
-
-    ``positive`` is the keyword flag of the text as a column of its own: it is worked
-    out once per document, before the join, which then carries a flag instead of the
-    text. The prefix of repeated posts holds no keyword and ends in a space, so it does
-    not change the flag.
     """
-    text, author, place, positive = (part in parts for part in ("text", "author", "place", "positive"))
+    text, author, place = (part in parts for part in ("text", "author", "place"))
     events = table(spark, sf_dir, "events") if events is None else events
     k = F.get_json_object("props", "$.k").cast("int")
     df = events.select("event_id", "ts", "user_id", "event_type", k.alias("k"))
@@ -71,13 +66,10 @@ def posts(spark: SparkSession, sf_dir: str, *parts: str, events: DataFrame | Non
     if place:
         there = nation.select(F.col("n_nationkey").alias("place_key"), F.col("n_name").alias("place_name"))
         df = df.join(there, F.col("place_key") == F.col("k") % 25, "left")
-    if text or positive:
+    if text:
         documents = table(spark, sf_dir, "documents")
         count = documents.count()  # a literal keeps the join an equi-join
-        columns = [F.col("doc_id")]
-        columns += [F.col("text").alias("doc_text")] if text else []
-        columns += [has_keyword("text").alias("positive")] if positive else []
-        df = df.join(documents.select(*columns), F.col("doc_id") == F.col("event_id") % count, "left")
+        df = df.join(documents.select("doc_id", F.col("text").alias("doc_text")), F.col("doc_id") == F.col("event_id") % count, "left")
     if author:
         home = nation.select(F.col("n_nationkey").alias("home_key"), F.col("n_name").alias("location"))
         customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -100,4 +92,4 @@ def posts(spark: SparkSession, sf_dir: str, *parts: str, events: DataFrame | Non
     data = F.struct(F.col("event_id").cast("string").alias("id"), body.alias("text"), user_id.alias("author_id"),
                     stamp.alias("created_at"), F.col("event_type").alias("source"))
     includes = F.struct(places.alias("places"), users.alias("users"))
-    return df.select(data.alias("data"), includes.alias("includes"), *(["positive"] if positive else []))
+    return df.select(data.alias("data"), includes.alias("includes"))

@@ -44,7 +44,7 @@ def live_record_share(records: DataFrame, out: str, checkpoint: str, **run) -> S
 def windowed_count(posts: DataFrame, key: Column, watermark: str, window: str, name: str = "count") -> DataFrame:
     """Posts per ``key`` and time window, with state dropped behind the watermark.
 
-    An extension for jobs that run for long over keys without bound, such as locations
+    Posts with an unreadable time belong to no window and are left out. An extension for jobs that run for long over keys without bound, such as locations
     and handles. Closed windows come out in append mode, so ``append_files`` takes them.
     """
     return (posts.withColumn("moment", F.try_to_timestamp("data.created_at"))

@@ -4,7 +4,7 @@ import pytest
 
 from placewise.__main__ import main
 from placewise.jobs import JOBS
-from placewise.sources.posts import read_gender_records, read_posts
+from placewise.sources.posts import read_gender_records, read_posts, torn_lines
 from placewise.streaming.sinks import latest
 
 
@@ -56,9 +56,43 @@ def test_live_form_ends_like_the_batch(spark, traps_dir, records_dir, extra, tmp
     job, out = JOBS[name], str(tmp_path / "out")
     main(call(name, traps_dir, records_dir, extra, "--live", "--out", out, "--checkpoint", str(tmp_path / "cp")), spark)
     want = job.live(*inputs(spark, job, traps_dir, records_dir, extra))
-    want = job.finish()(want) if job.finish() else want
+    want = job.ordered(job.finish()(want) if job.finish() else want)
     got = spark.read.schema(want.schema).format(job.appends).load(out) if job.appends else latest(spark, out, want.schema)
     assert rows(got) == rows(want)
+    assert job.appends or not job.rank or [r[job.rank[0]] for r in job.ordered(got).collect()] == [r[job.rank[0]] for r in want.collect()]
+
+
+@pytest.mark.parametrize("name,option,argument", [("by_location", "--each-user", "each_user"), ("top_handles", "--every-handle", "every"),
+                                                  ("positive_hourly", "--ignore-case", "ignore_case"), ("positive_hourly", "--whole-word", "whole_word"),
+                                                  ("place_vs_profile", "--strict", "strict"), ("place_vs_profile_counts", "--strict", "strict")])
+def test_options_reach_the_report(spark, traps_dir, records_dir, extra, tmp_path, name, option, argument):
+    out = str(tmp_path / "out")
+    main(call(name, traps_dir, records_dir, extra, "--out", out, option), spark)
+    want = JOBS[name].batch(*inputs(spark, JOBS[name], traps_dir, records_dir, extra), **{argument: True})
+    assert rows(spark.read.schema(want.schema).parquet(out)) == rows(want)
+
+
+def test_the_zone_of_the_session(spark, traps_dir, tmp_path):
+    out = str(tmp_path / "out")
+    main(["hourly_geo", "--posts", traps_dir, "--tz", "session", "--out", out], spark)
+    assert rows(spark.read.parquet(out)) == rows(JOBS["hourly_geo"].batch(read_posts(spark, traps_dir), tz=None))
+
+
+@pytest.mark.parametrize("name", ["device_share", "by_location", "top_handles"])
+def test_live_windows(spark, traps_dir, records_dir, extra, tmp_path, name):
+    out = str(tmp_path / "out")
+    main(call(name, traps_dir, records_dir, extra, "--live", "--window", "1 hour", "--watermark", "1 hour", "--out", out, "--checkpoint", str(tmp_path / "cp")), spark)
+    got = spark.read.parquet(out)
+    assert got.columns[0] == "window" and got.columns[-1] == "count" and got.agg({"count": "sum"}).first()[0] == 10
+
+
+def test_feeds_to_the_console_are_appended(spark, traps_dir):
+    main(["text_feed", "--posts", traps_dir, "--live"], spark)
+
+
+def test_torn_lines_are_told(spark, traps_dir, capsys):
+    main(["text_feed", "--posts", traps_dir, "--torn"], spark)
+    assert f"{torn_lines(spark, traps_dir).count()} lines are no posts" in capsys.readouterr().out
 
 
 def test_live_to_the_console_is_ranked(spark, traps_dir, records_dir, extra, capfd):
@@ -72,7 +106,8 @@ def test_printing(spark, traps_dir, capsys):
 
 
 @pytest.mark.parametrize("argv", [["nothing", "--posts", "x"], ["gender_share", "--posts", "x"],
-                                  ["top_hours", "--posts", "x", "--live"], ["device_share", "--posts", "x", "--live", "--out", "y"]])
+                                  ["top_hours", "--posts", "x", "--live"], ["device_share", "--posts", "x", "--strict"], ["by_location", "--posts", "x", "--window", "1 day"],
+                                   ["device_share", "--posts", "x", "--live", "--out", "y"]])
 def test_wrong_calls_are_refused(spark, argv):
     with pytest.raises(SystemExit):
         main(argv, spark)

@@ -41,12 +41,10 @@ def test_scans_read_only_what_is_used(spark):
     text = plan(REPORTS["device_share"](spark, SF))
     assert "ReadSchema: struct<event_type:string,props:string>" in text
     assert "documents.parquet" not in text and "customer.parquet" not in text
-    assert "doc_text" not in plan(REPORTS["positive_hourly"](spark, SF))
 
 
-@pytest.mark.parametrize("name", ["top_hours", "hourly_geo", "hourly_geo_join", "positive_hourly"])
-def test_hours_are_ranked_without_a_full_sort(spark, name):
-    text = tree(REPORTS[name](spark, SF))
+def test_top_hours_are_ranked_without_a_full_sort(spark):
+    text = tree(REPORTS["top_hours"](spark, SF))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 

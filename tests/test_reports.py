@@ -57,8 +57,13 @@ def test_positive_hours(traps):
     every = as_dict(hours.positive_counts(traps), names.HOUR, names.WITH_ADDRESS, names.POSITIVE_WITH, names.POSITIVE_WITHOUT)
     assert every == {10: (3, 1, 1), 23: (1, 0, 0), None: (1, 1, 0)}
     assert [tuple(r) for r in hours.positive_hourly(traps).collect()] == [(10, 3, 1, 1)]
-    flag = F.col("data.id") == "1"
-    assert hours.positive_hourly(traps, positive=flag).count() == 0
+    whole = as_dict(hours.positive_counts(traps, ignore_case=True, whole_word=True), names.HOUR, names.POSITIVE_WITH, names.POSITIVE_WITHOUT)
+    assert whole == {10: (1, 1), 23: (0, 0), None: (1, 0)}
+
+
+def test_the_text_is_searched_once_per_post(spark, traps):
+    plan = hours.positive_hourly(traps)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1
 
 
 def test_a_null_text_is_not_positive(spark):
@@ -130,16 +135,16 @@ def from_dicts(spark, posts):
     return spark.createDataFrame(rows, POST)
 
 
-@pytest.mark.parametrize("cell_rows,max_heavy", [(5, 1000), (1, 1000), (3, 4), (100_000, 10_000)])
-def test_spread_join_is_the_plain_join(spark, cell_rows, max_heavy):
-    rng = random.Random(cell_rows)
+@pytest.mark.parametrize("cell_pairs", [1, 5, 30, 1_000_000])
+def test_spread_join_is_the_plain_join(spark, cell_pairs):
+    rng = random.Random(cell_pairs)
     # One key holds a third of each side, one is heavy on the left only, some are null.
     keys = ["hot"] * 30 + ["left"] * 20 + ["right"] + [None] * 3 + [f"k{i % 9}" for i in range(36)]
     left = [(k, f"l{i}") for i, k in enumerate(keys)]
     right = [(k, f"r{i}") for i, k in enumerate(["hot"] * 25 + ["right"] * 20 + ["left"] + [None] * 3 + ["k1", "k2", "k2"])]
     rng.shuffle(left), rng.shuffle(right)
     l, r = spark.createDataFrame(left, "k string, a string"), spark.createDataFrame(right, "k string, b string")
-    got = Counter(map(tuple, spread_join(l, r, "k", F.col("a"), F.col("b"), cell_rows, max_heavy).collect()))
+    got = Counter(map(tuple, spread_join(l, r, "k", F.col("a"), F.col("b"), cell_pairs).collect()))
     want = Counter((k, a, b) for (k, a), (k2, b) in itertools.product(left, right) if k is not None and k == k2)
     assert got == want
 
@@ -147,11 +152,19 @@ def test_spread_join_is_the_plain_join(spark, cell_rows, max_heavy):
 def test_spread_join_cuts_heavy_keys_into_cells(spark):
     l = spark.range(300).selectExpr("if(id < 100, 'hot', 'k' || id) AS k", "id AS a")
     r = spark.range(300).selectExpr("if(id < 100, 'hot', 'k' || id) AS k", "id AS b")
-    joined = spread_join(l, r, "k", F.col("a"), F.col("b"), cell_rows=10, max_heavy=1000)
+    joined = spread_join(l, r, "k", F.col("a"), F.col("b"), cell_pairs=100)
     assert joined.count() == 100 * 100 + 200
     assert sum(1 for x in joined.groupBy("k").count().collect() if x["count"] == 10_000) == 1
 
 
+def test_the_pairs_of_one_key_are_made_by_many_tasks(spark):
+    """9,000 rows of one key on both sides: 81 million pairs, whatever the size of the table."""
+    l, r = (spark.range(9000).select(F.lit("hot").alias("k"), F.col("id").alias(c)) for c in "ab")
+    joined = spread_join(l, r, "k", F.col("a"), F.col("b"), partitions=64)
+    pairs = [x["count"] for x in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(pairs) == 81_000_000 and len(pairs) > 40 and max(pairs) < 8_000_000
+
+
 def test_location_match_and_region_share(spark):
     posts = from_dicts(spark, [
         post("1", author="a", places=["Rivertown"], users=[("u", "rivertown")]),
@@ -164,4 +177,4 @@ def test_location_match_and_region_share(spark):
     assert got == {"a": (6, 2, 4, 4 / 6)}
     regions = spark.createDataFrame([("Rivertown", "x"), ("rivertown", "x"), ("Sea", "y")], "location string, attribute string")
     share = as_dict(locations.share_by_region(posts, regions), "attribute", "placed", "posts", "share")
-    assert share == {"x": (2, 2, 1.0), "y": (1, 2, 0.5)}
+    assert share == {"x": (2, 2, 1.0), "y": (1, 2, 0.5), None: (1, 1, 1.0)}

@@ -1,13 +1,11 @@
 from placewise.session import work_folder
 
 
-def test_work_folders_lie_in_the_shared_folder(spark, tmp_path):
-    unset = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/")
-    try:
-        first, second = work_folder(spark, "a"), work_folder(spark, "a")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", unset) if unset else spark.conf.unset("spark.checkpoint.dir")
+def test_work_folders_lie_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    conf = type(spark.conf)
+    plain = conf.get
+    monkeypatch.setattr(conf, "get", lambda self, key, *default: f"file://{tmp_path}/" if key == "spark.checkpoint.dir" else plain(self, key, *default))
+    first, second = work_folder(spark, "a"), work_folder(spark, "a")
     assert first.startswith(f"file://{tmp_path}/placewise/a-") and first != second
     spark.range(3).write.parquet(first)
     assert spark.read.parquet(first).count() == 3

@@ -126,6 +126,13 @@ def test_state_partitions_leave_the_session_alone(spark, landing, tmp_path):
     assert len([p for p in (tmp_path / "cp" / "state" / "0").iterdir() if p.name.isdigit()]) == 3
 
 
+def test_console_takes_feeds(spark, landing):
+    landing(0)
+    query = to_console(feeds.text_feed(stream_posts(spark, landing.path)), "append", available_now=True)
+    query.awaitTermination(120)
+    assert query.exception() is None and query.lastProgress["numInputRows"] == len(PARTS[0])
+
+
 def test_console(spark, landing, capfd):
     landing(0)
     posts = stream_posts(spark, landing.path)

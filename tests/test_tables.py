@@ -1,7 +1,4 @@
-from pyspark.sql import functions as F
-
 from placewise.functions import fields
-from placewise.functions.keywords import POSITIVE_WORDS, has_keyword
 from placewise.sources import tables
 from placewise.sources.schemas import POST
 
@@ -9,7 +6,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_parts_add_values_but_no_rows(spark):
-    bare, full = tables.posts(spark, SF), tables.posts(spark, SF, "text", "author", "place", "positive")
+    bare, full = tables.posts(spark, SF), tables.posts(spark, SF, "text", "author", "place")
     key = ["data.id", "data.author_id", "data.created_at", "data.source"]
     one, two = (df.select(*key, fields.has_place().alias("placed")) for df in (bare, full))
     events = tables.table(spark, SF, "events").count()
@@ -22,13 +19,6 @@ def test_posts_have_the_declared_shape(spark):
         assert tables.posts(spark, SF, *parts).schema.simpleString() == POST.simpleString()
 
 
-def test_the_flag_of_the_document_is_that_of_the_post(spark):
-    posts = tables.posts(spark, SF, "text", "positive")
-    assert posts.filter(F.col("positive") != has_keyword()).count() == 0
-    assert posts.filter("positive").count() > 0
-    assert not any(word in f"RT @user{n} " for word in POSITIVE_WORDS for n in range(20))
-
-
 def test_events_are_streamed_from_a_file_or_a_folder(spark, tmp_path):
     tables.table(spark, SF, "events").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
     for folder in (SF, str(tmp_path)):
