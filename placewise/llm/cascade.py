@@ -42,7 +42,7 @@ BASE = (
 # Further rules, with limits that plain prose stays far from.
 FURTHER = (
     Rule("symbols", ("n_words", "n_symbols"), lambda n_words, n_symbols: 10 * n_symbols > 3 * n_words),
-    Rule("same_lines", ("n_lines", "n_dup_lines"), lambda n_lines, n_dup_lines: 100 * n_dup_lines > 30 * n_lines),
+    Rule("same_lines", ("n_lines", "n_dup_lines"), lambda n_lines, n_dup_lines: 2 * n_dup_lines > n_lines),
     Rule("word_length", ("n_words", "word_chars"), lambda n_words, word_chars: (word_chars < 2 * n_words) | (word_chars > 15 * n_words)),
     Rule("same_words", ("n_words", "n_same_words"), lambda n_words, n_same_words: 100 * n_same_words > 20 * n_words),
     Rule("letters", ("word_chars", "n_letters"), lambda word_chars, n_letters: 100 * n_letters < 60 * word_chars),

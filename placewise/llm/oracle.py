@@ -31,7 +31,7 @@ SQL = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
                n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
                NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > 3 * n_words
-                    OR 100 * n_dup_lines > 30 * n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                    OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words
                     OR 100 * n_same > 20 * n_words OR 100 * n_letters < 60 * word_chars) AS kept
         FROM counts""",
     "op4_substring_dedup": rf"""
