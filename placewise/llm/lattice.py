@@ -24,7 +24,7 @@ from placewise.session import work_folder
 
 # Rounds of expectation maximisation, and what each piece gets beside its expected count.
 ROUNDS, SMOOTHING = 2, 0.1
-# Words that are broadcast with their counts: the most frequent. All others are joined.
+# Words that are broadcast with their counts, at most: the most frequent. All others are joined.
 HEAD_WORDS = 100_000
 # Distinct words that a task counts before it sends them; scores that a worker remembers.
 HELD_WORDS, REMEMBERED = 400_000, 200_000
@@ -261,6 +261,19 @@ def _scores(head, model, floor):
     return run
 
 
+def _head_count(counts: DataFrame) -> int:
+    """The smallest count of a head of at most HEAD_WORDS words: all words of one size class are in it or none."""
+    size = F.floor(F.log2("n") * 16).alias("size")
+    sizes = counts.groupBy(size).agg(F.count("*").alias("words"), F.min("n").alias("least")).orderBy(F.desc("size")).collect()
+    words, least = 0, 1 << 62
+    for r in sizes:
+        words += r["words"]
+        if words > HEAD_WORDS:
+            break
+        least = r["least"]
+    return least
+
+
 def scored(docs: DataFrame, learn: Column, vocabulary_path: str) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of each row of ``docs``.
 
@@ -278,7 +291,7 @@ def scored(docs: DataFrame, learn: Column, vocabulary_path: str) -> DataFrame:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     pieces = fitted(counts, vocabulary(vocabulary_path))
     floor = math.log10(0.5 / (total + 0.5 * (distinct + 1)))
-    head = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect()]
+    head = [(bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= _head_count(counts)).collect()]
     lattice = pieces.words([word for word, _ in head])
     lattice = [pieces.ending() if word == END else float(x) for (word, _), x in zip(head, lattice, strict=True)]
     head = {word: (n, math.log10((n + 0.5) / (total + 0.5 * (distinct + 1))), x) for (word, n), x in zip(head, lattice, strict=True)}
