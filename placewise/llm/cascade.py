@@ -16,12 +16,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from placewise.llm.measures import Measured
 from placewise.llm.texts import arrow_map, id_and_text, slices
 
-# Documents that costs and rejections are estimated on, at most, and the part of rows they are drawn from.
+# Documents that costs and rejections are estimated on, at most, their longest text, and the part of rows they are drawn from.
 SAMPLE_ROWS = 1000
+SAMPLE_CHARS = 100_000
 SAMPLE_PART = 0.1
 
 
@@ -72,16 +74,21 @@ def _sampled(rules: Sequence[Rule]):
 
 
 def ordered(docs: DataFrame, rules: Sequence[Rule], known: Sequence[str] = ()) -> list[Rule]:
-    """The rules by rejection per cost on a sample; ``known`` measures cost nothing."""
+    """The rules by rejection per cost on a sample; ``known`` measures cost nothing.
+
+    The sample is taken from as few partitions as hold enough rows.
+    """
     names, run = _sampled(rules)
-    sample = id_and_text(docs).sample(SAMPLE_PART, seed=1).limit(SAMPLE_ROWS)
-    rows = arrow_map(sample, run, "seconds array<double>, rejected array<boolean>").collect()
-    if not rows:
+    sample = id_and_text(docs).where(F.length("text") <= SAMPLE_CHARS).sample(SAMPLE_PART, seed=1).take(SAMPLE_ROWS)
+    if not sample:
         return list(rules)
-    seconds = np.array([r["seconds"] for r in rows]).mean(0)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [r["doc_id"] for r in sample], "text": [r["text"] for r in sample]})
+    found = list(run([batch]))
+    rows = [x for part in found for x in part["rejected"]]
+    seconds = np.array([x for part in found for x in part["seconds"]]).mean(0)
     cost = dict(zip(names, seconds[:len(names)].tolist(), strict=True))
     own = dict(zip([r.name for r in rules], seconds[len(names):].tolist(), strict=True))
-    rejected = np.array([r["rejected"] for r in rows], bool)
+    rejected = np.array(rows, bool)
     alive, done, left, order = np.ones(len(rows), bool), set(known), list(range(len(rules))), []
     while left:
         def worth(i: int) -> float:
