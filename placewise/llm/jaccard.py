@@ -1,14 +1,17 @@
 """Joins documents whose sets of word n-grams are alike, as a blocked sparse matrix product.
 
 The matrix has a row for each document and a column for each n-gram. Only columns that a
-link needs are multiplied: with the n-grams of a document ordered from rare to frequent,
-two documents that link share one among the first ``n - ceil(0.8 n) + 1`` of each. Sharing
-one makes them candidates; the components of candidates are the blocks, cut further by
-size bands and to a bounded number of rows. Inside a block the product of the full rows
-accumulates the overlaps, and pairs below the bound that their sizes give are dropped.
-
-Documents with the same set are one row. A task hands on one of its documents for each
-n-gram and ties the others to it, so that a frequent n-gram costs a row for each task.
+link needs are multiplied first: with the n-grams of a document ordered from rare to
+frequent, two documents that link share ``m`` among the first ``n - ceil(0.8 n) + m`` of
+each (``n`` n-grams, ``m`` = 0.2 n). Columns of few documents give pairs, whose counts are
+added up; a pair below ``m``, even if all its shared frequent columns were added, is
+dropped. Documents that have ``m`` frequent columns themselves are tied along these, each
+to the smallest that has the column, which is one edge and not a pair for each other one.
+
+The components of what is left are the blocks, cut further by size bands and to a bounded
+number of rows. Inside a block the product of the full rows accumulates the overlaps, and
+pairs below the bound that their sizes give are dropped. Documents with the same set are
+one row.
 """
 
 from __future__ import annotations
@@ -31,6 +34,12 @@ PERCENT = 80
 COUNTER_BITS = 22
 # Columns and rows that a task holds before it sends what it has.
 HELD = 3_000_000
+# Stands for the documents of a column that a task found to be frequent.
+MARK = np.uint64((1 << 64) - 1)
+# Bits (a power of two) of the filter of documents that are compared, which is broadcast: 8 MB.
+WANTED_BITS = 26
+# Documents up to which a column gives pairs; beyond, documents are tied along it.
+PAIR_DOCUMENTS = 16
 # Documents of a block.
 BLOCK_ROWS = 512
 # Columns that are multiplied at once, as a dense stripe.
@@ -42,9 +51,14 @@ def least_overlap(first, second):
     return -(-PERCENT * (first + second) // (100 + PERCENT))
 
 
+def shared_in_prefix(size):
+    """Shingles that sets of this size share with each set they link to, both within their prefixes."""
+    return max(1, size * (100 - PERCENT) // 100)
+
+
 def prefix_length(size):
     """A set of this size shares at least ceil(size * PERCENT / 100) shingles with each set that it links to."""
-    return size - -(-size * PERCENT // 100) + 1
+    return min(size, size - -(-size * PERCENT // 100) + shared_in_prefix(size))
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -120,10 +134,21 @@ def frequencies(survey: DataFrame) -> np.ndarray:
     return np.minimum(total.reshape(-1), np.iinfo(np.uint32).max).astype(np.uint32)
 
 
+def _groups(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ascending columns: where the group of each place begins, and how many places it has."""
+    begins = np.append(True, columns[1:] != columns[:-1])[:len(columns)]
+    first = np.flatnonzero(begins)
+    counts = np.diff(np.append(first, len(columns)))
+    return np.repeat(first, counts), np.repeat(counts, counts)
+
+
+_SENT = "block int, columns binary, docs binary, frequent boolean"
+
+
 def _prefixes(counters):
-    """Postings of the columns that a link needs, and ties between documents that share one."""
+    """Postings of the prefixes by block. A column that is frequent in the task alone is sent apart, and marked in its block."""
     def run(batches):
-        frequency = counters.value
+        frequency = packed.opened(counters)
         held, number = [], 0
 
         def sent():
@@ -138,15 +163,15 @@ def _prefixes(counters):
             columns, docs = columns[own], docs[own]
             order = np.lexsort((docs, columns))
             columns, docs = columns[order], docs[order]
-            begins = np.append(True, columns[1:] != columns[:-1])
-            centre = docs[np.maximum.accumulate(np.where(begins, np.arange(len(docs)), 0))]
-            tied = np.unique(np.stack([docs, centre], 1)[docs != centre], axis=0)
-            yield {"block": np.zeros(1, np.int32), "columns": [None], "docs": [packed.pack(tied[:, 0])], "others": [packed.pack(tied[:, 1])]}
-            columns, docs = columns[begins], docs[begins]
-            bounds = packed.block_bounds(columns)
-            full = np.flatnonzero(np.diff(bounds)).tolist()
-            yield {"block": np.array(full, np.int32), "columns": [packed.pack_sorted(columns[bounds[b]:bounds[b + 1]]) for b in full],
-                   "docs": [packed.pack(docs[bounds[b]:bounds[b + 1]]) for b in full], "others": [None] * len(full)}
+            begin, counts = _groups(columns)
+            frequent = counts > PAIR_DOCUMENTS
+            marks = frequent & (begin == np.arange(len(columns)))
+            for apart, kept in ((True, frequent), (False, ~frequent | marks)):
+                own_columns, own_docs = columns[kept], np.where(frequent & (not apart), MARK, docs)[kept]
+                bounds = packed.block_bounds(own_columns)
+                full = np.flatnonzero(np.diff(bounds)).tolist()
+                yield {"block": np.array(full, np.int32), "columns": [packed.pack_sorted(own_columns[bounds[x]:bounds[x + 1]]) for x in full],
+                       "docs": [packed.pack(own_docs[bounds[x]:bounds[x + 1]]) for x in full], "frequent": [apart] * len(full)}
 
         for batch, texts in slices(batches):
             values, bounds = shingle_sets(texts)
@@ -174,37 +199,131 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return (values ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def _tied(batches):
-    """Documents that share a column, tied to the smallest of them."""
+def _summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows of equal keys as one row with the sum of their counts."""
+    order = np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
+    begins = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))[:len(order)]
+    return [k[begins] for k in keys], np.add.reduceat(counts[order], np.flatnonzero(begins)) if len(order) else counts
+
+
+_FOUND = "kind string, a long, b long, n long, columns binary, docs binary"
+
+
+def _multiplied_columns(batches):
+    """``pair`` rows: two documents and how many of their rare columns they share; ``frequent`` rows: other columns with
+    their documents, packed; ``heavy`` rows: a document and how many such columns it has."""
+    empty = {"columns": [None], "docs": [None]}
+    pairs: list[tuple] = []
+    heavy: list[np.ndarray] = []
+
+    def rows(kind, a, b, n):
+        none = [None] * len(a)
+        return {"kind": [kind] * len(a), "a": a, "b": b, "n": n, "columns": none, "docs": none}
+
+    def frequent(columns, docs):
+        heavy.append(docs)
+        return {"kind": ["frequent"], "a": [0], "b": [0], "n": [0]} | empty | {"columns": [packed.pack_sorted(columns)], "docs": [packed.pack(docs)]}
+
+    def sent():
+        if pairs:
+            (a, b), n = _summed([np.concatenate(x) for x in zip(*pairs, strict=True)], np.ones(sum(len(p[0]) for p in pairs), np.int64))
+            yield rows("pair", _signed(a), _signed(b), n)
+        if heavy:
+            docs = np.concatenate(heavy)
+            (docs,), n = _summed([docs], np.ones(len(docs), np.int64))
+            yield rows("heavy", _signed(docs), np.zeros(len(docs), np.int64), n)
+        pairs.clear(), heavy.clear()
+
     def ready(parts):
         columns, docs = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((docs, columns))
         columns, docs = columns[order], docs[order]
-        begins = np.append(True, columns[1:] != columns[:-1])
-        centre = docs[np.maximum.accumulate(np.where(begins, np.arange(len(docs)), 0))]
-        pairs = np.unique(np.stack([docs, centre], 1)[docs != centre], axis=0)
-        return {"a": _signed(pairs[:, 0]), "b": _signed(pairs[:, 1])}
+        begin, counts = _groups(columns)
+        # a mark is the largest number, so it comes last in its group
+        many = (counts > PAIR_DOCUMENTS) | (docs[begin + counts - 1] == MARK)
+        own = many & (docs != MARK)
+        if own.any():
+            yield frequent(columns[own], docs[own])
+        columns, docs = columns[~many], docs[~many]
+        for step in range(1, PAIR_DOCUMENTS):
+            same = np.flatnonzero((columns[step:] == columns[:-step]) & (docs[step:] != docs[:-step]))
+            if len(same):
+                pairs.append((docs[same + step], docs[same]))
 
     current, parts = None, []
     for batch in batches:
-        for block, columns, docs, others in zip(*(batch.column(c).to_pylist() for c in ("block", "columns", "docs", "others")), strict=True):
-            if others is not None:
-                yield {"a": _signed(packed.unpack(docs)), "b": _signed(packed.unpack(others))}
+        for block, columns, docs, apart in zip(*(batch.column(c).to_pylist() for c in ("block", "columns", "docs", "frequent")), strict=True):
+            if apart:
+                heavy.append(packed.unpack(docs))
+                yield {"kind": ["frequent"], "a": [0], "b": [0], "n": [0], "columns": [columns], "docs": [docs]}
                 continue
             if block != current and parts:
-                yield ready(parts)
+                yield from ready(parts)
                 parts = []
+                if sum(len(p[0]) for p in pairs) + sum(map(len, heavy)) > HELD:
+                    yield from sent()
             current = block
             parts.append((packed.unpack_sorted(columns), packed.unpack(docs)))
     if parts:
-        yield ready(parts)
+        yield from ready(parts)
+    yield from sent()
 
 
-def _sets(batches):
-    for batch, texts in slices(batches):
-        values, bounds = shingle_sets(texts)
-        yield {"doc_id": batch.column("doc_id"), "component": batch.column("component"), "size": np.diff(bounds),
-               "shingles": [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]}
+def _ties(popular):
+    """Ties of popular documents along frequent columns: to the first in the row, and that one for the column as a whole."""
+    def run(batches):
+        wanted = packed.opened(popular)
+        for batch in batches:
+            for columns, docs in zip(batch.column("columns").to_pylist(), batch.column("docs").to_pylist(), strict=True):
+                columns, docs = packed.unpack_sorted(columns), packed.unpack(docs)
+                chosen = packed.passes(wanted, _signed(docs))
+                columns, docs = columns[chosen], docs[chosen]
+                begin, _ = _groups(columns)
+                first = begin == np.arange(len(docs))
+                (a, b), _ = _summed([docs[~first], docs[begin][~first]], np.ones(int((~first).sum()), np.int64))
+                keys = np.append(np.zeros(len(a), np.int64), columns[first].view(np.int64))
+                yield {"whole": np.append(np.zeros(len(a), bool), np.ones(int(first.sum()), bool)), "key": keys,
+                       "a": _signed(np.append(a, docs[first])), "b": _signed(np.append(b, docs[first]))}
+    return run
+
+
+def candidates(rows: DataFrame, known: DataFrame, counters, folder: str) -> DataFrame:
+    """``a, b``: edges along which all links between different sets can be reached; not every edge is a link."""
+    spark = rows.sparkSession
+    sent = arrow_map(rows, _prefixes(counters), _SENT)
+    arrow_map(packed.by_block(sent), _multiplied_columns, _FOUND).write.parquet(f"{folder}/columns")
+    found = spark.read.schema(_FOUND).parquet(f"{folder}/columns")
+    size = F.min("size")
+    needed = lambda n: F.greatest(F.lit(1), F.floor(n * (100 - PERCENT) / 100))
+    heavy = found.where("kind = 'heavy'").groupBy("a").agg(F.sum("n").alias("heavy"))
+    of = (known.groupBy("doc_id").agg(size.alias("size")).join(heavy.withColumnRenamed("a", "doc_id"), "doc_id", "left")
+          .select("doc_id", "size", needed(F.col("size")).alias("needed"), F.coalesce("heavy", F.lit(0)).alias("heavy")))
+    pairs = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    for end in ("a", "b"):
+        pairs = pairs.join(of.toDF(end, f"size_{end}", f"needed_{end}", f"heavy_{end}"), end)
+    pairs = pairs.where(F.col("n") + F.least("heavy_a", "heavy_b") >= F.least("needed_a", "needed_b")).select("a", "b")
+    # a partner may be smaller by PERCENT and so need fewer shared columns
+    popular = packed.key_filter(of.where(F.col("heavy") >= needed(F.floor(F.col("size") * PERCENT / 100))).select(F.col("doc_id").alias("key")), WANTED_BITS)
+    ties = arrow_map(found.where("kind = 'frequent'").select("columns", "docs"), _ties(packed.shared(spark, popular)), "whole boolean, key long, a long, b long")
+    ties.write.parquet(f"{folder}/ties")
+    ties = spark.read.schema("whole boolean, key long, a long, b long").parquet(f"{folder}/ties")
+    whole = ties.where("whole").select("key", "a")
+    along = whole.join(whole.groupBy("key").agg(F.min("a").alias("b")), "key").where("a != b").select("a", "b")
+    return pairs.unionByName(ties.where("NOT whole").select("a", "b")).unionByName(along)
+
+
+def _sets(wanted):
+    """The sets of the documents that pass the filter."""
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("doc_id")
+            chosen = packed.passes(packed.opened(wanted), ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
+            for rows, texts in slices([batch.filter(pa.array(chosen))]):
+                values, bounds = shingle_sets(texts)
+                yield {"doc_id": rows.column("doc_id"), "size": np.diff(bounds),
+                       "shingles": [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]}
+    return run
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -248,14 +367,13 @@ def _multiplied(key, table):
 
 
 def _block_pairs(nodes: DataFrame) -> DataFrame:
-    """Each row of ``component, doc_id, size, shingles`` once for each pair of blocks that it belongs to.
+    """``doc_id, size, component, pair`` for each pair of blocks that a row ``doc_id, size, component`` belongs to.
 
     A component of up to BLOCK_ROWS documents is one block. A larger one is cut by size,
     into bands of ratio 100 / PERCENT, and each band by hash; links join blocks of a band
     or of neighbouring ones only.
     """
-    band = F.floor(F.log(F.col("size")) / F.log(F.lit(100 / PERCENT)) + 1e-9)
-    nodes = nodes.withColumn("band", band)
+    nodes = nodes.withColumn("band", F.floor(F.log(F.col("size")) / F.log(F.lit(100 / PERCENT)) + 1e-9))
     counts = nodes.groupBy("component", "band").agg(F.count("*").alias("n"))
     maps = counts.groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("band", "n"))).alias("bands"))
     nodes = nodes.join(maps, "component")
@@ -269,7 +387,7 @@ def _block_pairs(nodes: DataFrame) -> DataFrame:
         F.transform(numbers(F.col("band")), lambda p: name(F.col("band"), F.least(own, p), F.col("band"), F.greatest(own, p))),
         F.transform(numbers(above), lambda p: name(F.col("band"), own, above, p)),
         F.transform(numbers(below), lambda p: name(below, p, F.col("band"), own)))
-    return nodes.withColumn("pair", F.explode(F.when(whole, F.array(F.lit(""))).otherwise(pairs))).select("component", "pair", "doc_id", "shingles")
+    return nodes.select("doc_id", "size", "component", F.explode(F.when(whole, F.array(F.lit(""))).otherwise(pairs)).alias("pair"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -287,25 +405,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     survey = "doc_id long, size long, first long, second long, block int, counts binary"
     arrow_map(rows, _surveyed, survey).write.parquet(f"{folder}/survey")
     survey = spark.read.schema(survey).parquet(f"{folder}/survey")
-    counters = spark.sparkContext.broadcast(frequencies(survey))
+    counters = packed.shared(spark, frequencies(survey))
     docs_of = survey.where("block IS NULL").select("doc_id", "size", "first", "second")
     known = docs_of.where("doc_id IS NOT NULL AND size > 0")
     classes = known.groupBy("first", "second").agg(F.min("doc_id").alias("least"))
     same = known.join(classes, ["first", "second"]).select("doc_id", "least")
-    sent = arrow_map(rows, _prefixes(counters), "block int, columns binary, docs binary, others binary")
-    ties = arrow_map(packed.by_block(sent), _tied, "a long, b long").distinct()
-    ties.write.parquet(f"{folder}/ties")
-    ties = spark.read.schema("a long, b long").parquet(f"{folder}/ties")
     same.distinct().write.parquet(f"{folder}/same")
     same = spark.read.schema("doc_id long, least long").parquet(f"{folder}/same")
+    ties = candidates(rows, known, counters, folder).distinct()
     for end in ("a", "b"):
         ties = ties.join(same.select(F.col("doc_id").alias(end), F.col("least").alias(f"{end}_least")), end)
     blocks = components(ties.select(F.col("a_least").alias("a"), F.col("b_least").alias("b")))
-    sets = arrow_map(rows.join(blocks.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "text", "component"), _sets,
-                     "doc_id long, component long, size long, shingles binary").where("size > 0")
-    sets.write.parquet(f"{folder}/sets")
-    sets = spark.read.schema("doc_id long, component long, size long, shingles binary").parquet(f"{folder}/sets")
-    links = _block_pairs(sets).groupBy("component", "pair").applyInArrow(_multiplied, "a long, b long")
+    blocks.write.parquet(f"{folder}/blocks")
+    blocks = spark.read.schema("node long, component long").parquet(f"{folder}/blocks")
+    wanted = packed.key_filter(blocks.select(F.col("node").alias("key")), WANTED_BITS)
+    sets = arrow_map(rows, _sets(packed.shared(spark, wanted)), "doc_id long, size long, shingles binary")
+    nodes = known.select("doc_id", "size").distinct().join(blocks.withColumnRenamed("node", "doc_id"), "doc_id")
+    links = (sets.join(_block_pairs(nodes), ["doc_id", "size"]).select("component", "pair", "doc_id", "shingles")
+             .groupBy("component", "pair").applyInArrow(_multiplied, "a long, b long"))
     found = components(links.unionByName(same.toDF("a", "b")))
     return (docs_of.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))

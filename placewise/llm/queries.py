@@ -62,7 +62,7 @@ def op3_rule_ensemble(spark, sf_dir):
 def op4_substring_dedup(spark, sf_dir):
     found = substring.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     words = F.array_join(F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != ""), " ")
-    kept = F.when(F.col("n_removed") > 0, F.col("text")).otherwise(words)
+    kept = F.coalesce(F.when(F.col("n_removed") > 0, F.col("text")).otherwise(words), F.lit(""))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 

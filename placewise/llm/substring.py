@@ -167,7 +167,7 @@ _SENT = "kind int, block int, group long, first binary, second binary, docs bina
 
 def _candidates(bits):
     def run(batches):
-        held, number = [], 0
+        filter_, held, number = packed.opened(bits), [], 0
 
         def sent():
             first, second, docs, groups = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -189,7 +189,7 @@ def _candidates(bits):
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             docs, groups = _signed(ids.fill_null(0).to_numpy()), batch.column("group").to_numpy()
             owners = words.owners()[starts]
-            found = _passing(bits.value, first)
+            found = _passing(filter_, first)
             found = found[known[owners[found]]]
             owners, hashes = owners[found], first[found]
             # a window counts once for a document
@@ -289,11 +289,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rest = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.struct(F.lit(0).alias("none"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), rest.alias("rest"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest.alias("rest"))
     bits, words = repeated_filter(rows)
     groups = words // GROUP_WORDS + 1
     group = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(groups)).alias("group")
-    sent = arrow_map(rows.select("doc_id", "text", group), _candidates(spark.sparkContext.broadcast(bits)), _SENT)
+    sent = arrow_map(rows.select("doc_id", "text", group), _candidates(packed.shared(spark, bits)), _SENT)
     marks = arrow_map(packed.by_block(sent), _grouped, "group long, first binary, docs binary")
     sides = (marks.withColumn("kind", F.lit(0))
              .unionByName(rows.select("*", group, F.lit(1).alias("kind")), allowMissingColumns=True)
