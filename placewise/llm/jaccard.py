@@ -39,7 +39,7 @@ MARK = np.uint64((1 << 64) - 1)
 # Bits (a power of two) of the filter of documents that are compared, which is broadcast: 8 MB.
 WANTED_BITS = 26
 # Documents up to which a column gives pairs; beyond, documents are tied along it.
-PAIR_DOCUMENTS = 16
+PAIR_DOCUMENTS = 4
 # Documents of a block.
 BLOCK_ROWS = 512
 # Columns that are multiplied at once, as a dense stripe.
