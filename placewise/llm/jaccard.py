@@ -397,7 +397,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shingles of both; the component is the smallest id that links reach. A text with fewer
     words than a shingle is one shingle; one without words has none and links with none.
     Rows with equal ids are one document as to links. A row without an id links with none,
-    and its component is null. Other columns are not read.
+    and its component is null. The largest long is no id here: it marks columns. Other
+    columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
