@@ -207,32 +207,33 @@ def _summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray
     return [k[begins] for k in keys], np.add.reduceat(counts[order], np.flatnonzero(begins)) if len(order) else counts
 
 
-_FOUND = "kind string, a long, b long, n long, columns binary, docs binary"
+_FOUND = "kind string, a long, n long, columns binary, docs binary, counts binary"
 
 
 def _multiplied_columns(batches):
-    """``pair`` rows: two documents and how many of their rare columns they share; ``frequent`` rows: other columns with
-    their documents, packed; ``heavy`` rows: a document and how many such columns it has."""
-    empty = {"columns": [None], "docs": [None]}
+    """``pair`` rows: pairs of documents of a block ``a`` and how many of their rare columns they share, packed;
+    ``frequent`` rows: other columns with their documents, packed; ``heavy`` rows: a document and how many such columns
+    it has."""
     pairs: list[tuple] = []
     heavy: list[np.ndarray] = []
 
-    def rows(kind, a, b, n):
-        none = [None] * len(a)
-        return {"kind": [kind] * len(a), "a": a, "b": b, "n": n, "columns": none, "docs": none}
-
     def frequent(columns, docs):
-        heavy.append(docs)
-        return {"kind": ["frequent"], "a": [0], "b": [0], "n": [0]} | empty | {"columns": [packed.pack_sorted(columns)], "docs": [packed.pack(docs)]}
+        return {"kind": ["frequent"], "a": [0], "n": [0], "columns": [columns], "docs": [docs], "counts": [None]}
 
     def sent():
         if pairs:
             (a, b), n = _summed([np.concatenate(x) for x in zip(*pairs, strict=True)], np.ones(sum(len(p[0]) for p in pairs), np.int64))
-            yield rows("pair", _signed(a), _signed(b), n)
+            place = mixed(a)
+            order = np.argsort(place, kind="stable")
+            a, b, n, bounds = a[order], b[order], n[order].astype(np.uint64), packed.block_bounds(place[order])
+            full = np.flatnonzero(np.diff(bounds)).tolist()
+            cut = lambda x: [packed.pack(x[bounds[i]:bounds[i + 1]]) for i in full]
+            yield {"kind": ["pair"] * len(full), "a": full, "n": [0] * len(full), "columns": cut(a), "docs": cut(b), "counts": cut(n)}
         if heavy:
             docs = np.concatenate(heavy)
             (docs,), n = _summed([docs], np.ones(len(docs), np.int64))
-            yield rows("heavy", _signed(docs), np.zeros(len(docs), np.int64), n)
+            none = [None] * len(docs)
+            yield {"kind": ["heavy"] * len(docs), "a": _signed(docs), "n": n, "columns": none, "docs": none, "counts": none}
         pairs.clear(), heavy.clear()
 
     def ready(parts):
@@ -244,7 +245,8 @@ def _multiplied_columns(batches):
         many = (counts > PAIR_DOCUMENTS) | (docs[begin + counts - 1] == MARK)
         own = many & (docs != MARK)
         if own.any():
-            yield frequent(columns[own], docs[own])
+            heavy.append(docs[own])
+            yield frequent(packed.pack_sorted(columns[own]), packed.pack(docs[own]))
         columns, docs = columns[~many], docs[~many]
         for step in range(1, PAIR_DOCUMENTS):
             same = np.flatnonzero((columns[step:] == columns[:-step]) & (docs[step:] != docs[:-step]))
@@ -256,7 +258,7 @@ def _multiplied_columns(batches):
         for block, columns, docs, apart in zip(*(batch.column(c).to_pylist() for c in ("block", "columns", "docs", "frequent")), strict=True):
             if apart:
                 heavy.append(packed.unpack(docs))
-                yield {"kind": ["frequent"], "a": [0], "b": [0], "n": [0], "columns": [columns], "docs": [docs]}
+                yield frequent(columns, docs)
                 continue
             if block != current and parts:
                 yield from ready(parts)
@@ -270,6 +272,14 @@ def _multiplied_columns(batches):
     yield from sent()
 
 
+def _added_pairs(batches):
+    """``a, b, n`` once for each pair: the sums over all blocks of columns."""
+    for _, rows in packed.blocks(batches):
+        a, b, n = (np.concatenate([packed.unpack(x[c]) for x in rows]) for c in ("columns", "docs", "counts"))
+        (a, b), n = _summed([a, b], n.astype(np.int64))
+        yield {"a": _signed(a), "b": _signed(b), "n": n}
+
+
 def _ties(popular):
     """Ties of popular documents along frequent columns: to the first in the row, and that one for the column as a whole."""
     def run(batches):
@@ -299,7 +309,8 @@ def candidates(rows: DataFrame, known: DataFrame, counters, folder: str) -> Data
     heavy = found.where("kind = 'heavy'").groupBy("a").agg(F.sum("n").alias("heavy"))
     of = (known.groupBy("doc_id").agg(size.alias("size")).join(heavy.withColumnRenamed("a", "doc_id"), "doc_id", "left")
           .select("doc_id", "size", needed(F.col("size")).alias("needed"), F.coalesce("heavy", F.lit(0)).alias("heavy")))
-    pairs = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    pairs = found.where("kind = 'pair'").select(F.col("a").cast("int").alias("block"), "columns", "docs", "counts")
+    pairs = arrow_map(packed.by_block(pairs), _added_pairs, "a long, b long, n long")
     for end in ("a", "b"):
         pairs = pairs.join(of.toDF(end, f"size_{end}", f"needed_{end}", f"heavy_{end}"), end)
     pairs = pairs.where(F.col("n") + F.least("heavy_a", "heavy_b") >= F.least("needed_a", "needed_b")).select("a", "b")
