@@ -19,7 +19,7 @@ import pyarrow as pa
 from placewise.llm.texts import raw
 
 # Pieces that one Python worker keeps, and the longest that it keeps.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 600_000
 CACHE_BYTES = 64
 
 _ALL = np.arange(256)
