@@ -33,7 +33,7 @@ PERCENT = 80
 # links; more counters keep more of the frequent shingles out of the way.
 COUNTER_BITS = 22
 # Columns and rows that a task holds before it sends what it has.
-HELD = 3_000_000
+HELD = 1_000_000
 # Stands for the documents of a column that a task found to be frequent.
 MARK = np.uint64((1 << 64) - 1)
 # Bits (a power of two) of the filter of documents that are compared, which is broadcast: 8 MB.
@@ -105,7 +105,7 @@ def _surveyed(batches):
         first, second = set_keys(values, bounds)
         yield {"doc_id": batch.column("doc_id"), "size": np.diff(bounds), "first": first, "second": second,
                "block": pa.nulls(len(first), pa.int32()), "counts": pa.nulls(len(first), pa.binary())}
-        if number > 8 * HELD:
+        if number > 24 * HELD:
             yield sent()
             counts[:], number = 0, 0
     if number:

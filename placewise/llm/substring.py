@@ -30,9 +30,9 @@ WINDOW = 13
 CELL_BITS = 32
 FILTER_BITS = 28
 # Windows that a task holds before it sends what it has.
-HELD_WINDOWS = 3_000_000
+HELD_WINDOWS = 1_000_000
 # Words in a group of documents that is rewritten together, about.
-GROUP_WORDS = 2_000_000
+GROUP_WORDS = 1_000_000
 
 
 def _places(cells: np.ndarray) -> list[np.ndarray]:
