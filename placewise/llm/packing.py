@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placewise.llm.segments import Encoder
+from placewise.llm.segments import SLICE_BYTES, Encoder
 from placewise.llm.texts import arrow_map, id_and_text, slices
 from placewise.llm.token_counts import binaries
 from placewise.session import work_folder
@@ -47,7 +47,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """``doc_id, ids``: 16- or 32-bit ids of each text and the end."""
     def run(batches):
         encoder = Encoder.of(tokenizer)
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, SLICE_BYTES):
             ids, starts = encoder.encode(texts)
             ids = np.insert(ids, starts[1:], end_id)
             yield {"doc_id": batch.column("doc_id"), "ids": binaries(ids, starts + np.arange(len(starts)))}

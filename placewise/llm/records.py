@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from placewise.llm.segments import Encoder
+from placewise.llm.segments import SLICE_BYTES, Encoder
 from placewise.llm.texts import arrow_map, id_and_text, slices
 from placewise.llm.token_counts import binaries
 
@@ -217,7 +217,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -
 
     def run(batches):
         encoder = Encoder.of(tokenizer)
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, SLICE_BYTES):
             ids, starts = encoder.encode(texts)
             places = starts[1:]
             ids = np.insert(ids, places, end_id).astype(f"<u{width}")

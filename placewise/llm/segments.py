@@ -21,6 +21,8 @@ from placewise.llm.texts import raw
 # Pieces that one Python worker keeps, and the longest that it keeps.
 CACHE_PIECES = 600_000
 CACHE_BYTES = 64
+# Bytes of text that are encoded at once.
+SLICE_BYTES = 4 << 20
 
 _ALL = np.arange(256)
 _SPACE = (_ALL == 0x20) | ((_ALL >= 0x09) & (_ALL <= 0x0D))

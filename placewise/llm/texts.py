@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text that are handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _ALL = np.arange(256, dtype=np.uint8)
 # Words are runs of bytes outside these: [^\x20\x09-\x0D]+

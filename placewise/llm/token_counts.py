@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewise.llm import segments
+from placewise.llm.segments import SLICE_BYTES
 from placewise.llm.texts import arrow_map, id_and_text, slices
 
 # The white space of Unicode, by which the tokenizer splits.
@@ -157,7 +158,7 @@ def prefix_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     def run(batches):
         counter = PrefixCounter.of(tokenizer)
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, SLICE_BYTES):
             values, bounds = counter.all_differences(texts)
             sums = np.append(0, np.cumsum(values, dtype=np.int64))[bounds]
             yield {"doc_id": batch.column("doc_id"), "n_bytes": pc.binary_length(texts),
