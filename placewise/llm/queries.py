@@ -8,8 +8,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import (cascade, contamination, jaccard, lattice, packing, records, rule_ensemble, substring,
-                           token_counts, tool_calls)
+from placewise.llm import (cascade, contamination, jaccard, lattice, merkle, packing, records, rule_ensemble, spelling, substring,
+                           token_counts, tool_calls, topk)
 from placewise.llm.oracle import SQL  # noqa: F401
 from placewise.session import work_folder
 
@@ -112,3 +112,22 @@ def op10_token_records(spark, sf_dir):
     out = work_folder(spark, "records")
     records.write_records(table(spark, sf_dir, "documents"), out, BYTE_BPE)
     return records.digests(records.read_records(spark, out))
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    """Where 5 divides the hash of an id, the holder has the text in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return merkle.proofs(merkle.manifest(docs, {"text": F.when(tampered, lower).otherwise(F.col("text"))}))
+
+
+@query
+def op12_exact_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))

@@ -165,12 +165,17 @@ def whole_runs(words: Words, length: int) -> np.ndarray:
     return np.flatnonzero(np.arange(count) + length <= ends[:count])
 
 
-def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``function(batches)`` yields dictionaries of columns; they become the rows of ``schema``."""
+def arrow_schema(schema: str) -> pa.Schema:
+    """The Arrow form of a schema in words; to be made on the driver."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    columns = to_arrow_schema(_parse_datatype_string(schema))
+    return to_arrow_schema(_parse_datatype_string(schema))
+
+
+def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``function(batches)`` yields dictionaries of columns; they become the rows of ``schema``."""
+    columns = arrow_schema(schema)
 
     def run(batches):
         for row in function(batches):
