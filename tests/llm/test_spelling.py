@@ -1,0 +1,104 @@
+"""Spelling variants against all pairs in plain Python."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from placewise.llm import queries, spelling
+from tests.llm.conftest import TRAPS, expected, rows
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def plain(docs):
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = None if doc is None else zlib.crc32(f"{doc}:{run}".encode())
+            counts[run if h is None or h % 97 else run[:h % len(run)] + run[h % len(run) + 1:]] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+    near = {w: [x for x in words if abs(len(x) - len(w)) < 2 and one_edit(w, x)] for w in words}
+    best = {w: min(own, key=lambda x: (-words[x], x)) for w, own in near.items() if own}
+    forms = {w: x for w, x in best.items() if words[x] >= 2 * words[w]}
+    found = []
+    for word, n in words.items():
+        root = word
+        while root in forms:
+            root = forms[root]
+        form = forms.get(word)
+        found.append((word, form, root, n, len(near[word]), words[form] if form else None))
+    return found
+
+
+def frame(spark, docs):
+    return spark.createDataFrame([(*d, 1, "x") for d in docs], "doc_id long, text string, n int, code string").repartition(3)
+
+
+def misspelt(seed=1, size=150):
+    """Texts of words that are edits of edits, with anagrams, letters beyond ASCII and long words."""
+    rng = random.Random(seed)
+    letters = "abeéÿñtr×"
+    words = ["".join(rng.choices(letters, k=rng.randint(4, 9))) for _ in range(25)] + ["abcdef", "fedcba", "badcfe", "Straße", "ÀÉÎõü", "aaaaa", "aaaaaaaaaaaa"]
+    for _ in range(150):
+        w, i = rng.choice(words), rng.randrange(5)
+        words.append(rng.choice([w[:i] + rng.choice(letters) + w[i + 1:], w[:i] + w[i + 1:], w[:i] + rng.choice(letters) + w[i:]]))
+    weights = [1 / (1 + i % 17) ** 2 for i in range(len(words))]
+    docs = [(i, " ".join(rng.choices(words, weights, k=60)) + rng.choice(["", "1x2", ",Tail"])) for i in range(size)]
+    long = "z" * 3000
+    return [*docs, *((1000 + i, f"{long} {long}y {long[:-1]}x {'ab' * 40} {'ba' * 40}c") for i in range(4)), (None, "Null ident words " * 3), (7, None), (8, "")]
+
+
+@pytest.mark.parametrize("cell, least, sample", [(1 << 14, 64, 1 << 16), (8, 2, 1 << 16), (5, 64, 20)])
+def test_variants_are_those_of_all_pairs(spark, monkeypatch, cell, least, sample):
+    """With one cell for each length, with cells cut by the trees, and with parts of cells."""
+    for name, value in (("CELL_WORDS", cell), ("LEAST_SAMPLED", least), ("SAMPLE_WORDS", sample)):
+        monkeypatch.setattr(spelling, name, value)
+    docs = misspelt() + TRAPS
+    monkeypatch.setattr(queries, "table", lambda *_: frame(spark, docs))
+    assert rows(queries.op13_spelling_variants(spark, "")) == expected(plain(docs))
+
+
+def test_tables_without_words(spark):
+    assert rows(spelling.variants(frame(spark, [(1, "x")]).limit(0))) == []
+    assert rows(spelling.variants(frame(spark, [(1, None), (None, None), (2, ""), (3, "four word text here")]))) == []
+
+
+def test_forms_lead_to_the_last(spark):
+    docs = [(None, " ".join(["abcde"] * 40 + ["abcdx"] * 20 + ["abcyx"] * 10 + ["abzyx"] * 5 + ["lonely"] * 3 + ["abcdf"] * 30))]
+    found = {r["word"]: r for r in spelling.variants(frame(spark, docs)).collect()}
+    assert {w: r["root"] for w, r in found.items()} == {"abcde": "abcde", "abcdx": "abcde", "abcyx": "abcde", "abzyx": "abcde", "lonely": "lonely", "abcdf": "abcdf"}
+    assert found["abcdx"]["form"] == "abcde" and found["abcdf"]["form"] is None and found["abcdx"]["n_near"] == 3
+
+
+def test_vectors_of_words_one_edit_apart_differ_in_two_bits_at_most():
+    rng = random.Random(3)
+    for _ in range(500):
+        word = bytes(rng.choices(b"abcaaaz\xe9\xff\xc0", k=rng.randint(1, 12)))
+        i, other = rng.randrange(len(word)), bytes(rng.choices(range(0xC0, 0x100)))
+        for edited, most in ((word[:i] + other + word[i + 1:], 2), (word[:i] + word[i + 1:], 1), (word[:i] + other + word[i:], 1)):
+            vectors = spelling.signatures(np.frombuffer(word + edited, np.uint8), np.array([0, len(word), len(word) + len(edited)]))
+            assert np.bitwise_count(vectors[:, 0] ^ vectors[:, 1]).sum() <= most
+
+
+def test_a_tree_finds_all_vectors_within_a_radius():
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(0, 1 << 12, (2, 500), dtype=np.uint64)
+    apart = np.bitwise_count(vectors[:, :, None] ^ vectors[:, None, :]).sum(0)
+    for exact in (True, False):
+        tree = spelling.Tree(vectors, 10, exact)
+        assert sorted(np.concatenate(tree.leaves).tolist()) == list(range(500)) and max(map(len, tree.leaves)) <= 10
+        for radius in (0, 2):
+            reached = {(int(q), int(m)) for leaf, which in tree.within(vectors, radius) for q in which for m in tree.leaves[leaf]}
+            assert {(int(a), int(b)) for a, b in np.argwhere(apart <= radius)} <= reached
+            assert exact or radius or len(tree.leaves) * 500 > sum(len(w) for _, w in tree.within(vectors, radius)) == 500
