@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from placewise import names
+from placewise.checks.oracle import ADDED_WORDS
 from placewise.functions import fields
 from placewise.functions.handles import last_handle
+from placewise.functions.keywords import POSITIVE_WORDS
 from placewise.operators.counting import ranked
 from placewise.operators.enriching import enrich_gender
 from placewise.plans import devices, feeds, genders, handles, hours, locations
@@ -121,8 +123,15 @@ def positive_hourly(spark, sf_dir):
 
 @report
 def positive_hourly_words(spark, sf_dir):
-    """Whole words only, whatever their case."""
-    return hours.positive_hourly(tables.posts(spark, sf_dir, "text"), ignore_case=True, whole_word=True)
+    """Whole words only, whatever their case; with words that the texts have, for the list's own are only parts of theirs."""
+    words = (*POSITIVE_WORDS, *ADDED_WORDS)
+    return hours.positive_hourly(tables.posts(spark, sf_dir, "text"), ignore_case=True, whole_word=True, words=words)
+
+
+@report
+def positive_counts_any_case(spark, sf_dir):
+    """Every hour; parts of words, whatever their case."""
+    return hours.positive_counts(tables.posts(spark, sf_dir, "text"), ignore_case=True)
 
 
 @report

@@ -40,6 +40,15 @@ def stream_posts(spark: SparkSession, path: str, *fields: str, format: str = "js
     return _only_posts(reader.load(path))
 
 
+def spread(posts: DataFrame, tasks: int | None = None) -> DataFrame:
+    """The posts dealt out evenly to ``tasks`` tasks, by default as many as run at once. Works on streams.
+
+    For input in fewer splits than that (a few gzip files, one small table) before a costly expression.
+    Select what is needed first: the rows are shuffled.
+    """
+    return posts.repartition(tasks or posts.sparkSession.sparkContext.defaultParallelism)
+
+
 def infer_schema(spark: SparkSession, path: str) -> T.StructType:
     """What the files of a directory hold. Reads all of them: for looking around only."""
     return spark.read.json(path).schema

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placewise.sources.posts import spread
 from placewise.sources.schemas import USERS
 
 SCHEMAS = {
@@ -67,6 +68,7 @@ def posts(spark: SparkSession, sf_dir: str, *parts: str, events: DataFrame | Non
         there = nation.select(F.col("n_nationkey").alias("place_key"), F.col("n_name").alias("place_name"))
         df = df.join(there, F.col("place_key") == F.col("k") % 25, "left")
     if text:
+        df = spread(df)  # one file of narrow rows, and a long text for each of them
         documents = table(spark, sf_dir, "documents")
         count = documents.count()  # a literal keeps the join an equi-join
         df = df.join(documents.select("doc_id", F.col("text").alias("doc_text")), F.col("doc_id") == F.col("event_id") % count, "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import as_dict
 from placewise.functions import fields
 from placewise.functions.handles import LAST_HANDLE, all_handles, last_handle
-from placewise.functions.keywords import POSITIVE_WORDS, has_keyword, keyword_pattern
+from placewise.functions.keywords import POSITIVE_WORDS, has_keyword, keyword_pattern, rare_letter_pattern
 from placewise.functions.times import hour_of_day
 
 
@@ -110,6 +110,37 @@ def test_pattern_means_any_word_is_contained(words, text):
     assert bool(re.search(keyword_pattern(words), text)) == any(w in text for w in words)
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text("abevz.[", min_size=1, max_size=5), min_size=1, max_size=7), st.text("abevz.[", max_size=14))
+def test_words_are_found_at_their_rarest_letter(words, text):
+    pattern, plain = rare_letter_pattern(words)
+    assert (pattern is not None and bool(re.search(pattern, text)) or any(w in text for w in plain)) == any(w in text for w in words)
+
+
+def test_every_word_of_the_list_is_found_by_itself_and_none_without_a_letter(spark):
+    words = [w for w in POSITIVE_WORDS if w.isascii()]
+    texts = [f"{a}{w}{b}" for w in words for a, b in (("", ""), ("xy", "zz"), (". ", "!"))]
+    texts += [w[:i] + "~" + w[i + 1:] for w in words for i in range(len(w))] + [w[::-1] for w in words]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.p for r in df.select("t", has_keyword("t").alias("p")).collect()} == {t: any(w in t for w in POSITIVE_WORDS) for t in texts}
+
+
+def test_case_is_folded_as_the_pattern_does(spark):
+    texts = ["FUN", "Fun", "fuN", "ea\u017fy", "fair", "fa\u0130r", "FA\u0131R", "luc\u212Ay", "LUCKY", "❤", "straSSe", "ca\ufb01ne", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    folded, plain = has_keyword("t", ignore_case=True), F.col("t").rlike(keyword_pattern(POSITIVE_WORDS, ignore_case=True))
+    assert df.where(~folded.eqNullSafe(plain)).count() == 0 and df.where(folded).count() == 10
+
+
+def test_a_search_is_spread_over_as_many_tasks_as_run(spark):
+    from placewise.checks.reports import tables
+    from placewise.plans.hours import positive_counts
+    posts = tables.posts(spark, "/root/testdata/sf0.001", "text")
+    tasks = posts.select(F.spark_partition_id().alias("p"), "data.text").groupBy("p").count().collect()
+    assert len(tasks) == spark.sparkContext.defaultParallelism
+    assert positive_counts(posts).agg(F.count("*")).first()[0] > 1
+
+
 def test_keyword_flag_against_contains(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [r.text for r in docs.select("text").collect()]
