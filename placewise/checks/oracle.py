@@ -127,8 +127,9 @@ _QUERIES = {
     "stream_windowed_handles": _windowed(f"nullif({_HANDLE}, '') AS value"),
 }
 
-# A live report must leave what its batch form gives.
+# A live report must leave what its batch form gives, and a spread join what the plain one gives.
 _SAME = {
+    "place_vs_profile_spread": "place_vs_profile_rows",
     "stream_place_text": "place_text",
     "stream_text_feed": "text_feed",
     "stream_geo_feed": "geo_feed",

@@ -140,15 +140,25 @@ def place_vs_profile(spark, sf_dir):
     return locations.place_vs_profile_counts(posts, posts)
 
 
-@report
-def place_vs_profile_rows(spark, sf_dir):
-    """The join row by row, texts and all; a digest stands for each text in the result."""
+def _joined_rows(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
     placed = tables.posts(spark, sf_dir, "place")
     profiled = tables.posts(spark, sf_dir, "text", "author")
-    joined = locations.place_vs_profile(placed, profiled).withColumn(names.POST_TEXT, F.md5(names.POST_TEXT))
+    joined = locations.place_vs_profile(placed, profiled, **limits).withColumn(names.POST_TEXT, F.md5(names.POST_TEXT))
     return as_json(joined, names.POST_LOCATION, names.USER_LOCATION)
 
 
+@report
+def place_vs_profile_rows(spark, sf_dir):
+    """The join row by row, texts and all; a digest stands for each text in the result."""
+    return _joined_rows(spark, sf_dir)
+
+
+@report
+def place_vs_profile_spread(spark, sf_dir):
+    """The same with cells so small that the busier authors of these tables are spread."""
+    return _joined_rows(spark, sf_dir, cell_pairs=100)
+
+
 @report
 def location_match(spark, sf_dir):
     posts = tables.posts(spark, sf_dir, "author", "place")

@@ -5,8 +5,10 @@ import re
 from contextlib import redirect_stdout
 
 import pytest
+from pyspark.sql import functions as F
 
 from placewise.checks.reports import REPORTS
+from placewise.operators import joining
 
 SF = "/root/testdata/sf0.001"
 BATCH = [name for name in REPORTS if not name.startswith(("stream_", "landed_", "record_"))]
@@ -66,6 +68,22 @@ def test_generated_code_covers_the_counting(spark):
     assert re.search(r"\*\(\d+\) HashAggregate\(keys=\[Time_In_EST", final)
 
 
-def test_the_spread_join_shuffles_each_side_once(spark):
+def test_the_spread_join_reads_and_shuffles_each_side_once_beside_its_sketch(spark, tmp_path):
+    """Twice in all: once for the sketch, which reads keys alone, and once for the join."""
+    for name in ("left", "right"):
+        spark.range(3000).select(F.when(F.col("id") < 900, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("k"), F.col("id").alias(name),
+                                 F.lit("long text").alias(f"{name}_text")).write.parquet(str(tmp_path / name))
+    l, r = (spark.read.parquet(str(tmp_path / name)) for name in ("left", "right"))
+    sketch = plan(joining._heavy(l, r, "k", 10_000, 1 << 20))
+    assert len(re.findall(r"Location: .*/left", sketch)) == len(re.findall(r"Location: .*/right", sketch)) == 1
+    assert set(re.findall("ReadSchema: (.*)", sketch)) == {"struct<k:string>"}
+    joined = joining.spread_join(l, r, "k", F.col("left"), F.col("right"), cell_pairs=10_000, partitions=16)
+    assert joined.count() == 900 * 900 + 2100
+    text = plan(joined)
+    assert len(re.findall(r"Location: .*/left", text)) == len(re.findall(r"Location: .*/right", text)) == 1
+    assert text.count("REPARTITION_BY_NUM") == 2 and "SortMergeJoin" in text and "ENSURE_REQUIREMENTS" not in tree(joined).split("Initial Plan")[0]
+
+
+def test_without_heavy_keys_the_join_is_the_plain_one(spark):
     text = plan(REPORTS["place_vs_profile_rows"](spark, SF), "simple")
-    assert text.count("REPARTITION_BY_NUM") == 2
+    assert "_counter" not in text and not re.search(r"hashpartitioning\(.*REPARTITION_BY_NUM", text)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import as_dict, post
 from placewise import names
+from placewise.operators import joining
 from placewise.operators.counting import share_of_total
 from placewise.operators.enriching import count_by_gender, enrich_gender
 from placewise.operators.joining import spread_join
@@ -149,6 +150,26 @@ def test_spread_join_is_the_plain_join(spark, cell_pairs):
     assert got == want
 
 
+@pytest.mark.parametrize("counters, broadcast", [(1, 100), (7, 100), (1 << 26, 0)])
+def test_any_sketch_gives_the_rows_of_the_plain_join(spark, monkeypatch, counters, broadcast):
+    """Keys that share counters, and more heavy counters than are broadcast."""
+    monkeypatch.setattr(joining, "BROADCAST_COUNTERS", broadcast)
+    rng = random.Random(counters)
+    l, r = (spark.createDataFrame([(rng.choice(["hot", "hot", "k1", "k2", "k3", None]), i) for i in range(60)], f"k string, {c} long") for c in "ab")
+    got = spread_join(l, r, "k", F.col("a"), F.col("b"), 20, partitions=8, counters=counters)
+    want = l.join(r, "k")
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and got.count() > 800
+    assert spread_join(l.limit(0), r, "k", F.col("a"), F.col("b"), 20).count() == 0
+
+
+def test_the_sketch_never_shows_too_little(spark):
+    df = spark.range(5000).select((F.col("id") % 700).alias("k"))
+    for counters in (1, 50, 1 << 20):
+        shown = {r["_counter"]: r["n"] for r in joining.key_sketch(df, "k", "n", counters).collect()}
+        own = df.groupBy("k", joining._counter("k", counters).alias("c")).count().collect()
+        assert len(shown) <= counters and sum(shown.values()) == 5000 and all(shown[r["c"]] >= r["count"] for r in own)
+
+
 def test_spread_join_cuts_heavy_keys_into_cells(spark):
     l = spark.range(300).selectExpr("if(id < 100, 'hot', 'k' || id) AS k", "id AS a")
     r = spark.range(300).selectExpr("if(id < 100, 'hot', 'k' || id) AS k", "id AS b")
