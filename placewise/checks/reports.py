@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -286,9 +286,11 @@ def stream_by_location(spark, sf_dir):
 
 @report
 def stream_sorted_location(spark, sf_dir):
-    """The same with the sort inside the stream; the kept table is read in the order of the counts."""
+    """The same with the sort inside the stream: ``position`` is where its files have a row, from 1."""
     counts = locations.by_location(_stream(spark, sf_dir, "author"))
-    return as_json(_replaced(spark, "sorted", counts, (names.BY_LOCATION, names.LOCATION), None), names.LOCATION)
+    kept = _replaced(spark, "sorted", counts, state_partitions=None)
+    written = Window.orderBy("_metadata.file_name", "_metadata.row_index")
+    return as_json(kept.withColumn("position", F.row_number().over(written)), names.LOCATION)
 
 
 @report
@@ -335,3 +337,51 @@ def stream_windowed_location(spark, sf_dir):
 @report
 def stream_windowed_handles(spark, sf_dir):
     return _windowed(spark, _stream(spark, sf_dir, "text"), last_handle(), "value")
+
+
+def _top(spark: SparkSession, posts: DataFrame, key: Column, window: str = "1 day", **limits) -> DataFrame:
+    tops = _appended(spark, "top", live.windowed_top(posts, key, watermark="1 hour", window=window, **limits))
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("window.start") / 86400).cast("int")).cast("string")
+    return tops.withColumn("day", day)
+
+
+@report
+def stream_top_locations(spark, sf_dir):
+    """The locations of each closed day by a summary with room for all of them."""
+    tops = _top(spark, _stream(spark, sf_dir, "author"), fields.user_field("location"), k=100, items=1000)
+    return tops.select("day", "rank", F.col("value").alias("location"), F.col("count").alias("n"), "posts", "error")
+
+
+@report
+def stream_top_handles(spark, sf_dir):
+    tops = _top(spark, _stream(spark, sf_dir, "text"), last_handle(), k=1000, items=1000)
+    return tops.select("day", "rank", "value", F.col("count").alias("n"), "posts", "error")
+
+
+@report
+def stream_top_handles_exact(spark, sf_dir):
+    """The exact way: counts of all handles of a closed day, then the best five of each."""
+    counts = live.windowed_count(_stream(spark, sf_dir, "text"), last_handle().alias("value"), watermark="1 hour", window="1 day")
+    tops = live.top_of_windows(_appended(spark, "handles", counts), k=5)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("window.start") / 86400).cast("int")).cast("string")
+    return tops.select(day.alias("day"), "rank", "value", F.col("count").alias("n"))
+
+
+@report
+def stream_top_recall(spark, sf_dir):
+    """Twenty words that posts begin with, by a summary that has no room for all: what it finds of the exact twenty.
+
+    Words come with the last digits of the author's id, so that there are thousands of values.
+    """
+    def word(posts: DataFrame) -> DataFrame:
+        often = F.when(F.col("data.id").cast("long") % 3 > 0, F.substring_index("data.text", " ", 1))
+        return posts.withColumn("word", F.coalesce(often, F.concat("data.author_id", F.lit("-"), F.col("data.id").cast("long") % 100)))
+
+    tops = _top(spark, word(_stream(spark, sf_dir, "text")), F.col("word"), window="10 days", k=20, items=400)
+    days = F.window(F.col("data.created_at").cast("timestamp"), "10 days")
+    exact = word(tables.posts(spark, sf_dir, "text")).groupBy(days.alias("window"), F.col("word").alias("value")).agg(F.count("*").alias("n"))
+    last = live.top_of_windows(exact, 20, name="n").groupBy("window").agg(F.min("n").alias("least"))
+    judged = tops.join(exact, ["window", "value"]).join(last, "window")
+    return judged.groupBy("day").agg((F.count_if(F.col("n") >= F.col("least")) >= 18).alias("recall_of_nine_tenths"),
+                                     F.bool_and((F.col("count") >= F.col("n")) & (F.col("count") - F.col("n") <= F.col("error"))).alias("within_error"),
+                                     F.max("posts").alias("posts"))

@@ -158,7 +158,7 @@ def test_any_sketch_gives_the_rows_of_the_plain_join(spark, monkeypatch, counter
     l, r = (spark.createDataFrame([(rng.choice(["hot", "hot", "k1", "k2", "k3", None]), i) for i in range(60)], f"k string, {c} long") for c in "ab")
     got = spread_join(l, r, "k", F.col("a"), F.col("b"), 20, partitions=8, counters=counters)
     want = l.join(r, "k")
-    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and got.count() > 800
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and got.count() > 300
     assert spread_join(l.limit(0), r, "k", F.col("a"), F.col("b"), 20).count() == 0
 
 
