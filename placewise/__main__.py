@@ -11,18 +11,20 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from placewise.jobs import JOBS
 from placewise.operators.counting import ranked
 from placewise.session import build_session
-from placewise.sources.posts import read_gender_records, read_posts, stream_gender_records, stream_posts, torn_lines
-from placewise.streaming.reports import windowed_count
+from placewise.sources.posts import LINES, NO_POSTS, lines_by_batch, read_gender_records, read_posts, stream_gender_records, stream_posts
+from placewise.streaming.reports import ITEMS, land_fresh_genders, windowed_count, windowed_top
 from placewise.streaming.sinks import append_files, replace_table, to_console
 
 LOOKUP = "username string, name string, gender string, country string, probability long, total_names long"
 # Options of the command line, and their names as arguments of the reports.
 OPTIONS = {"strict": "strict", "each_user": "each_user", "every_handle": "every", "ignore_case": "ignore_case", "whole_word": "whole_word"}
+OBSERVED = "lines"
 REGIONS = "location string, attribute string"
 
 
@@ -40,8 +42,10 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--every-handle", action="store_true", help="all handles of a post instead of the last")
     parser.add_argument("--ignore-case", action="store_true", help="positive words in any case")
     parser.add_argument("--whole-word", action="store_true", help="positive words only as words of their own")
-    parser.add_argument("--torn", action="store_true", help="print how many lines are no posts, then run")
+    parser.add_argument("--torn", action="store_true", help="count the lines that are no posts in the same scan, and print their number at the end")
     parser.add_argument("--window", help="live: count by time windows of this length, with bounded state")
+    parser.add_argument("--top", type=int, help="with --window: only so many values of each window, from summaries of bounded size")
+    parser.add_argument("--fresh", action="store_true", help="live: read the lookup anew for every batch (enriched_genders)")
     parser.add_argument("--watermark", default="1 hour", help="how late posts may come for --window")
     parser.add_argument("--out", help="directory for the result (Parquet); default: print it")
     parser.add_argument("--rows", type=int, default=20, help="rows to print")
@@ -58,6 +62,10 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
         parser.error("--live --out needs --checkpoint")
     if args.window and not (args.live and job.window):
         parser.error("--window needs --live and a report of devices, locations or handles")
+    if args.top and not args.window:
+        parser.error("--top needs --window")
+    if args.fresh and not (args.live and args.out and args.report == "enriched_genders"):
+        parser.error("--fresh needs --live, --out and the report enriched_genders")
     for option in OPTIONS:
         if getattr(args, option) and option not in job.options:
             parser.error(f"{args.report} takes no --{option.replace('_', '-')}")
@@ -88,19 +96,20 @@ def tables(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
 
 def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
     job = JOBS[args.report]
+    observed = Observation("lines") if args.torn and args.format == "json" and job.reads == "posts" else None
     if job.reads == "records":
         first = read_gender_records(spark, args.posts)
     else:
-        first = read_posts(spark, args.posts, *job.fields, format=args.format)
+        first = read_posts(spark, args.posts, *job.fields, format=args.format, observed=observed)
     if args.schema:
         first.printSchema()
-    if args.torn and args.format == "json":
-        print(f"{torn_lines(spark, args.posts).count()} lines are no posts")
     result = job.batch(first, *tables(spark, args), **options(args))
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
     else:
         result.show(args.rows, truncate=False)
+    if observed:
+        print(f"{observed.get[NO_POSTS]} of {observed.get[LINES]} lines read are no posts")
 
 
 def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -109,14 +118,22 @@ def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
         first = stream_gender_records(spark, args.posts, args.max_files)
     else:
         stamp = ["data.created_at"] if args.window else []
-        first = stream_posts(spark, args.posts, *job.fields, *stamp, format=args.format, max_files=args.max_files)
+        first = stream_posts(spark, args.posts, *job.fields, *stamp, format=args.format, max_files=args.max_files,
+                             observed=OBSERVED if args.torn and args.format == "json" else None)
     if args.schema:
         first.printSchema()
     run = {"available_now": not args.every, "every": args.every}
     if args.window:
-        rows = windowed_count(first, job.window(), args.watermark, args.window)
+        if args.top:
+            rows = windowed_top(first, job.window(), args.watermark, args.window, args.top, max(args.top, ITEMS))
+        else:
+            rows = windowed_count(first, job.window(), args.watermark, args.window)
         query = append_files(rows, args.out, args.checkpoint, **run) if args.out else to_console(rows, "append", args.checkpoint, **run)
-        query.awaitTermination()
+        _await(query, args)
+        return
+    if args.fresh:
+        query = land_fresh_genders(first, lambda session: session.read.schema(LOOKUP).json(args.lookup), args.out, args.checkpoint, **run)
+        _await(query, args)
         return
     rows = job.live(first, *tables(spark, args), **options(args))
     if not args.out:
@@ -126,7 +143,14 @@ def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
         query = append_files(rows, args.out, args.checkpoint, job.appends, **run)
     else:
         query = replace_table(rows, args.out, args.checkpoint, job.finish(), job.state_partitions, **run)
+    _await(query, args)
+
+
+def _await(query: StreamingQuery, args: argparse.Namespace) -> None:
+    """Waits for a query to end, then prints what its batches counted if that was asked for."""
     query.awaitTermination()
+    for number, lines, torn in lines_by_batch(query, OBSERVED) if args.torn else ():
+        print(f"batch {number}: {torn} of {lines} lines are no posts")
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

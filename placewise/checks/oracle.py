@@ -78,6 +78,11 @@ def _windowed_top(key: str, name: str, items: int) -> str:
       FROM ({_windowed(key)}) WHERE {name} IS NOT NULL"""
 
 
+def _part(files: int) -> str:
+    lowest, highest = ("(SELECT epoch_us(%s(ts)) FROM posts)" % f for f in ("min", "max"))
+    return f"cast(floor((epoch_us(ts) - {lowest}) * {files} / cast({highest} - {lowest} + 1 AS double)) AS integer)"
+
+
 _LANDED = "SELECT id, author_id, created_at, source, text, place, username, location FROM posts"
 
 _PAIRS = """t AS (
@@ -125,6 +130,12 @@ _QUERIES = {
     "every_handle": r"""SELECT value, count(*) AS count
       FROM (SELECT unnest(regexp_extract_all(text, '@\w+')) AS value FROM posts) GROUP BY 1""",
     "landed_posts": _LANDED,
+    "stream_fresh_genders": f"""SELECT id, username, CASE WHEN known THEN username END AS name, CASE WHEN known THEN gender ELSE 'null' END AS gender,
+        CASE WHEN known THEN country END AS country, CASE WHEN known THEN probability END AS probability,
+        CASE WHEN known THEN total_names END AS total_names, batch
+      FROM (SELECT *, cast(author_id AS bigint) % 4 <= batch AS known FROM (SELECT *, {_part(4)} AS batch FROM posts WHERE placed))""",
+    "torn_lines_by_batch": f"""SELECT batch, count(*) AS lines, count(*) FILTER (WHERE cast(id AS bigint) % 50 = 0) AS torn
+      FROM (SELECT id, {_part(3)} AS batch FROM posts UNION ALL SELECT id, -1 AS batch FROM posts) GROUP BY batch""",
     "stream_device": "SELECT source, count(*) AS Tot_Tweets_By_Device FROM posts WHERE placed GROUP BY 1",
     "stream_gender": "SELECT gender, count(*) AS Tot_Tweets_By_Gender FROM posts WHERE placed GROUP BY 1",
     "stream_hourly": _hourly("ts"),

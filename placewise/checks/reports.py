@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,9 +23,9 @@ from placewise.plans import devices, feeds, genders, handles, hours, locations
 from placewise.session import work_folder
 from placewise.sources import tables
 from placewise.sources.landing import land_posts, land_stream
-from placewise.sources.posts import read_gender_records, read_posts, stream_gender_records
+from placewise.sources.posts import LINES, NO_POSTS, lines_by_batch, read_gender_records, read_posts, stream_gender_records, stream_posts
 from placewise.streaming import reports as live
-from placewise.streaming.sinks import FEW_KEYS, append_files, latest, replace_table
+from placewise.streaming.sinks import FEW_KEYS, append_files, landed_batches, last_batch, latest, replace_table
 
 LANDED_ANSWER = "id string, username string, name string, gender string, country string, probability long, total_names long"
 
@@ -196,8 +196,24 @@ def landed_posts(spark, sf_dir):
 
 # ---- streams: each handles what is there and returns the table it left ----
 
-def _stream(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
-    return tables.posts(spark, sf_dir, *parts, events=tables.stream_events(spark, sf_dir))
+def _parts(files: int, lowest: int, highest: int) -> Column:
+    """Which of so many parts of the time from the first to the last event a time stamp lies in, from 0."""
+    return F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - lowest) * files / (highest - lowest + 1)).cast("int")
+
+
+def _in_files(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """A folder with the events in so many files, one after the other by time."""
+    out = work_folder(spark, "events")
+    events = tables.table(spark, sf_dir, "events")
+    span = events.agg(*(F.unix_micros(f("ts").cast("timestamp")) for f in (F.min, F.max))).first()
+    for number in range(files):
+        events.filter(_parts(files, *span) == number).coalesce(1).write.mode("append").parquet(f"{out}/events.parquet")
+    return out
+
+
+def _stream(spark: SparkSession, sf_dir: str, *parts: str, files: int = 2) -> DataFrame:
+    """The posts as a stream that gets a file in each batch."""
+    return tables.posts(spark, sf_dir, *parts, events=tables.stream_events(spark, _in_files(spark, sf_dir, files), max_files=1))
 
 
 def _finish(query: StreamingQuery) -> None:
@@ -262,6 +278,49 @@ def stream_enriched_genders(spark, sf_dir):
     return spark.read.schema(LANDED_ANSWER).json(_stream_genders(spark, sf_dir))
 
 
+@report
+def stream_fresh_genders(spark, sf_dir):
+    """A quarter of the names is known when the stream begins, and a quarter more with each of the four batches."""
+    out = work_folder(spark, "fresh")
+    names_ = tables.lookup(spark, sf_dir).withColumn("quarter", F.pmod(F.regexp_extract("username", "([0-9]+)", 1).cast("long"), F.lit(4)))
+
+    def landed(number: int) -> None:
+        names_.filter(F.col("quarter") == number).drop("quarter").write.mode("append").json(f"{out}/names")
+
+    def known(session: SparkSession) -> DataFrame:
+        landed(last_batch(session, f"{out}/genders") + 1)  # what a producer does meanwhile
+        return session.read.schema(f"{LANDED_ANSWER}").json(f"{out}/names").drop("id")
+
+    posts = _stream(spark, sf_dir, "author", files=4)
+    _finish(live.land_fresh_genders(posts, known, f"{out}/genders", f"{out}/checkpoint"))
+    return landed_batches(spark, f"{out}/genders", LANDED_ANSWER)
+
+
+def _torn_lines(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """Posts landed as JSON lines in so many files; every fiftieth line is cut short."""
+    out = work_folder(spark, "torn")
+    events = _in_files(spark, sf_dir, files)
+    for path in sorted(spark.read.parquet(f"{events}/events.parquet").inputFiles(), key=lambda p: spark.read.parquet(p).agg(F.min("ts")).first()):
+        lines = tables.posts(spark, sf_dir, events=spark.read.schema(tables.SCHEMAS["events"]).parquet(path))
+        line = F.to_json(F.struct("data", "includes"))
+        torn = F.when(F.col("data.id").cast("long") % 50 == 0, F.substring(line, 1, 30)).otherwise(line)
+        lines.select(torn.alias("value")).coalesce(1).write.mode("append").text(f"{out}/posts")
+    return f"{out}/posts"
+
+
+@report
+def torn_lines_by_batch(spark, sf_dir):
+    """Lines and torn lines as the scans counted them: those of each batch of a stream, and of a table (batch -1)."""
+    path = _torn_lines(spark, sf_dir, files=3)
+    out = work_folder(spark, "whole")
+    query = append_files(feeds.text_feed(stream_posts(spark, path, "data.text", max_files=1, observed="lines")), f"{out}/rows", f"{out}/checkpoint")
+    _finish(query)
+    observed = Observation("lines")
+    read_posts(spark, path, "data.text", observed=observed).write.format("noop").mode("overwrite").save()
+    found = [*lines_by_batch(query, "lines"), (-1, observed.get[LINES], observed.get[NO_POSTS])]
+    return spark.createDataFrame(found, "batch long, lines long, torn long")
+
+
 @report
 def stream_gender(spark, sf_dir):
     """Lands genders beside the post stream and counts them in a stream of their own."""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from placewise.sources.schemas import GENDER_RECORD, post_schema
 
@@ -26,18 +27,43 @@ def torn_lines(spark: SparkSession, path) -> DataFrame:
     return spark.read.schema(schema).json(path).filter(F.col("data").isNull()).select(TORN)
 
 
-def read_posts(spark: SparkSession, path, *fields: str, format: str = "json") -> DataFrame:
-    """The posts of one directory (or several) of JSON lines, Parquet or ORC files. See ``torn_lines`` for what is no post."""
-    return _only_posts(spark.read.format(format).schema(post_schema(*fields)).load(path))
+# What the scan of a directory of JSON lines counts when it is asked to.
+LINES, NO_POSTS = "lines", "torn"
+
+
+def _counted(df: DataFrame, observed: Observation | str) -> DataFrame:
+    """Counts lines and those that are no posts, as they are read: no second scan."""
+    return df.observe(observed, F.count("*").alias(LINES), F.count_if(F.col("data").isNull()).alias(NO_POSTS))
+
+
+def read_posts(spark: SparkSession, path, *fields: str, format: str = "json", observed: Observation | None = None) -> DataFrame:
+    """The posts of one directory (or several) of JSON lines, Parquet or ORC files.
+
+    Lines that are no posts are left out: torn ones, and foreign ones. ``observed`` gets their number, ``torn``, and
+    that of all ``lines`` from the scan itself, once a job has read the posts: ``observed.get`` waits for that. A job that
+    stops early, such as ``show`` of a feed, has counted what it read. ``torn_lines`` gives the lines themselves.
+    """
+    df = spark.read.format(format).schema(post_schema(*fields)).load(path)
+    return _only_posts(df if observed is None else _counted(df, observed))
 
 
 def stream_posts(spark: SparkSession, path: str, *fields: str, format: str = "json",
-                 max_files: int | None = None) -> DataFrame:
-    """The same directory as a stream of newly landed files."""
+                 max_files: int | None = None, observed: str | None = None) -> DataFrame:
+    """The same directory as a stream of newly landed files.
+
+    ``observed`` names the counts of lines that each batch reports; see ``lines_by_batch``.
+    """
     reader = spark.readStream.format(format).schema(post_schema(*fields))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _only_posts(reader.load(path))
+    df = reader.load(path)
+    return _only_posts(df if observed is None else _counted(df, observed))
+
+
+def lines_by_batch(query: StreamingQuery, observed: str) -> list[tuple[int, int, int]]:
+    """``(batch, lines, torn)`` of the batches that a query remembers (the last hundred) and that read something."""
+    reports = ((p["batchId"], p["observedMetrics"].get(observed)) for p in query.recentProgress if p["numInputRows"])
+    return [(number, found[LINES], found[NO_POSTS]) for number, found in reports if found]
 
 
 def spread(posts: DataFrame, tasks: int | None = None) -> DataFrame:

@@ -6,9 +6,10 @@ the enrichment beside a stream, ratios of a live count, and counts with bounded
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, GroupedData, Window
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +18,7 @@ from placewise.operators.counting import share_of_total
 from placewise.operators.enriching import enrich_gender
 from placewise.plans.devices import count_by_device
 from placewise.plans.genders import count_records_by_gender
-from placewise.streaming.sinks import FEW_KEYS, append_files, replace_table
+from placewise.streaming.sinks import FEW_KEYS, append_files, land_batches, replace_table
 
 
 def land_genders(posts: DataFrame, lookup: DataFrame, out: str, checkpoint: str,
@@ -29,6 +30,16 @@ def land_genders(posts: DataFrame, lookup: DataFrame, out: str, checkpoint: str,
     return append_files(enrich_gender(posts, lookup), out, checkpoint, "json", available_now, every)
 
 
+def land_fresh_genders(posts: DataFrame, lookup: Callable[[SparkSession], DataFrame], out: str, checkpoint: str,
+                       available_now: bool = True, every: str | None = None) -> StreamingQuery:
+    """The same with the names that are known when a batch begins; read it with ``landed_batches``.
+
+    ``lookup`` gives the table of names and is called for every batch: names that landed since the last one are found
+    without a restart. Rows that have landed stay as they are.
+    """
+    return land_batches(posts, out, checkpoint, lambda batch, _: enrich_gender(batch, lookup(batch.sparkSession)), "json", available_now, every)
+
+
 def live_device_share(posts: DataFrame, out: str, checkpoint: str, **run) -> StreamingQuery:
     """``device_share`` kept up to date."""
     share = partial(share_of_total, count=names.BY_DEVICE, name=names.RATIO)
@@ -78,8 +89,9 @@ def windowed_top(posts: DataFrame, key: Column, watermark: str, window: str, k:
     if not 0 < k <= items <= MOST_ITEMS:
         raise ValueError(f"0 < k <= items <= {MOST_ITEMS}")
     found = posts.withColumn("_value", key.cast("string")).filter(F.col("_value").isNotNull())
-    tops = _by_window(found, watermark, window).agg(F.expr(f"approx_top_k(_value, {k}, {items})").alias("_top"), F.count("*").alias("posts"))
-    ordered = F.array_sort(F.transform("_top", lambda x: F.struct((-x["count"]).alias("less"), x["item"].alias("item"))))
+    tops = _by_window(found, watermark, window).agg(F.expr(f"approx_top_k(_value, {items}, {items})").alias("_top"), F.count("*").alias("posts"))
+    # All that is kept, as the function breaks ties at random.
+    ordered = F.slice(F.array_sort(F.transform("_top", lambda x: F.struct((-x["count"]).alias("less"), x["item"].alias("item")))), 1, k)
     # The summary has 4 / 3 as many places as items, up to the next power of two, and errs by 3.5 posts in as many.
     places = 1 << max(3, (items * 4 // 3 - 1).bit_length())
     return (tops.select("window", "posts", F.posexplode(ordered).alias("_place", "_x"))

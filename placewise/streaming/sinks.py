@@ -88,6 +88,42 @@ def _log(spark: SparkSession, out: str, number: int) -> None:
     row.write.mode(mode).parquet(f"{out}/log/part={number // LOG_LENGTH % 2}")
 
 
+def last_batch(spark: SparkSession, out: str) -> int:
+    """The number of the last finished batch in the log; -1 before there is any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/log")
+    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+        return -1
+    number = spark.read.schema("batch long").parquet(f"{out}/log").agg(F.max("batch")).first()[0]
+    return -1 if number is None else number
+
+
+def land_batch(batch: DataFrame, number: int, out: str, make: Callable[[DataFrame, int], DataFrame], format: str = "json") -> None:
+    """Land ``make(batch, number)`` in a folder of the batch. What the log has is not landed again, and what
+    a batch left that did not get as far is replaced."""
+    spark = batch.sparkSession
+    if number <= last_batch(spark, out):
+        return
+    make(batch, number).write.mode("overwrite").format(format).save(f"{out}/rows/batch={number}")
+    _log(spark, out, number)
+
+
+def land_batches(df: DataFrame, out: str, checkpoint: str, make: Callable[[DataFrame, int], DataFrame], format: str = "json",
+                 available_now: bool = True, every: str | None = None) -> StreamingQuery:
+    """Land what ``make`` makes of each batch of a stream, once; read it with ``landed_batches``.
+
+    ``make`` is called for every batch, so tables it reads are listed and read anew: that is the difference
+    to ``append_files``, for which a joined table is listed when the query starts.
+    """
+    writer = df.writeStream.foreachBatch(lambda batch, number: land_batch(batch, number, out, make, format))
+    return _start(writer, checkpoint, available_now, every)
+
+
+def landed_batches(spark: SparkSession, out: str, schema: T.StructType | str, format: str = "json") -> DataFrame:
+    """The rows of all finished batches, with the number of their ``batch``."""
+    rows = spark.read.schema(schema).format(format).load(f"{out}/rows/batch=*", basePath=f"{out}/rows")
+    return rows.filter(F.col("batch") <= last_batch(spark, out))
+
+
 def latest(spark: SparkSession, out: str, schema: T.StructType | str) -> DataFrame:
     """The table that the last finished batch of ``replace_table`` left.
 

@@ -92,7 +92,7 @@ def test_feeds_to_the_console_are_appended(spark, traps_dir):
 
 def test_torn_lines_are_told(spark, traps_dir, capsys):
     main(["text_feed", "--posts", traps_dir, "--torn"], spark)
-    assert f"{torn_lines(spark, traps_dir).count()} lines are no posts" in capsys.readouterr().out
+    assert f"{torn_lines(spark, traps_dir).count()} of 13 lines read are no posts" in capsys.readouterr().out
 
 
 def test_live_to_the_console_is_ranked(spark, traps_dir, records_dir, extra, capfd):

@@ -89,3 +89,11 @@ def test_landing_a_stream(spark, traps_dir, tmp_path):
 
 def test_ids_and_times_are_strings():
     assert {f.dataType for f in POST["data"].dataType} == {T.StringType()}
+
+
+def test_the_scan_counts_torn_lines_itself(spark, traps_dir):
+    from pyspark.sql import Observation
+    from placewise.sources.posts import LINES, NO_POSTS
+    observed = Observation("seen")
+    assert read_posts(spark, traps_dir, "data.text", observed=observed).count() == 12
+    assert (observed.get[LINES], observed.get[NO_POSTS]) == (13, 1) and torn_lines(spark, traps_dir).count() == 1

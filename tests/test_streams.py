@@ -139,3 +139,110 @@ def test_console(spark, landing, capfd):
     query = to_console(devices.count_by_device(posts), "complete", available_now=True)
     query.awaitTermination(120)
     assert query.exception() is None and "Console" in query.lastProgress["sink"]["description"]
+
+
+# ---- fresh lookups ----
+
+def test_a_name_added_between_two_batches_is_found_without_a_restart(spark, landing, tmp_path):
+    names, out = tmp_path / "names", str(tmp_path / "out")
+    schema, asked = "username string, gender string, probability long", []
+
+    def lookup(session):
+        """Before the second batch a producer lands omar."""
+        known = [("nell", "female", 98)] if not asked else [("omar", "male", 90)]
+        asked.append(session.createDataFrame(known, schema).write.mode("append").json(str(names)))
+        return session.read.schema(schema).json(str(names))
+
+    for number in range(3):
+        landing(number)
+    query = live.land_fresh_genders(stream_posts(spark, landing.path, max_files=1), lookup, out, str(tmp_path / "cp"))
+    query.awaitTermination(180)
+    assert query.exception() is None and len(asked) == 3
+    got = {r["id"]: (r["gender"], r["batch"]) for r in sinks.landed_batches(spark, out, "id string, gender string").collect()}
+    assert got == {"1": ("female", 0), "4": ("null", 0), "5": ("null", 1), "7": ("male", 1), "11": ("null", 2)}
+
+
+def test_a_batch_that_runs_twice_lands_once(spark, tmp_path):
+    out, made = str(tmp_path / "out"), []
+    batch = spark.range(5)
+
+    def make(df, number):
+        made.append(number)
+        return df.withColumn("n", F.lit(len(made)))
+
+    assert sinks.last_batch(spark, out) == -1
+    for number in (0, 0, 1):
+        sinks.land_batch(batch, number, out, make)
+    assert made == [0, 1] and sinks.landed_batches(spark, out, "id long, n long").count() == 10
+    # a batch that wrote and did not get into the log is not read, and is replaced
+    make(batch, 2).write.json(f"{out}/rows/batch=2")
+    assert sinks.landed_batches(spark, out, "id long, n long").count() == 10
+    sinks.land_batch(batch, 2, out, make)
+    landed = sinks.landed_batches(spark, out, "id long, n long")
+    assert landed.count() == 15 and {r["n"] for r in landed.where("batch = 2").collect()} == {4}
+
+
+# ---- bounded rankings ----
+
+STAMPED = "data struct<id: string, created_at: string, source: string>"
+
+
+def stamped(spark, values, days=2):
+    rows = [((str(i), f"2024-01-{15 + i % days:02d}T10:00:00Z", v),) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, STAMPED).repartition(4)
+
+
+def test_tops_of_windows_are_exact_while_all_values_have_a_place(spark):
+    posts = stamped(spark, [v for i in range(40) for v in [f"v{i:02d}"] * (2 * (i // 2) + 2)] + [None] * 500)
+    tops = live.windowed_top(posts, F.col("data.source"), "1 hour", "1 day", k=5, items=100)
+    exact = live.top_of_windows(live.windowed_count(posts, F.col("data.source").alias("value"), "1 hour", "1 day"), k=5)
+    columns = ["window", "rank", "value", "count"]
+    assert sorted(tops.select(columns).collect()) == sorted(exact.select(columns).collect()) and tops.count() == 10
+    assert {r["posts"] for r in tops.collect()} == {420}
+
+
+def test_an_estimate_is_never_too_low_nor_beyond_the_error(spark):
+    import random
+    rng = random.Random(3)
+    values = [f"v{int(rng.paretovariate(0.9))}" for _ in range(30_000)]
+    posts = stamped(spark, values, days=1)
+    exact = {v: values.count(v) for v in set(values)}
+    least = sorted(exact.values())[-20]
+    for items in (30, 100, 400):
+        tops = live.windowed_top(posts, F.col("data.source"), "1 hour", "1 day", k=20, items=items).collect()
+        assert all(0 <= r["count"] - exact[r["value"]] <= r["error"] for r in tops)
+        assert [r["rank"] for r in sorted(tops, key=lambda r: (-r["count"], r["value"]))] == list(range(1, len(tops) + 1))
+        if items >= 100:
+            assert sum(exact[r["value"]] >= least for r in tops) >= 18
+
+
+def test_the_state_of_a_ranking_is_a_row_for_each_window(spark, landing, tmp_path):
+    for number in range(3):
+        landing(number)
+    tops = live.windowed_top(stream_posts(spark, landing.path, max_files=1), F.col("data.id"), "1 hour", "1 hour", k=20, items=100)
+    query = append_files(tops, str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination(180)
+    state = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert query.exception() is None and state <= 2 and len(got) == 10 and {r["posts"] for r in got} == {10}
+
+
+@pytest.mark.parametrize("k, items", [(0, 10), (11, 10), (5, 2_000_000)])
+def test_limits_of_a_ranking(spark, k, items):
+    with pytest.raises(ValueError):
+        live.windowed_top(stamped(spark, ["a"]), F.col("data.source"), "1 hour", "1 day", k=k, items=items)
+
+
+# ---- torn lines ----
+
+def test_torn_lines_are_counted_in_each_batch(spark, tmp_path):
+    from placewise.sources.posts import lines_by_batch
+    (tmp_path / "landing").mkdir()
+    for number, torn in ((0, True), (1, False), (2, True)):
+        path = write_lines(tmp_path / f"part{number}", PARTS[number], torn=torn)
+        shutil.copy(f"{path}/part-0.json", tmp_path / "landing" / f"file-{number}.json")
+    feed = feeds.text_feed(stream_posts(spark, str(tmp_path / "landing"), "data.text", max_files=1, observed="seen"))
+    query = append_files(feed, str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination(120)
+    assert lines_by_batch(query, "seen") == [(0, 5, 1), (1, 4, 0), (2, 5, 1)]
+    assert lines_by_batch(query, "other") == [] and spark.read.parquet(str(tmp_path / "out")).count() == 12
