@@ -17,7 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from placewise.jobs import JOBS
 from placewise.operators.counting import ranked
 from placewise.session import build_session
+from placewise.sources.drift import schema_drift
 from placewise.sources.posts import LINES, NO_POSTS, lines_by_batch, read_gender_records, read_posts, stream_gender_records, stream_posts
+from placewise.sources.schemas import GENDER_RECORD, POST
 from placewise.streaming.reports import ITEMS, land_fresh_genders, windowed_count, windowed_top
 from placewise.streaming.sinks import append_files, replace_table, to_console
 
@@ -50,6 +52,7 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--out", help="directory for the result (Parquet); default: print it")
     parser.add_argument("--rows", type=int, default=20, help="rows to print")
     parser.add_argument("--schema", action="store_true", help="print the schema that is read, then run")
+    parser.add_argument("--drift", action="store_true", help="print where the first JSON lines differ from the declared schema, then run")
     parser.add_argument("--live", action="store_true", help="keep the report up to date")
     parser.add_argument("--every", help="pause between live batches; default: handle what has landed and end")
     parser.add_argument("--max-files", type=int, help="landed files per live batch; default: all there are")
@@ -142,7 +145,7 @@ def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
     elif job.appends:
         query = append_files(rows, args.out, args.checkpoint, job.appends, **run)
     else:
-        query = replace_table(rows, args.out, args.checkpoint, job.finish(), job.state_partitions, **run)
+        query = replace_table(rows, args.out, args.checkpoint, job.state_partitions, **run)
     _await(query, args)
 
 
@@ -156,6 +159,8 @@ def _await(query: StreamingQuery, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse(argv)
     spark = spark or build_session()
+    if args.drift:
+        schema_drift(spark, args.posts, GENDER_RECORD if JOBS[args.report].reads == "records" else POST).show(args.rows, truncate=False)
     (run_live if args.live else run_batch)(spark, args)
 
 

@@ -130,6 +130,10 @@ _QUERIES = {
     "every_handle": r"""SELECT value, count(*) AS count
       FROM (SELECT unnest(regexp_extract_all(text, '@\w+')) AS value FROM posts) GROUP BY 1""",
     "landed_posts": _LANDED,
+    "post_schema_drift": """SELECT * FROM (VALUES ('data.id', 'string', 'bigint', 'retyped'), ('data.lang', NULL, 'string', 'unknown'),
+        ('data.text', 'string', NULL, 'missing'), ('includes.users[].id', 'string', NULL, 'missing'), ('includes.users[].location', 'string', NULL, 'missing'),
+        ('includes.users[].name', 'string', NULL, 'missing'), ('includes.users[].username', 'string', NULL, 'missing')) AS drift(path, declared, found, drift)
+      WHERE (SELECT count(*) FROM posts) > 0""",
     "stream_fresh_genders": f"""SELECT id, username, CASE WHEN known THEN username END AS name, CASE WHEN known THEN gender ELSE 'null' END AS gender,
         CASE WHEN known THEN country END AS country, CASE WHEN known THEN probability END AS probability,
         CASE WHEN known THEN total_names END AS total_names, batch
@@ -168,6 +172,39 @@ _SAME = {
 }
 
 
+# Locations as people write them, and the words of a name with one space between them.
+_WRITTEN = """CASE cast(author_id AS bigint) % 6 WHEN 0 THEN 'Old Town, ' || location WHEN 1 THEN lower(location) || '(north-west)!'
+      WHEN 2 THEN 'born in ' || location || ' / now CHINA' WHEN 3 THEN 'somewhere  nice'
+      WHEN 4 THEN substr(location, 1, 4) || substr(location, 6) ELSE location END"""
+
+
+def _plain(name: str) -> str:
+    return f"trim(regexp_replace(lower({name}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
+def _blocks(name: str) -> str:
+    return f"list_append(list_filter(string_split({name}, ' '), lambda w: length(w) >= 3), substr({name}, 1, 3))"
+
+
+_QUERIES |= {
+    "share_by_named_region": f"""SELECT attribute, count(*) FILTER (WHERE placed) AS placed, count(*) AS posts,
+        count(*) FILTER (WHERE placed) / cast(count(*) AS double) AS share
+      FROM (SELECT placed, {_plain(_WRITTEN)} AS written FROM posts)
+      LEFT JOIN (SELECT written, arg_min(attribute, (-words, -length(name), spot)) AS attribute FROM
+          (SELECT written, attribute, name, len(string_split(name, ' ')) AS words, strpos(' ' || written || ' ', ' ' || name || ' ') AS spot
+           FROM (SELECT DISTINCT {_plain(_WRITTEN)} AS written FROM posts),
+             (SELECT {_plain("n_name")} AS name, r_name AS attribute FROM nation JOIN region ON r_regionkey = n_regionkey
+              UNION SELECT {_plain("r_name")}, r_name FROM region))
+        WHERE spot > 0 GROUP BY written) USING (written) GROUP BY 1""",
+    "location_agreement": f"""SELECT author_id, count(*) AS pairs, count(*) FILTER (WHERE lower(place) = lower(written)) AS equal,
+        count(*) FILTER (WHERE contains(lower(place), lower(written))) AS holding, count(*) FILTER (WHERE near) AS near,
+        count(*) FILTER (WHERE near) / cast(count(*) AS double) AS rate
+      FROM (SELECT *, a = b OR (list_has_any({_blocks("a")}, {_blocks("b")}) AND levenshtein(a, b) <= greatest(length(a), length(b)) // 4) AS near
+            FROM (SELECT *, {_plain("place")} AS a, {_plain("written")} AS b FROM (SELECT author_id, place, {_WRITTEN} AS written FROM t )
+                  WHERE place IS NOT NULL AND written IS NOT NULL)) GROUP BY 1""",
+}
+
+
 def _sql(query: str) -> str:
     pairs = ",\n" + _PAIRS + "\n" if " FROM t " in query else ""
     return POSTS + pairs + query

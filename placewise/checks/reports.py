@@ -22,6 +22,7 @@ from placewise.operators.enriching import enrich_gender
 from placewise.plans import devices, feeds, genders, handles, hours, locations
 from placewise.session import work_folder
 from placewise.sources import tables
+from placewise.sources.drift import schema_drift
 from placewise.sources.landing import land_posts, land_stream
 from placewise.sources.posts import LINES, NO_POSTS, lines_by_batch, read_gender_records, read_posts, stream_gender_records, stream_posts
 from placewise.streaming import reports as live
@@ -170,6 +171,32 @@ def share_by_region(spark, sf_dir):
     return locations.share_by_region(tables.posts(spark, sf_dir, "author"), tables.regions(spark, sf_dir))
 
 
+def _in_free_text(posts: DataFrame) -> DataFrame:
+    """The posts with locations as people write them: in a sentence, in small letters, beside another name, misspelt, or none at all."""
+    def written(user: Column) -> Column:
+        kind, name = F.col("data.author_id").cast("long") % 6, user["location"]
+        return (F.when(kind == 0, F.concat(F.lit("Old Town, "), name)).when(kind == 1, F.concat(F.lower(name), F.lit("(north-west)!")))
+                .when(kind == 2, F.concat(F.lit("born in "), name, F.lit(" / now CHINA"))).when(kind == 3, F.lit("somewhere  nice"))
+                .when(kind == 4, F.concat(F.substring(name, 1, 4), F.substring(name, 6, 100))).otherwise(name))
+
+    users = F.transform("includes.users", lambda user: user.withField("location", written(user)))
+    return posts.withColumn("includes", F.struct("includes.places", users.alias("users")))
+
+
+@report
+def share_by_named_region(spark, sf_dir):
+    """The nations, and the regions by their own names."""
+    nations = tables.regions(spark, sf_dir)
+    regions = nations.unionByName(nations.select(F.col("attribute").alias("location"), "attribute").distinct())
+    return locations.share_by_named_region(_in_free_text(tables.posts(spark, sf_dir, "author")), regions)
+
+
+@report
+def location_agreement(spark, sf_dir):
+    posts = _in_free_text(tables.posts(spark, sf_dir, "author", "place"))
+    return locations.location_agreement(posts, posts)
+
+
 @report
 def top_handles(spark, sf_dir):
     return handles.top_handles(tables.posts(spark, sf_dir, "text"))
@@ -194,6 +221,16 @@ def landed_posts(spark, sf_dir):
     return _landed(read_posts(spark, out))
 
 
+@report
+def post_schema_drift(spark, sf_dir):
+    """Posts landed without users, with a number for an id and with a field more, against the declared schema."""
+    out = work_folder(spark, "drifted")
+    posts = tables.posts(spark, sf_dir, "place")
+    data = F.struct("data.*", F.lit("en").alias("lang"))
+    land_posts(posts.select(data.withField("id", F.col("data.id").cast("long")).alias("data"), "includes"), out)
+    return schema_drift(spark, out)
+
+
 # ---- streams: each handles what is there and returns the table it left ----
 
 def _parts(files: int, lowest: int, highest: int) -> Column:
@@ -262,8 +299,7 @@ def stream_device_share(spark, sf_dir):
     out = work_folder(spark, "device_share")
     posts = _stream(spark, sf_dir)
     _finish(live.live_device_share(posts, f"{out}/result", f"{out}/checkpoint"))
-    schema = f"source string, {names.BY_DEVICE} bigint, {names.RATIO} double"
-    return latest(spark, f"{out}/result", schema)
+    return live.latest_shares(spark, f"{out}/result", "source", names.BY_DEVICE)
 
 
 def _stream_genders(spark: SparkSession, sf_dir: str) -> str:
@@ -333,7 +369,7 @@ def stream_gender_share(spark, sf_dir):
     out = work_folder(spark, "gender_share")
     records = stream_gender_records(spark, _stream_genders(spark, sf_dir))
     _finish(live.live_record_share(records, f"{out}/result", f"{out}/checkpoint"))
-    return latest(spark, f"{out}/result", f"gender string, {names.BY_GENDER} bigint, {names.RATIO} double")
+    return live.latest_shares(spark, f"{out}/result", "gender", names.BY_GENDER)
 
 
 @report

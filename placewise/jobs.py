@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewise import names
-from placewise.operators.counting import ranked, share_of_total
+from placewise.operators.counting import ranked, with_shares
 from placewise.operators.enriching import enrich_gender
 from placewise.functions import fields
 from placewise.functions.handles import last_handle
@@ -26,8 +25,8 @@ class Job:
     """A report and its live form.
 
     ``live`` gives rows to append, or a running count whose full result is kept. A count
-    may then be given shares of the total (``ratio``, which streams cannot work out), as
-    the table is kept, or an order (``rank``), as it is read: files have none. ``options``
+    may then be given shares of the total (``ratio``, which streams cannot work out) or an
+    order (``rank``), as it is read: files have none. ``options``
     are those of both forms, ``window`` is what is counted by time windows.
     """
 
@@ -44,13 +43,10 @@ class Job:
     options: tuple[str, ...] = ()
     window: Callable[[], Column] | None = None
 
-    def finish(self) -> Callable[[DataFrame], DataFrame] | None:
-        if self.ratio:
-            return partial(share_of_total, count=self.ratio, name=names.RATIO)
-        return None
-
     def ordered(self, counts: DataFrame) -> DataFrame:
         """The kept table as the report has it."""
+        if self.ratio:
+            return with_shares(counts, self.ratio, names.RATIO)
         return ranked(counts, *self.rank) if self.rank else counts
 
 
@@ -63,11 +59,11 @@ JOBS: dict[str, Job] = {
     "text_feed": _feed(feeds.text_feed, "data.text"),
     "geo_feed": _feed(feeds.geo_feed, "data.author_id", "data.created_at", PLACES),
     "author_feed": _feed(feeds.author_feed, "data.text", "data.author_id", "includes.users.name", LOCATIONS),
-    "device_share": Job(("data.source", PLACES), devices.device_share, devices.count_by_device,
+    "device_share": Job(("data.source", PLACES), devices.device_share, devices.count_devices_with_total,
                         ratio=names.BY_DEVICE, state_partitions=FEW_KEYS, window=lambda: F.col("data.source")),
     "enriched_genders": Job((PLACES, "includes.users.username"), enrich_gender, enrich_gender,
                             needs=("lookup",), appends="json"),
-    "record_share": Job((), genders.record_share, genders.count_records_by_gender, reads="records",
+    "record_share": Job((), genders.record_share, genders.count_genders_with_total, reads="records",
                         ratio=names.BY_GENDER, state_partitions=FEW_KEYS),
     "gender_share": Job((PLACES, "includes.users.username"), genders.gender_share, needs=("lookup",)),
     "hourly_geo": Job(("data.created_at", PLACES), hours.hourly_geo, hours.hourly_counts, zoned=True,
@@ -86,5 +82,7 @@ JOBS: dict[str, Job] = {
     "place_vs_profile_counts": Job(("data.author_id", PLACES, LOCATIONS),
                                    locations.place_vs_profile_counts, needs=("profiles",), options=("strict",)),
     "location_match": Job(("data.author_id", PLACES, LOCATIONS), locations.location_match, needs=("profiles",)),
+    "location_agreement": Job(("data.author_id", PLACES, LOCATIONS), locations.location_agreement, needs=("profiles",)),
+    "share_by_named_region": Job((PLACES, LOCATIONS), locations.share_by_named_region, needs=("regions",)),
     "share_by_region": Job((PLACES, LOCATIONS), locations.share_by_region, needs=("regions",)),
 }

@@ -15,6 +15,26 @@ def count_by(df: DataFrame, *keys: Column | str, name: str = "count") -> DataFra
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
+# Marks the row of ``count_with_total`` that is no group's.
+TOTAL = "is_total"
+
+
+def count_with_total(df: DataFrame, key: str, name: str = "count") -> DataFrame:
+    """``count_by`` of one column with the count of all rows in a row of its own, which ``is_total`` marks. Works on streams.
+
+    One aggregate over two grouping sets, so that a running share needs no second look at a batch:
+    ``with_shares`` divides when the kept table is read. A null key is a group, not the total.
+    """
+    counts = df.select(key).groupingSets([[key], []], key)
+    return counts.agg(F.count("*").alias(name), (F.grouping_id() > 0).alias(TOTAL))
+
+
+def with_shares(counts: DataFrame, count: str, name: str = "ratio") -> DataFrame:
+    """The groups of a table of ``count_with_total``, with each one's share of the total. Not for streams."""
+    total = counts.filter(TOTAL).select(count).scalar()
+    return counts.filter(~F.col(TOTAL)).drop(TOTAL).withColumn(name, F.try_divide(F.col(count), total))
+
+
 def share_of_total(counts: DataFrame, count: str, name: str = "ratio") -> DataFrame:
     """Adds each group's share of the sum of ``count``. Not for streams.
 

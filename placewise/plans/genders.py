@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from placewise import names
 from placewise.operators import enriching
-from placewise.operators.counting import count_by, share_of_total
+from placewise.operators.counting import count_by, count_with_total, share_of_total
 
 
 def count_records_by_gender(records: DataFrame) -> DataFrame:
@@ -14,6 +14,11 @@ def count_records_by_gender(records: DataFrame) -> DataFrame:
     return count_by(records, "gender", name=names.BY_GENDER)
 
 
+def count_genders_with_total(records: DataFrame) -> DataFrame:
+    """The same with the total in a row of its own: the live form of ``record_share``."""
+    return count_with_total(records, "gender", names.BY_GENDER)
+
+
 def record_share(records: DataFrame) -> DataFrame:
     """The same with the share of all rows."""
     return share_of_total(count_records_by_gender(records), names.BY_GENDER, names.RATIO)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from placewise import names
 from placewise.functions import fields
+from placewise.functions.places import name_words, names_agree, word_runs
 from placewise.operators.counting import count_by, ranked
 from placewise.operators.joining import count_pairs, spread_join
 
@@ -82,6 +83,56 @@ def location_match(placed: DataFrame, profiled: DataFrame) -> DataFrame:
             .withColumn("rate", F.col("holding") / F.col("pairs")))
 
 
+def location_agreement(placed: DataFrame, profiled: DataFrame) -> DataFrame:
+    """``location_match`` with names that differ in a few letters: ``pairs``, ``equal``, ``holding``, ``near`` and the rate of these.
+
+    Places and locations meet through their authors only, each two names once; ``near`` are those that
+    ``names_agree`` finds to be one name.
+    """
+    pairs = _author_pairs(placed, profiled, True).filter(F.col("place").isNotNull() & F.col("location").isNotNull())
+    place, location = F.lower("place"), F.lower("location")
+
+    def total(condition):
+        return F.sum(F.when(condition, F.col("n")).otherwise(F.lit(0)))
+
+    return (pairs.groupBy("author_id")
+            .agg(F.sum("n").alias("pairs"), total(place == location).alias("equal"), total(F.contains(place, location)).alias("holding"),
+                 total(names_agree("place", "location")).alias("near"))
+            .withColumn("rate", F.col("near") / F.col("pairs")))
+
+
+def regions_of(locations: DataFrame, regions: DataFrame) -> DataFrame:
+    """``location, named, attribute``: the region that a location in free text names, if it names one.
+
+    ``locations`` has a column ``location`` of distinct texts, ``regions`` is that of ``share_by_region``. The runs of
+    words of a text are compared with the words of the names, so "Austin, TX" is found by "austin" and by "Austin TX" but not
+    by "Aust". Of several names the one of most words counts, then of most letters, then the first in
+    the text; a name of several attributes has the smallest. The longest name says how long runs are.
+    """
+    names_ = (regions.select(F.array_join(name_words("location"), " ").alias("run"), "attribute", F.size(name_words("location")).alias("words"))
+              .filter("run != ''").groupBy("run").agg(F.min("attribute").alias("attribute"), F.first("words").alias("words")))
+    longest = names_.agg(F.max("words")).first()[0] or 1
+    runs = locations.select("location", F.explode(word_runs(name_words("location"), longest)).alias("r")).select("location", "r.*")
+    found = runs.join(names_, "run").groupBy("location").agg(
+        F.min(F.struct((-F.col("size")).alias("size"), (-F.length("run")).alias("length"), "start", "run", "attribute")).alias("best"))
+    return found.select("location", F.col("best.run").alias("named"), F.col("best.attribute").alias("attribute"))
+
+
+def share_by_named_region(posts: DataFrame, regions: DataFrame) -> DataFrame:
+    """``share_by_region`` for locations in free text: those that name a region belong to it, see ``regions_of``.
+
+    Posts are counted per location first, and each location is searched once. Posts whose author names no region
+    are the group with a null attribute.
+    """
+    counts = (posts.select(fields.user_field("location").alias("location"), fields.has_place().alias("placed"))
+              .groupBy("location")
+              .agg(F.count_if("placed").alias("placed"), F.count("*").alias("posts")))
+    named = regions_of(counts.select("location").filter(F.col("location").isNotNull()), regions)
+    return (counts.join(named, "location", "left")
+            .groupBy("attribute").agg(F.sum("placed").alias("placed"), F.sum("posts").alias("posts"))
+            .withColumn("share", F.col("placed") / F.col("posts")))
+
+
 def share_by_region(posts: DataFrame, regions: DataFrame) -> DataFrame:
     """Share of placed posts per attribute of the region the author names.
 

@@ -7,18 +7,17 @@ the enrichment beside a stream, ratios of a live count, and counts with bounded
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from placewise import names
-from placewise.operators.counting import share_of_total
+from placewise.operators.counting import TOTAL, with_shares
 from placewise.operators.enriching import enrich_gender
-from placewise.plans.devices import count_by_device
-from placewise.plans.genders import count_records_by_gender
-from placewise.streaming.sinks import FEW_KEYS, append_files, land_batches, replace_table
+from placewise.plans.devices import count_devices_with_total
+from placewise.plans.genders import count_genders_with_total
+from placewise.streaming.sinks import FEW_KEYS, append_files, land_batches, latest, replace_table
 
 
 def land_genders(posts: DataFrame, lookup: DataFrame, out: str, checkpoint: str,
@@ -41,15 +40,18 @@ def land_fresh_genders(posts: DataFrame, lookup: Callable[[SparkSession], DataFr
 
 
 def live_device_share(posts: DataFrame, out: str, checkpoint: str, **run) -> StreamingQuery:
-    """``device_share`` kept up to date."""
-    share = partial(share_of_total, count=names.BY_DEVICE, name=names.RATIO)
-    return replace_table(count_by_device(posts), out, checkpoint, share, FEW_KEYS, **run)
+    """``device_share`` kept up to date: counts and their total, each batch written once. Read it with ``latest_shares``."""
+    return replace_table(count_devices_with_total(posts), out, checkpoint, FEW_KEYS, **run)
 
 
 def live_record_share(records: DataFrame, out: str, checkpoint: str, **run) -> StreamingQuery:
-    """``record_share`` kept up to date."""
-    share = partial(share_of_total, count=names.BY_GENDER, name=names.RATIO)
-    return replace_table(count_records_by_gender(records), out, checkpoint, share, FEW_KEYS, **run)
+    """``record_share`` kept up to date in the same way."""
+    return replace_table(count_genders_with_total(records), out, checkpoint, FEW_KEYS, **run)
+
+
+def latest_shares(spark: SparkSession, out: str, key: str, count: str) -> DataFrame:
+    """The counts that the last finished batch left, with each one's share of their total."""
+    return with_shares(latest(spark, out, f"{key} string, {count} bigint, {TOTAL} boolean"), count, names.RATIO)
 
 
 def windowed_count(posts: DataFrame, key: Column, watermark: str, window: str, name: str = "count") -> DataFrame:

@@ -55,25 +55,19 @@ def append_files(df: DataFrame, out: str, checkpoint: str, format: str = "parque
 
 
 def replace_table(df: DataFrame, out: str, checkpoint: str,
-                  finish: Callable[[DataFrame], DataFrame] | None = None, state_partitions: int | None = None,
-                  available_now: bool = True, every: str | None = None) -> StreamingQuery:
+                  state_partitions: int | None = None, available_now: bool = True, every: str | None = None) -> StreamingQuery:
     """Keep the full result of a running aggregate as a table; read it with ``latest``.
 
     Batches take turns between two folders and a batch counts once its number is in the
     log, so readers always find a finished table and storage stays bounded. A batch that
-    is run again writes the same folder again. ``finish`` is applied to the written
-    table: it may use what streams cannot do, such as a share of the total.
+    is run again writes the same folder again.
 
     The number of ``state_partitions`` is the session's shuffle partitions by default;
     it is fixed by the first run of a checkpoint.
     """
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        folder = f"{out}/turn={number % 2}"
-        counts = f"{folder}/counts" if finish else f"{folder}/table"
-        batch.write.mode("overwrite").parquet(counts)
-        if finish:
-            finish(spark.read.schema(batch.schema).parquet(counts)).write.mode("overwrite").parquet(f"{folder}/table")
+        batch.write.mode("overwrite").parquet(f"{out}/turn={number % 2}/table")
         _log(spark, out, number)
 
     writer = df.writeStream.outputMode("complete").foreachBatch(write)

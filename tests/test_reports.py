@@ -199,3 +199,48 @@ def test_location_match_and_region_share(spark):
     regions = spark.createDataFrame([("Rivertown", "x"), ("rivertown", "x"), ("Sea", "y")], "location string, attribute string")
     share = as_dict(locations.share_by_region(posts, regions), "attribute", "placed", "posts", "share")
     assert share == {"x": (2, 2, 1.0), "y": (1, 2, 0.5), None: (1, 1, 1.0)}
+
+
+REGIONS = [("Austin", "south"), ("TX", "south"), ("New York", "east"), ("York", "north"), ("São Paulo", "latin"), ("Port", "b"), ("Port", "a"), (" - ", "none"), (None, "none")]
+
+
+def test_regions_of_free_text(spark):
+    regions = spark.createDataFrame(REGIONS, "location string, attribute string")
+    texts = {"Austin, TX": ("austin", "south"), "living in NEW   york!": ("new york", "east"), "york/new": ("york", "north"), "Yorkshire": None, "Aust": None,
+             "são paulo": ("são paulo", "latin"), "port": ("port", "a"), "": None, " ,, ": None, "tx york": ("york", "north"), "TX, NY": ("tx", "south"),
+             "port york": ("port", "a"), "x " * 5000 + "Austin": ("austin", "south")}
+    got = locations.regions_of(spark.createDataFrame([(t,) for t in texts], "location string"), regions)
+    assert {r["location"]: (r["named"], r["attribute"]) for r in got.collect()} == {t: v for t, v in texts.items() if v}
+    assert locations.regions_of(spark.createDataFrame([("a",)], "location string"), regions.limit(0)).count() == 0
+
+
+def test_posts_per_named_region(spark):
+    regions = spark.createDataFrame(REGIONS, "location string, attribute string")
+    posts = from_dicts(spark, [post("1", places=["P"], users=[("u", "Austin, TX")]), post("2", users=[("u", "austin")]), post("3", users=[("u", "nowhere")]),
+                               post("4", places=["P"]), post("5", users=[("u", None)])])
+    got = as_dict(locations.share_by_named_region(posts, regions), "attribute", "placed", "posts")
+    assert got == {"south": (1, 2), None: (1, 3)}
+
+
+@pytest.mark.parametrize("one, other, agree", [
+    ("Rivertown", "RIVER-TOWN", True), ("Rivertown", "Hillford", False), ("Rivertown", "Rivertwn", True), ("Rivertown", "Rivrtwn", True), ("Rivertown", "Rvrtwn", False),
+    ("North Rivertown", "north  rivertown!", True), ("Xivertown", "Rivertown", False), ("East Lakeside", "Eost Lakeside", True), ("Sea", "Sex", False),
+    ("", "", True), ("", "Sea", False), (None, "Sea", None)])
+def test_names_agree_but_for_a_few_letters(spark, one, other, agree):
+    from placewise.functions.places import names_agree
+    df = spark.createDataFrame([(one, other)], "a string, b string")
+    assert df.select(names_agree("a", "b"), names_agree("b", "a")).first() == (agree, agree)
+
+
+def test_location_agreement(spark):
+    posts = from_dicts(spark, [post("1", author="a", places=["Rivertown"], users=[("u", "Rivertwn")]), post("2", author="a", places=["Hillford"], users=[("u", "rivertown")]),
+                               post("3", author="b", places=["Sea"], users=[("v", None)])])
+    got = as_dict(locations.location_agreement(posts, posts), "author_id", "pairs", "equal", "holding", "near", "rate")
+    assert got == {"a": (4, 1, 1, 2, 0.5)}
+
+
+def test_a_null_key_is_not_the_total(spark):
+    from placewise.operators.counting import count_with_total, with_shares
+    df = spark.createDataFrame([(k,) for k in ("a", "a", None)], "k string")
+    assert as_dict(with_shares(count_with_total(df, "k", "n"), "n"), "k", "n", "ratio") == {"a": (2, 2 / 3), None: (1, 1 / 3)}
+    assert with_shares(count_with_total(df.limit(0), "k", "n"), "n").count() == 0

@@ -97,3 +97,20 @@ def test_the_scan_counts_torn_lines_itself(spark, traps_dir):
     observed = Observation("seen")
     assert read_posts(spark, traps_dir, "data.text", observed=observed).count() == 12
     assert (observed.get[LINES], observed.get[NO_POSTS]) == (13, 1) and torn_lines(spark, traps_dir).count() == 1
+
+
+def test_drift_of_the_schema_is_told_by_path(spark, tmp_path):
+    from placewise.sources.drift import schema_drift
+    lines = ['{"data":{"id":1,"text":"a","lang":"en"},"includes":{"places":[{"full_name":"P","id":"p","geo":{"lat":1.5}}]}}', '{"data":{"id":2,"text":"cut',
+             '{"data":{"author_id":"a","created_at":"x","source":"s"},"meta":true}', '{"late":1}']
+    (tmp_path / "part.json").write_text("\n".join(lines))
+    got = {r["path"]: (r["declared"], r["found"], r["drift"]) for r in schema_drift(spark, str(tmp_path), lines=3).collect()}
+    users = {f"includes.users[].{f}": ("string", None, "missing") for f in ("id", "name", "username", "location")}
+    assert got == users | {"data.id": ("string", "bigint", "retyped"), "data.lang": (None, "string", "unknown"), "meta": (None, "boolean", "unknown"),
+                           "includes.places[].geo.lat": (None, "double", "unknown")}
+    assert schema_drift(spark, str(tmp_path), lines=4).where("path = 'late'").count() == 1
+
+
+def test_files_as_declared_do_not_drift(spark, traps_dir):
+    from placewise.sources.drift import schema_drift
+    assert {r["path"] for r in schema_drift(spark, traps_dir).collect()} == set()

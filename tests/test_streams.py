@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import TRAPS, write_lines
+from placewise import names
 from placewise.plans import devices, feeds, genders, handles, hours, locations
 from placewise.sources.posts import read_gender_records, read_posts, stream_gender_records, stream_posts
 from placewise.streaming import reports as live
@@ -75,7 +76,13 @@ def test_live_shares(spark, landing, tmp_path):
     posts = stream_posts(spark, landing.path, max_files=1)
     live.live_device_share(posts, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(180)
     want = devices.device_share(read_posts(spark, landing.path))
-    assert rows(latest(spark, str(tmp_path / "out"), want.schema)) == rows(want)
+    assert rows(live.latest_shares(spark, str(tmp_path / "out"), "source", names.BY_DEVICE)) == rows(want)
+
+
+def test_a_batch_of_a_live_share_is_written_once(spark, landing, tmp_path):
+    landing(0)
+    live.live_device_share(stream_posts(spark, landing.path), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(180)
+    assert {p.parent.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").rglob("*.parquet")} == {"turn=0/table", "log/part=0"}
 
 
 def test_genders_are_landed_file_by_file_and_counted(spark, landing, tmp_path):
@@ -91,7 +98,7 @@ def test_genders_are_landed_file_by_file_and_counted(spark, landing, tmp_path):
     assert rows(want) == rows(genders.gender_share(read_posts(spark, landing.path), lookup))
     live.live_record_share(stream_gender_records(spark, gender, max_files=1), str(tmp_path / "out"),
                            str(tmp_path / "cp2")).awaitTermination(180)
-    assert rows(latest(spark, str(tmp_path / "out"), want.schema)) == rows(want)
+    assert rows(live.latest_shares(spark, str(tmp_path / "out"), "gender", names.BY_GENDER)) == rows(want)
 
 
 def test_windowed_count_gives_closed_windows_only(spark, landing, tmp_path):
