@@ -207,34 +207,38 @@ def _summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray
     return [k[begins] for k in keys], np.add.reduceat(counts[order], np.flatnonzero(begins)) if len(order) else counts
 
 
-_FOUND = "kind string, a long, n long, columns binary, docs binary, counts binary"
+_FOUND = "kind string, a int, columns binary, docs binary, counts binary"
 
 
 def _multiplied_columns(batches):
     """``pair`` rows: pairs of documents of a block ``a`` and how many of their rare columns they share, packed;
-    ``frequent`` rows: other columns with their documents, packed; ``heavy`` rows: a document and how many such columns
-    it has."""
+    ``frequent`` rows: other columns with their documents, packed; ``heavy`` rows: documents of a block ``a`` and how many
+    such columns they have, packed. Their number depends on tasks and blocks, not on documents."""
     pairs: list[tuple] = []
-    heavy: list[np.ndarray] = []
+    often: list[tuple] = []
 
-    def frequent(columns, docs):
-        return {"kind": ["frequent"], "a": [0], "n": [0], "columns": [columns], "docs": [docs], "counts": [None]}
+    def packed_rows(kind, keys, counts):
+        place = mixed(keys[0])
+        order = np.argsort(place, kind="stable")
+        bounds = packed.block_bounds(place[order])
+        full = np.flatnonzero(np.diff(bounds)).tolist()
+        cut = lambda x: [packed.pack(x[order][bounds[i]:bounds[i + 1]]) for i in full]
+        return {"kind": [kind] * len(full), "a": full, "columns": cut(keys[1]) if len(keys) > 1 else [None] * len(full),
+                "docs": cut(keys[0]), "counts": cut(counts.astype(np.uint64))}
 
     def sent():
         if pairs:
-            (a, b), n = _summed([np.concatenate(x) for x in zip(*pairs, strict=True)], np.ones(sum(len(p[0]) for p in pairs), np.int64))
-            place = mixed(a)
-            order = np.argsort(place, kind="stable")
-            a, b, n, bounds = a[order], b[order], n[order].astype(np.uint64), packed.block_bounds(place[order])
-            full = np.flatnonzero(np.diff(bounds)).tolist()
-            cut = lambda x: [packed.pack(x[bounds[i]:bounds[i + 1]]) for i in full]
-            yield {"kind": ["pair"] * len(full), "a": full, "n": [0] * len(full), "columns": cut(a), "docs": cut(b), "counts": cut(n)}
-        if heavy:
-            docs = np.concatenate(heavy)
-            (docs,), n = _summed([docs], np.ones(len(docs), np.int64))
-            none = [None] * len(docs)
-            yield {"kind": ["heavy"] * len(docs), "a": _signed(docs), "n": n, "columns": none, "docs": none, "counts": none}
-        pairs.clear(), heavy.clear()
+            keys, n = _summed([np.concatenate(x) for x in zip(*pairs, strict=True)], np.ones(sum(len(p[0]) for p in pairs), np.int64))
+            yield packed_rows("pair", keys, n)
+        if often:
+            columns, docs = (np.concatenate(x) for x in zip(*often, strict=True))
+            order = np.lexsort((docs, columns))
+            yield {"kind": ["frequent"], "a": [0], "columns": [packed.pack_sorted(columns[order])], "docs": [packed.pack(docs[order])], "counts": [None]}
+            yield packed_rows("heavy", *_summed([docs], np.ones(len(docs), np.int64)))
+        pairs.clear(), often.clear()
+
+    def full():
+        return sum(len(x[0]) for x in (*pairs, *often)) > HELD
 
     def ready(parts):
         columns, docs = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -245,8 +249,7 @@ def _multiplied_columns(batches):
         many = (counts > PAIR_DOCUMENTS) | (docs[begin + counts - 1] == MARK)
         own = many & (docs != MARK)
         if own.any():
-            heavy.append(docs[own])
-            yield frequent(packed.pack_sorted(columns[own]), packed.pack(docs[own]))
+            often.append((columns[own], docs[own]))
         columns, docs = columns[~many], docs[~many]
         for step in range(1, PAIR_DOCUMENTS):
             same = np.flatnonzero((columns[step:] == columns[:-step]) & (docs[step:] != docs[:-step]))
@@ -257,29 +260,37 @@ def _multiplied_columns(batches):
     for batch in batches:
         for block, columns, docs, apart in zip(*(batch.column(c).to_pylist() for c in ("block", "columns", "docs", "frequent")), strict=True):
             if apart:
-                heavy.append(packed.unpack(docs))
-                yield frequent(columns, docs)
-                continue
-            if block != current and parts:
-                yield from ready(parts)
+                often.append((packed.unpack_sorted(columns), packed.unpack(docs)))
+            elif block != current and parts:
+                ready(parts)
                 parts = []
-                if sum(len(p[0]) for p in pairs) + sum(map(len, heavy)) > HELD:
-                    yield from sent()
+            if full():
+                yield from sent()
+            if apart:
+                continue
             current = block
             parts.append((packed.unpack_sorted(columns), packed.unpack(docs)))
     if parts:
-        yield from ready(parts)
+        ready(parts)
     yield from sent()
 
 
 def _added_pairs(batches):
     """``a, b, n`` once for each pair: the sums over all blocks of columns."""
     for _, rows in packed.blocks(batches):
-        a, b, n = (np.concatenate([packed.unpack(x[c]) for x in rows]) for c in ("columns", "docs", "counts"))
+        a, b, n = (np.concatenate([packed.unpack(x[c]) for x in rows]) for c in ("docs", "columns", "counts"))
         (a, b), n = _summed([a, b], n.astype(np.int64))
         yield {"a": _signed(a), "b": _signed(b), "n": n}
 
 
+def _added_heavy(batches):
+    """``a, n`` once for each document with frequent columns."""
+    for _, rows in packed.blocks(batches):
+        docs, n = (np.concatenate([packed.unpack(x[c]) for x in rows]) for c in ("docs", "counts"))
+        (docs,), n = _summed([docs], n.astype(np.int64))
+        yield {"a": _signed(docs), "n": n}
+
+
 def _ties(popular):
     """Ties of popular documents along frequent columns: to the first in the row, and that one for the column as a whole."""
     def run(batches):
@@ -306,10 +317,11 @@ def candidates(rows: DataFrame, known: DataFrame, counters, folder: str) -> Data
     found = spark.read.schema(_FOUND).parquet(f"{folder}/columns")
     size = F.min("size")
     needed = lambda n: F.greatest(F.lit(1), F.floor(n * (100 - PERCENT) / 100))
-    heavy = found.where("kind = 'heavy'").groupBy("a").agg(F.sum("n").alias("heavy"))
+    heavy = found.where("kind = 'heavy'").select(F.col("a").alias("block"), "docs", "counts")
+    heavy = arrow_map(packed.by_block(heavy), _added_heavy, "a long, n long").withColumnRenamed("n", "heavy")
     of = (known.groupBy("doc_id").agg(size.alias("size")).join(heavy.withColumnRenamed("a", "doc_id"), "doc_id", "left")
           .select("doc_id", "size", needed(F.col("size")).alias("needed"), F.coalesce("heavy", F.lit(0)).alias("heavy")))
-    pairs = found.where("kind = 'pair'").select(F.col("a").cast("int").alias("block"), "columns", "docs", "counts")
+    pairs = found.where("kind = 'pair'").select(F.col("a").alias("block"), "columns", "docs", "counts")
     pairs = arrow_map(packed.by_block(pairs), _added_pairs, "a long, b long, n long")
     for end in ("a", "b"):
         pairs = pairs.join(of.toDF(end, f"size_{end}", f"needed_{end}", f"heavy_{end}"), end)
