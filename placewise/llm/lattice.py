@@ -24,10 +24,10 @@ from placewise.session import work_folder
 
 # Rounds of expectation maximisation, and what each piece gets beside its expected count.
 ROUNDS, SMOOTHING = 2, 0.1
-# Words that are broadcast with their counts, at most: the most frequent. All others are joined.
+# Words that are broadcast with their scores, at most: the most frequent of up to LONG_WORD bytes. All others are joined.
 HEAD_WORDS = 100_000
-# Distinct words that a task counts before it sends them; scores that a worker remembers.
-HELD_WORDS, REMEMBERED = 400_000, 200_000
+# Distinct words that a task counts before it sends them.
+HELD_WORDS = 400_000
 # Words up to LONG_WORD bytes are scored TOGETHER by length, longer ones one by one.
 LONG_WORD, TOGETHER = 64, 8192
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -181,23 +181,35 @@ def vocabulary(path: str) -> Pieces:
     return Pieces({piece: math.log(w) - total for piece, w in weights.items()}, 0.0, max(map(len, weights)))
 
 
-def counted(texts: DataFrame) -> DataFrame:
-    """``word binary, n long``: the words of all ``texts``, and an end for each."""
+def counted(rows: DataFrame) -> DataFrame:
+    """``word, n, seen``: all words of the texts, and an end for each; how often in texts to ``learn`` from, and in all."""
     def run(batches):
-        held: dict[bytes, int] = {}
-        ends = 0
+        held: dict[bytes, list[int]] = {}
+        learnt = ends = 0
+
+        def sent():
+            return {"word": list(held), "n": [x[0] for x in held.values()], "seen": [x[1] for x in held.values()]}
+
         for batch, slice_ in slices(batches):
-            codes, distinct = Words(slice_, mapped=LOWER).coded()
-            for word, n in zip(distinct.to_pylist(), np.bincount(codes, minlength=len(distinct)).tolist(), strict=True):
-                held[word] = held.get(word, 0) + n
+            words = Words(slice_, mapped=LOWER)
+            codes, distinct = words.coded()
+            learn = batch.column("learn").to_numpy(zero_copy_only=False)
+            n = np.bincount(codes[learn[words.owners()]], minlength=len(distinct)).tolist()
+            for word, own, all_ in zip(distinct.to_pylist(), n, np.bincount(codes, minlength=len(distinct)).tolist(), strict=True):
+                both = held.setdefault(word, [0, 0])
+                both[0] += own
+                both[1] += all_
+            learnt += int(learn.sum())
             ends += batch.num_rows
             if len(held) > HELD_WORDS:
-                yield {"word": list(held), "n": list(held.values())}
-                held = {}
+                yield sent()
+                held.clear()
         if ends:
-            yield {"word": [END, *held], "n": [ends, *held.values()]}
+            held[END] = [learnt, ends]
+            yield sent()
 
-    return arrow_map(texts, run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = arrow_map(rows, run, "word binary, n long, seen long").groupBy("word")
+    return found.agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 def fitted(counts: DataFrame, start: Pieces, rounds: int = ROUNDS) -> Pieces:
@@ -224,47 +236,54 @@ def fitted(counts: DataFrame, start: Pieces, rounds: int = ROUNDS) -> Pieces:
     return pieces
 
 
-def _scores(head, model, floor):
+def weighed(counts: DataFrame, pieces: Pieces, total: int, distinct: int) -> DataFrame:
+    """``word, n, seen, base, lattice``: the scores of each distinct word, worked out once for all texts."""
+    model, below = counts.sparkSession.sparkContext.broadcast(pieces), total + 0.5 * (distinct + 1)
+
+    def run(batches):
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            lattice = model.value.words(words)
+            lattice[[word == END for word in words]] = model.value.ending()
+            base = np.log10((batch.column("n").to_numpy() + 0.5) / below)
+            yield {"word": batch.column("word"), "n": batch.column("n"), "seen": batch.column("seen"), "base": base, "lattice": lattice}
+
+    return arrow_map(counts, run, "word binary, n long, seen long, base double, lattice double")
+
+
+def _scores(head):
     """Rows ``doc_id`` with sums over the words of the head, and the other words with how often they occur."""
     def run(batches):
-        known, pieces, low = head.value, model.value, floor
-        other: dict[bytes, float] = {}
-        end = known.get(END, (0, low, pieces.ending()))
+        known = head.value
+        end = known[END]
         for batch, texts in slices(batches):
             words = Words(texts, mapped=LOWER)
             codes, distinct = words.coded()
             names = distinct.to_pylist()
-            base, lattice, seen = np.zeros(len(names)), np.zeros(len(names)), np.zeros(len(names), bool)
-            new = [name for name in names if name not in known and name not in other]
-            if len(other) + len(new) > REMEMBERED:
-                other.clear()
-                new = [name for name in names if name not in known]
-            other.update(zip(new, pieces.words(new).tolist(), strict=True))
+            values = np.zeros((3, len(names)))
+            missing = np.ones(len(names), bool)
             for i, name in enumerate(names):
                 found = known.get(name)
                 if found:
-                    seen[i], base[i], lattice[i] = True, found[1], found[2]
-                else:
-                    lattice[i] = other[name]
+                    values[:, i], missing[i] = found, False
             sums = lambda x: np.diff(np.append(0, np.cumsum(x[codes]))[words.first])
             rest, counts = [], []
-            missing = ~seen[codes]
-            at = np.append(0, np.cumsum(missing))[words.first]
-            unknown = codes[missing]
+            at = np.append(0, np.cumsum(missing[codes]))[words.first]
+            others = codes[missing[codes]]
             for a, b in zip(at[:-1], at[1:], strict=True):
-                own, n = np.unique(unknown[a:b], return_counts=True)
+                own, n = np.unique(others[a:b], return_counts=True)
                 rest.append([names[i] for i in own.tolist()])
                 counts.append(n.tolist())
             yield {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "n_tokens": words.counts + 1,
-                   "n_known": sums(seen.astype(np.int64)) + (end[0] > 0), "base": sums(base) + end[1], "score": sums(lattice) + end[2],
+                   "n_known": (sums(values[0]) + end[0]).round().astype(np.int64), "base": sums(values[1]) + end[1], "score": sums(values[2]) + end[2],
                    "words": rest, "counts": counts}
     return run
 
 
 def _head_count(counts: DataFrame) -> int:
-    """The smallest count of a head of at most HEAD_WORDS words: all words of one size class are in it or none."""
-    size = F.floor(F.log2("n") * 16).alias("size")
-    sizes = counts.groupBy(size).agg(F.count("*").alias("words"), F.min("n").alias("least")).orderBy(F.desc("size")).collect()
+    """The least that a word of the head is seen; the head has HEAD_WORDS words at most: all words of one size class are in it or none."""
+    size = F.floor(F.log2("seen") * 16).alias("size")
+    sizes = counts.groupBy(size).agg(F.count("*").alias("words"), F.min("seen").alias("least")).orderBy(F.desc("size")).collect()
     words, least = 0, 1 << 62
     for r in sizes:
         words += r["words"]
@@ -286,27 +305,27 @@ def scored(docs: DataFrame, learn: Column, vocabulary_path: str) -> DataFrame:
     spark = docs.sparkSession
     folder = work_folder(spark, "lattice")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    counted(rows.where("learn").select("text")).write.parquet(f"{folder}/counts")
-    counts = spark.read.schema("word binary, n long").parquet(f"{folder}/counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    pieces = fitted(counts, vocabulary(vocabulary_path))
-    floor = math.log10(0.5 / (total + 0.5 * (distinct + 1)))
-    head = [(bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= _head_count(counts)).collect()]
-    lattice = pieces.words([word for word, _ in head])
-    lattice = [pieces.ending() if word == END else float(x) for (word, _), x in zip(head, lattice, strict=True)]
-    head = {word: (n, math.log10((n + 0.5) / (total + 0.5 * (distinct + 1))), x) for (word, n), x in zip(head, lattice, strict=True)}
-    run = _scores(spark.sparkContext.broadcast(head), spark.sparkContext.broadcast(pieces), floor)
+    counted(rows.select("text", "learn")).write.parquet(f"{folder}/counts")
+    counts = spark.read.schema("word binary, n long, seen long").parquet(f"{folder}/counts")
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    pieces = fitted(counts.where("n > 0").select("word", "n"), vocabulary(vocabulary_path))
+    weighed(counts, pieces, total, distinct).write.parquet(f"{folder}/words")
+    words = spark.read.schema("word binary, n long, seen long, base double, lattice double").parquet(f"{folder}/words")
+    frequent = (F.col("seen") >= _head_count(words)) & (F.length("word") <= LONG_WORD) | (F.col("word") == F.lit(END))
+    head = {bytes(r["word"]): (float(r["n"] > 0), r["base"], r["lattice"]) for r in words.where(frequent).select("word", "n", "base", "lattice").collect()}
+    run = _scores(spark.sparkContext.broadcast(head))
     kind = "doc_id long, row long, n_tokens long, n_known long, base double, score double, words array<binary>, counts array<int>"
     texts = rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     arrow_map(texts, run, kind).write.parquet(f"{folder}/scores")
     found = spark.read.schema(kind).parquet(f"{folder}/scores")
-    rest = (found.select("row", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.counts").alias("times"))
-            .distinct().join(counts, "word", "left"))
-    c = F.coalesce("n", F.lit(0))
-    sums = rest.groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * F.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))).alias("more_base"))
-    return (found.select("doc_id", "row", "n_tokens", "n_known", "base", "score").join(sums, "row", "left")
-            .select("doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-                    F.lit(total).cast("long").alias("train_tokens"),
-                    (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score"))
+    rest = (found.select("row", "doc_id", F.explode(F.arrays_zip("words", "counts")).alias("w"))
+            .select("row", "doc_id", F.col("w.words").alias("word"), F.col("w.counts").alias("times")).distinct().join(words, "word"))
+    sums = rest.groupBy("row", F.col("doc_id").alias("of")).agg(
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
+        F.sum(F.col("times") * F.col("base")).alias("more_base"), F.sum(F.col("times") * F.col("lattice")).alias("more_score"))
+    sums = sums.withColumnRenamed("row", "of_row")
+    more = lambda c: F.coalesce(F.col(f"more_{c}"), F.lit(0))
+    return (found.select("doc_id", "row", "n_tokens", "n_known", "base", "score")
+            .join(sums, (F.col("row") == F.col("of_row")) & F.col("doc_id").eqNullSafe(F.col("of")), "left")
+            .select("doc_id", "n_tokens", (F.col("n_known") + more("known")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+                    (F.col("base") + more("base")).alias("base_score"), (F.col("score") + more("score")).alias("score")))

@@ -245,7 +245,7 @@ def test_scores_sum_over_all_segmentations(monkeypatch):
 
 def test_fitting_makes_the_training_words_likelier(spark, monkeypatch):
     monkeypatch.setattr(lattice, "SMOOTHING", 1e-6)
-    counts = lattice.counted(spark.createDataFrame([("ab ab ba abba",), ("ab",)], "text string"))
+    counts = lattice.counted(spark.createDataFrame([("ab ab ba abba", True), ("ab", True)], "text string, learn boolean"))
     assert rows(counts.where("n > 1").selectExpr("cast(word AS string)", "n")) == [("", 2), ("ab", 3)]
     start, first = _pieces(), None
     total = lambda p: sum(3 * p.words([b"ab"])) + sum(p.words([b"ba", b"abba"])) + 2 * p.ending()
@@ -263,12 +263,26 @@ def test_scores_of_traps(traps, monkeypatch):
     want = expected((r[0], *r[2:]) for r in brute.op8(TRAPS))
     assert rows(found, *columns) == want
     scores = rows(found, "doc_id", "score")
-    for name, value in (("HEAD_WORDS", 5), ("REMEMBERED", 10), ("HELD_WORDS", 20), ("arrow_map", in_process)):
+    for name, value in (("HEAD_WORDS", 5), ("HELD_WORDS", 20), ("arrow_map", in_process)):
         monkeypatch.setattr(lattice, name, value)
     found = lattice.scored(traps, ~queries.held_out_words(), tokenizer_path("piece_bpe_32k.model"))
     assert rows(found, *columns) == want and rows(found, "doc_id", "score") == scores
 
 
+def test_every_text_is_the_sum_of_its_words_and_an_end(traps, monkeypatch):
+    """Head and joined words alike, by the model that was fitted."""
+    fitted = []
+    keep = lattice.fitted
+    monkeypatch.setattr(lattice, "fitted", lambda *a: fitted.append(keep(*a)) or fitted[-1])
+    monkeypatch.setattr(lattice, "HEAD_WORDS", 7)
+    found = lattice.scored(traps, ~queries.held_out_words(), tokenizer_path("piece_bpe_32k.model"))
+    pieces, texts = fitted[0], [(doc, [w.encode() for w in brute.words(brute.lower(text))]) for doc, text in TRAPS]
+    once = {w: pieces.forward(lattice.SPACE + w)[-1] / math.log(10) for _, own in texts for w in own}
+    want = expected((doc, len(own) + 1, sum(once[w] for w in own) + pieces.ending()) for doc, own in texts)
+    for got, one in zip(rows(found, "doc_id", "n_tokens", "score"), want, strict=True):
+        assert got[:2] == one[:2] and got[2] == pytest.approx(one[2], rel=1e-7)
+
+
 def test_scores_of_empty_and_null_tables(none, all_null):
     path = tokenizer_path("piece_bpe_32k.model")
     assert rows(lattice.scored(none, F.lit(True), path)) == []
