@@ -6,6 +6,9 @@ slice is hashed once. Nothing here depends on how Spark cut the rows into tasks.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -165,6 +168,14 @@ def whole_runs(words: Words, length: int) -> np.ndarray:
     return np.flatnonzero(np.arange(count) + length <= ends[:count])
 
 
+def give_back() -> None:
+    """Returns what the task freed to the system: workers are used again, by operators that need it for something else."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library is another one
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def arrow_schema(schema: str) -> pa.Schema:
     """The Arrow form of a schema in words; to be made on the driver."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -178,6 +189,12 @@ def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     columns = arrow_schema(schema)
 
     def run(batches):
+        try:
+            yield from made(batches)
+        finally:
+            give_back()
+
+    def made(batches):
         for row in function(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row[f.name], type=f.type, from_pandas=False) if not isinstance(row[f.name], (pa.Array, pa.ChunkedArray)) else row[f.name].cast(f.type)
