@@ -135,8 +135,8 @@ _QUERIES = {
         ('includes.users[].name', 'string', NULL, 'missing'), ('includes.users[].username', 'string', NULL, 'missing')) AS drift(path, declared, found, drift)
       WHERE (SELECT count(*) FROM posts) > 0""",
     "stream_fresh_genders": f"""SELECT id, username, CASE WHEN known THEN username END AS name, CASE WHEN known THEN gender ELSE 'null' END AS gender,
-        CASE WHEN known THEN country END AS country, CASE WHEN known THEN probability END AS probability,
-        CASE WHEN known THEN total_names END AS total_names, batch
+        CASE WHEN known THEN country END AS country, CASE WHEN known THEN cast(probability AS varchar) END AS probability,
+        CASE WHEN known THEN cast(total_names AS varchar) END AS total_names, batch
       FROM (SELECT *, cast(author_id AS bigint) % 4 <= batch AS known FROM (SELECT *, {_part(4)} AS batch FROM posts WHERE placed))""",
     "torn_lines_by_batch": f"""SELECT batch, count(*) AS lines, count(*) FILTER (WHERE cast(id AS bigint) % 50 = 0) AS torn
       FROM (SELECT id, {_part(3)} AS batch FROM posts UNION ALL SELECT id, -1 AS batch FROM posts) GROUP BY batch""",

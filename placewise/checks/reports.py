@@ -329,7 +329,8 @@ def stream_fresh_genders(spark, sf_dir):
 
     posts = _stream(spark, sf_dir, "author", files=4)
     _finish(live.land_fresh_genders(posts, known, f"{out}/genders", f"{out}/checkpoint"))
-    return landed_batches(spark, f"{out}/genders", LANDED_ANSWER)
+    numbers = {c: F.col(c).cast("string") for c in ("probability", "total_names")}  # nulls compare as texts
+    return landed_batches(spark, f"{out}/genders", LANDED_ANSWER).withColumns(numbers)
 
 
 def _torn_lines(spark: SparkSession, sf_dir: str, files: int) -> str:
