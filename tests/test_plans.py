@@ -11,7 +11,9 @@ from placewise.checks.reports import REPORTS
 from placewise.operators import joining
 
 SF = "/root/testdata/sf0.001"
-BATCH = [name for name in REPORTS if not name.startswith(("stream_", "landed_", "record_"))]
+# Reports about a run or a schema hand a few rows over from the driver; what they ran is not in their plan.
+TOLD = ("torn_lines_by_batch", "post_schema_drift")
+BATCH = [name for name in REPORTS if not name.startswith(("stream_", "landed_", "record_", *TOLD))]
 
 
 def plan(df, mode="formatted"):
