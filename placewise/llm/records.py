@@ -2,14 +2,16 @@
 
 A data file is a row of records, each of four parts, all little-endian: the length of the
 body (8 bytes), the masked CRC-32 of these 8 bytes (4), the body, and the masked CRC-32 of
-the body (4). A body is the document's id (8 bytes, the lowest integer for none) and its
-token ids, of 2 bytes each if the vocabulary allows it, else of 4. Beside each data file
-lies its index: for each record the byte at which it starts and the number of ids before
-it in the file, 8 bytes each. ``index.json`` names the files in order with their totals.
+the body (4). A body says whether the document has an id (1 byte), gives the id (8 bytes)
+and its token ids, of 2 bytes each if the vocabulary allows it, else of 4. Beside each data
+file lies its index: for each record the byte at which it starts and the number of ids
+before it in the file, 8 bytes each. ``index.json`` names the files in order with their
+totals.
 
 Files are written by Spark tasks under names of their own, and only ``index.json``, which
 is written when all tasks are done, makes them part of the data set: what a lost or
-repeated task leaves behind is never read.
+repeated task leaves behind is never read. A further write to the same path puts its files
+after those that are there.
 """
 
 from __future__ import annotations
@@ -18,11 +20,13 @@ import json
 import struct
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +36,19 @@ from pyspark.sql.types import StructType
 from placewise.llm.segments import SLICE_BYTES, Encoder
 from placewise.llm.texts import arrow_map, id_and_text, slices
 from placewise.llm.token_counts import binaries
+from placewise.session import work_folder
 
 FORMAT = "token_records"
 # Fixed value: what is added to a turned checksum, as record files commonly do it.
 MASK = 0xA282EAD8
-NO_ID = -(1 << 63)
+HEAD = struct.Struct("<?q")
 READ_BYTES = 8 << 20
-# Documents that one file holds, about.
-FILE_DOCUMENTS = 20_000
+# Bytes of text that a file holds at most, but for its last row, and what a row counts beside its text.
+FILE_BYTES, ROW_BYTES = 64 << 20, 64
+# From this many files on, files grow instead: the driver keeps a number for each.
+MOST_FILES = 100_000
+# Where files can lie; names that mean the same store are read as the second.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 
 
 def masked(data: bytes) -> int:
@@ -66,10 +75,26 @@ def unframed(read, name: str) -> Iterator[bytes]:
 
 
 def store(path: str):
-    """The file system of ``path`` and the path in it: local, HDFS, S3 or GCS."""
+    """The file system of ``path`` and the path in it. Raises ValueError for a store that isn't in SCHEMES."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+    scheme, colon, rest = path.partition(":")
+    if "/" in scheme or not colon:
+        return fs.FileSystem.from_uri(f"file://{path}")
+    if scheme not in SCHEMES:
+        raise ValueError(f"{path}: records can't be kept there, only under {', '.join(SCHEMES)}")
+    return fs.FileSystem.from_uri(f"{SCHEMES[scheme]}:{rest}")
+
+
+def index_of(path: str) -> dict | None:
+    """What ``index.json`` says; None where no write has ended."""
+    from pyarrow import fs
+
+    system, folder = store(path)
+    if system.get_file_info(f"{folder}/index.json").type == fs.FileType.NotFound:
+        return None
+    with system.open_input_stream(f"{folder}/index.json") as f:
+        return json.loads(f.read())
 
 
 @dataclass
@@ -81,10 +106,13 @@ class Written(WriterCommitMessage):
 
 
 class RecordWriter(DataSourceArrowWriter):
-    """Writes rows ``doc_id, ids`` in the order in which a task gets them."""
+    """Writes rows ``doc_id, ids`` in the order in which a task gets them, after what is there or instead of it."""
 
-    def __init__(self, path: str, width: int):
-        self.path, self.width = path, width
+    def __init__(self, path: str, width: int, overwrite: bool = False):
+        self.path, self.width, self.overwrite = path, width, overwrite
+        before = index_of(path)
+        if before and not overwrite and before["width"] != width:
+            raise ValueError(f"{path}: holds ids of {before['width']} bytes, not of {width}")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, folder = store(self.path)
@@ -95,7 +123,7 @@ class RecordWriter(DataSourceArrowWriter):
             for batch in iterator:
                 for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     ids = ids.as_py()
-                    frame = framed(struct.pack("<q", NO_ID if doc is None else doc) + ids)
+                    frame = framed(HEAD.pack(doc is not None, doc or 0) + ids)
                     out.write(frame)
                     index += (place, before)
                     place += len(frame)
@@ -105,7 +133,9 @@ class RecordWriter(DataSourceArrowWriter):
         return Written(part, name, len(index) // 2, before)
 
     def commit(self, messages: list[Written]) -> None:
-        files, start = [], 0
+        before = index_of(self.path)
+        files = before["files"] if before and not self.overwrite else []
+        start = files[-1]["start"] + files[-1]["ids"] if files else 0
         for m in sorted((m for m in messages if m and m.records), key=lambda m: m.part):
             files.append({"name": m.name, "records": m.records, "ids": m.ids, "start": start})
             start += m.ids
@@ -113,6 +143,9 @@ class RecordWriter(DataSourceArrowWriter):
         system.create_dir(folder, recursive=True)
         with system.open_output_stream(f"{folder}/index.json") as out:
             out.write(json.dumps({"width": self.width, "files": files}).encode())
+        for f in before["files"] if before and self.overwrite else ():
+            for kind in ("records", "index"):
+                system.delete_file(f"{folder}/{f['name']}.{kind}")
 
     def abort(self, messages: list[Written]) -> None:
         system, folder = store(self.path)
@@ -135,10 +168,9 @@ class RecordReader(DataSourceReader):
     """One task for each file. With ``seed`` files and the records in each come in a shuffled order."""
 
     def __init__(self, path: str, seed: int | None):
-        self.path, self.seed = path, seed
-        system, folder = store(path)
-        with system.open_input_stream(f"{folder}/index.json") as f:
-            self.index = json.loads(f.read())
+        self.path, self.seed, self.index = path, seed, index_of(path)
+        if self.index is None:
+            raise FileNotFoundError(f"{path}: no index.json")
 
     def partitions(self) -> list[InputPartition]:
         files = [File(f["name"], f["start"], self.seed) for f in self.index["files"]]
@@ -166,8 +198,8 @@ class RecordReader(DataSourceReader):
             return
         rows, size = [], 0
         for before, body in self._bodies(partition):
-            doc = struct.unpack("<q", body[:8])[0]
-            rows.append((None if doc == NO_ID else doc, partition.start + before, body[8:]))
+            there, doc = HEAD.unpack_from(body)
+            rows.append((doc if there else None, partition.start + before, body[HEAD.size:]))
             size += len(body)
             if size >= READ_BYTES:
                 yield self._batch(rows)
@@ -196,7 +228,55 @@ class TokenRecords(DataSource):
         return RecordReader(self.options["path"], int(self.options["seed"]) if "seed" in self.options else None)
 
     def writer(self, schema: StructType, overwrite: bool) -> RecordWriter:
-        return RecordWriter(self.options["path"], int(self.options["width"]))
+        return RecordWriter(self.options["path"], int(self.options["width"]), overwrite)
+
+
+def cuts(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """Where files end: how many cuts lie among rows without an id, and the ids at the others, ascending.
+
+    Bytes are added up by id first, so that a frequent id is one row. The ids are then
+    sorted in ranges, and each range gives an id whenever so many bytes have passed, and
+    its last one. An id of many bytes comes several times.
+    """
+    spark = docs.sparkSession
+    folder = work_folder(spark, "weights")
+    size = F.octet_length("text").cast("long") + ROW_BYTES
+    docs.groupBy("doc_id").agg(F.sum(size).alias("size")).write.parquet(folder)
+    weights = spark.read.schema("doc_id long, size long").parquet(folder)
+    total = weights.agg(F.sum("size")).first()[0] or 0
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    step = max(min(FILE_BYTES, total // ranges), total // MOST_FILES, 1)
+
+    def run(batches):
+        passed, last = 0, None
+        for batch in batches:
+            ends = passed + np.cumsum(batch.column("size").to_numpy())
+            cut = np.diff(ends // step, prepend=passed // step)
+            yield {"doc_id": batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(cut)), cut)))}
+            passed, last = int(ends[-1]), batch.column("doc_id")[-1:]
+        if last is not None:
+            yield {"doc_id": last}
+
+    found = arrow_map(weights.repartitionByRange(ranges, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id")),
+                      run, "doc_id long").toArrow().column(0)
+    return found.null_count, np.sort(found.drop_null().to_numpy())
+
+
+def places(ids: pa.Array, texts: pa.Array, nulls: int, bounds: np.ndarray, seen: Counter) -> np.ndarray:
+    """The file of each row.
+
+    An id at which files are cut may lie on both sides of a cut. Its rows are dealt out by a
+    hash of the text, and equal rows of a task in turn (``seen`` counts them), which gives
+    the same files in whatever order the rows come.
+    """
+    missing = ids.is_null().to_numpy(zero_copy_only=False)
+    own = ids.fill_null(0).to_numpy()
+    low, high = (np.where(missing, none, nulls + np.searchsorted(bounds, own, side)) for none, side in ((0, "left"), (nulls, "right")))
+    for row in np.flatnonzero(high > low).tolist():
+        key = (None if missing[row] else int(own[row]), xxhash.xxh3_64_intdigest(texts[row].as_py()))
+        low[row] += (key[1] + seen[key]) % int(high[row] - low[row] + 1)
+        seen[key] += 1
+    return low
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
@@ -204,29 +284,28 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -
 
     A null text is an empty one and gives the end alone. Null ids come first; rows that
     repeat an id are all written, next to each other. Other columns are not read. An empty
-    table gives an index without files. The bounds of the files follow from the ids alone,
-    so texts are encoded once, and only the ids of tokens are shuffled.
+    table gives an index without files. A second write to ``path`` is put after the first,
+    by itself in order. Where files end follows from ids and lengths alone, so texts are
+    encoded once, and only the ids of tokens are shuffled. A text of any length is one
+    record; the longest one that Arrow takes has 2 GB.
     """
+    store(path)
     spark = docs.sparkSession
     spark.dataSource.register(TokenRecords)
-    count = docs.count()
-    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // FILE_DOCUMENTS))
-    bounds = np.array(docs.select(F.col("doc_id").cast("long")).approxQuantile(
-        "doc_id", [i / files for i in range(1, files)], 0.1 / files) if count else [], np.float64).astype(np.int64)
+    docs = id_and_text(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    nulls, bounds = cuts(docs)
     width = 2 if Encoder.of(tokenizer).cache.typecode == "H" else 4
 
     def run(batches):
-        encoder = Encoder.of(tokenizer)
+        encoder, seen = Encoder.of(tokenizer), Counter()
         for batch, texts in slices(batches, SLICE_BYTES):
             ids, starts = encoder.encode(texts)
-            places = starts[1:]
-            ids = np.insert(ids, places, end_id).astype(f"<u{width}")
+            ids = np.insert(ids, starts[1:], end_id).astype(f"<u{width}")
             docs_of = batch.column("doc_id")
-            part = np.searchsorted(bounds, docs_of.fill_null(NO_ID).to_numpy(), "right")
-            yield {"doc_id": docs_of, "part": part, "ids": binaries(ids, starts + np.arange(len(starts)))}
+            yield {"doc_id": docs_of, "part": places(docs_of, texts, nulls, bounds, seen), "ids": binaries(ids, starts + np.arange(len(starts)))}
 
-    coded = arrow_map(id_and_text(docs), run, "doc_id long, part int, ids binary")
-    (coded.repartitionById(files, F.col("part")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
+    coded = arrow_map(docs, run, "doc_id long, part int, ids binary")
+    (coded.repartitionById(nulls + len(bounds) + 1, F.col("part")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
      .select("doc_id", "ids").write.format(FORMAT).option("width", width).mode("append").save(path))
 
 
