@@ -65,6 +65,8 @@ class Ensemble:
 
     base: float
     rules: tuple[tuple[Rule, float], ...] = ()
+    #: documents that it was learnt from
+    learnt_from: int = 0
 
     def score(self) -> Column:
         """Over the columns of :func:`statistics`."""
@@ -112,35 +114,32 @@ def learnt(labelled: DataFrame) -> Ensemble:
     counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     good, all_ = counts.get(1, 0), counts.get(1, 0) + counts.get(0, 0)
     if good in (0, all_):
-        return Ensemble(math.log((good + 1) / (all_ - good + 1)))
+        return Ensemble(math.log((good + 1) / (all_ - good + 1)), (), all_)
     labelled = labelled.withColumn("label", F.col("label").cast("double"))
     forest = RandomForestClassifier(featuresCol="all", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
                                     featureSubsetStrategy="onethird", minInstancesPerNode=5)
     model = forest.fit(VectorAssembler(inputCols=names, outputCol="all").transform(labelled))
     rules = sorted({rule for tree in model.trees for rule in paths(tree.toDebugString, names)}, key=str)
     if not rules:
-        return Ensemble(math.log((good + 1) / (all_ - good + 1)))
+        return Ensemble(math.log((good + 1) / (all_ - good + 1)), (), all_)
     held = labelled.select("label", F.array(*(holds(r).cast("double") for r in rules)).alias("held"))
     from pyspark.ml.functions import array_to_vector
 
     lasso = LogisticRegression(featuresCol="held", labelCol="label", elasticNetParam=1.0, regParam=PENALTY, maxIter=ROUNDS, standardization=False)
     fitted = lasso.fit(held.select("label", array_to_vector("held").alias("held")))
     weights = fitted.coefficients.toArray()
-    return Ensemble(float(fitted.intercept), tuple((rules[i], float(weights[i])) for i in np.flatnonzero(weights)))
+    return Ensemble(float(fitted.intercept), tuple((rules[i], float(weights[i])) for i in np.flatnonzero(weights)), all_)
 
 
 def trained(docs: DataFrame, labels: DataFrame, held_out: Column | None = None) -> tuple[Ensemble, DataFrame]:
-    """The ensemble for ``docs`` and the table of ``doc_id`` and counts that it was learnt from.
+    """The ensemble for ``docs``, and ``doc_id`` with the counts of all documents, which are yet to be worked out.
 
     ``labels`` has ``doc_id, quality``. Labels of ids that ``held_out`` holds for are not
     used, nor null ones; an id with several labels counts with the smallest. Ids and other
-    columns of ``docs`` choose what is learnt from and are no inputs of the score.
+    columns of ``docs`` choose what is learnt from and are no inputs of the score. Labelled
+    documents are chosen before they are measured, others only when they are scored.
     """
-    spark = docs.sparkSession
-    path = work_folder(spark, "measures")
-    rows = measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
-    rows.write.parquet(path)
-    rows = spark.read.schema(rows.schema).parquet(path)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     known = labels.where("quality IN (0, 1)")
     if held_out is not None:
         known = known.where(~F.coalesce(held_out, F.lit(False)))
@@ -148,11 +147,13 @@ def trained(docs: DataFrame, labels: DataFrame, held_out: Column | None = None)
     # twice as many as are needed by hash, of which the first are taken: few rows for the one task that sorts them
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     part = min(1.0, 2 * TRAIN_ROWS / max(1, known.count()))
-    chosen = (rows.join(known.where(place < int(part * (1 << 40))), "doc_id")
-              .orderBy(place, "doc_id", *MEASURES).limit(TRAIN_ROWS))
-    sample = f"{path}-labelled"
+    few = known.where(place < int(part * (1 << 40)))
+    if few.count() <= 4 * TRAIN_ROWS:  # 16 bytes each
+        few = F.broadcast(few)
+    chosen = measured(texts.join(few, "doc_id")).orderBy(place, "doc_id", *MEASURES).limit(TRAIN_ROWS)
+    sample = work_folder(docs.sparkSession, "labelled")
     chosen.select("label", *(c.alias(n) for n, c in statistics().items())).write.parquet(sample)
-    return learnt(spark.read.parquet(sample)), rows
+    return learnt(docs.sparkSession.read.parquet(sample)), measured(texts)
 
 
 def scored(counts: DataFrame, ensemble: Ensemble) -> DataFrame:
@@ -164,10 +165,11 @@ def scored(counts: DataFrame, ensemble: Ensemble) -> DataFrame:
 def good(docs: DataFrame, labels: DataFrame, least: float, held_out: Column | None = None) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score ``least`` or more. Repeated rows are scored each.
 
-    Labels of one kind alone tell nothing; then all rows stay.
+    Where labels are of one kind, or no rule has a weight, the base decides alone and for all
+    rows. Without any labelled document nothing can be said against a row, and all stay.
     """
     ensemble, _ = trained(docs, labels, held_out)
-    if not ensemble.rules:
+    if not ensemble.learnt_from:
         return docs
     rows = docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     return scored(measured(rows), ensemble).where(F.col("score") >= least).select("row.*")

@@ -85,6 +85,30 @@ def test_without_labels_or_documents_there_is_a_score(graded, none, traps):
     assert rows(rule_ensemble.scored(counts, ensemble)) == []
 
 
+def test_the_base_decides_where_no_rule_does(graded, monkeypatch):
+    docs, labels = graded
+    share = lambda known: rule_ensemble.good(docs, known, 0.7).count() / docs.count()
+    assert share(labels.limit(0)) == 1 and share(labels.where("quality = 1")) == 1 and share(labels.where("quality = 0")) == 0
+    monkeypatch.setattr(rule_ensemble, "PENALTY", 1e9)
+    ensemble, counts = rule_ensemble.trained(docs, labels)
+    assert not ensemble.rules and ensemble.learnt_from == 120
+    scores = {r["score"] for r in rule_ensemble.scored(counts, ensemble).collect()}
+    assert len(scores) == 1 and min(scores) == pytest.approx(2 / 3, abs=1e-3) and share(labels) == 0
+
+
+def test_compiled_rules_score_as_plain_python(graded, traps):
+    docs, labels = graded
+    ensemble, _ = rule_ensemble.trained(docs, labels)
+    counts = rule_ensemble.measured(traps.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    names = list(rule_ensemble.statistics())
+    found = rule_ensemble.scored(counts, ensemble).select("score", *(c.alias(n) for n, c in rule_ensemble.statistics().items())).collect()
+    assert len(found) == len(TRAPS) and len({r["score"] for r in found}) > 1
+    for r in found:
+        own = {n: r[n] for n in names}
+        odds = ensemble.base + sum(w for rule, w in ensemble.rules if all((own[c.statistic] > c.limit) == c.above for c in rule))
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-12)
+
+
 # ---- substring deduplication ----
 
 def _digest(docs):

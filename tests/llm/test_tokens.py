@@ -1,5 +1,6 @@
 """Token counts, record files and packing against the tokenizers library; tool calls; the pipeline."""
 
+import json
 import random
 import struct
 import zlib
@@ -108,6 +109,78 @@ def test_a_damaged_record_is_not_read():
         read(whole[:-3])
 
 
+EXTREMES = [*range(50), *range(2**63 - 50, 2**63), *range(-(2**63), -(2**63) + 50), 1 << 62, -(1 << 62), None, None]
+
+
+def _library_records(docs, library):
+    """``doc_id, start, n_tokens`` by ascending id, nulls first; rows of one id are alike here."""
+    docs = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))
+    sizes = [len(i) + 1 for i in _ids(library, [t for _, t in docs])]
+    return [(doc, int(start), size) for (doc, _), start, size in zip(docs, np.append(0, np.cumsum(sizes)[:-1]), sizes, strict=True)]
+
+
+def _read_back(spark, out):
+    return [tuple(r[:3]) for r in records.digests(records.read_records(spark, out)).orderBy("start").collect()]
+
+
+@pytest.mark.parametrize("least", [1, 20])
+def test_records_of_extreme_ids_are_in_order(spark, library, monkeypatch, least):
+    monkeypatch.setattr(records, "FILE_BYTES", least * 64)
+    docs = [(doc, f"text of {doc}") for doc in EXTREMES]
+    out = work_folder(spark, "records")
+    records.write_records(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), out, BPE)
+    assert _read_back(spark, out) == _library_records(docs, library)
+    assert len(records.index_of(out)["files"]) >= min(8, 150 // least)
+
+
+@pytest.mark.parametrize("doc", [None, 7, 2**63 - 1])
+def test_the_rows_of_a_hot_id_lie_in_many_files(spark, library, monkeypatch, doc):
+    monkeypatch.setattr(records, "FILE_BYTES", 700)
+    docs = [(doc, "the same text")] * 200 + [(i, "the same text") for i in range(-20, 20)]
+    out = work_folder(spark, "records")
+    records.write_records(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), out, BPE)
+    assert _read_back(spark, out) == _library_records(docs, library)
+    assert max(f["records"] for f in records.index_of(out)["files"]) < 60
+
+
+def test_equal_rows_are_dealt_out_alike_in_any_order():
+    ids, texts, bounds = pa.array([5, 5, 5, 9, None, 5, 5, None]), pa.array([b"a", b"b", b"a", b"c", b"d", b"a", b"b", b"d"]), np.array([5, 5, 9])
+    first = records.places(ids, texts, 1, bounds, records.Counter())
+    order = pa.array([7, 3, 6, 5, 0, 4, 2, 1])
+    again = records.places(ids.take(order), texts.take(order), 1, bounds, records.Counter())
+    files = lambda found, i, t: sorted(zip(i.to_pylist(), t.to_pylist(), found.tolist(), strict=True), key=repr)
+    assert files(first, ids, texts) == files(again, ids.take(order), texts.take(order))
+
+
+def test_a_second_write_follows_the_first_and_an_overwrite_replaces_both(spark, library):
+    out = work_folder(spark, "records")
+    make = lambda *ids: spark.createDataFrame([(i, f"number {i}") for i in ids], "doc_id long, text string")
+    records.write_records(make(1, 2), out, BPE)
+    records.write_records(make(3, 0), out, BPE)
+    found = _read_back(spark, out)
+    assert [r[0] for r in found] == [1, 2, 0, 3]
+    assert [r[1] for r in found] == np.append(0, np.cumsum([r[2] for r in found])[:-1]).tolist()
+    old = {f["name"] for f in records.index_of(out)["files"]}
+    with pytest.raises(Exception, match="holds ids of 2 bytes, not of 4"):
+        spark.createDataFrame([(9, b"abcd")], "doc_id long, ids binary").write.format(records.FORMAT).option("width", 4).mode("append").save(out)
+    spark.createDataFrame([(9, b"ab")], "doc_id long, ids binary").write.format(records.FORMAT).option("width", 2).mode("overwrite").save(out)
+    assert _read_back(spark, out) == [(9, 0, 1)]
+    assert not old & {f["name"] for f in records.index_of(out)["files"]}
+
+
+def test_stores_that_records_cannot_use_are_refused_before_the_job(none):
+    for path in ("dbfs:/records", "ftp://host/records"):
+        with pytest.raises(ValueError, match="can't be kept there"):
+            records.write_records(none, path, BPE)
+
+
+def test_texts_beyond_a_slice_are_encoded_whole(spark, library):
+    docs = [(1, "some words of a long text, " * 100_000), (2, "x" * 3_000_000), (3, "short"), (4, "line\n" * 500_000)]
+    out = work_folder(spark, "records")
+    records.write_records(spark.createDataFrame(docs, "doc_id long, text string"), out, BPE)
+    assert _read_back(spark, out) == _library_records(docs, library)
+
+
 def test_records_of_empty_and_null_tables(spark, none, all_null):
     for docs, n in ((none, 0), (all_null, 3)):
         out = work_folder(spark, "records")
@@ -202,6 +275,40 @@ def test_calls_meet_their_results_in_an_order_that_can_run(spark):
     assert tool_calls.linked(calls, results.limit(0), schemas.limit(0)).where("fault = 'unknown tool'").count() == 7
 
 
+DEEP = "[" * 100_000
+ODD = {
+    "half": ('{"x":"\\ud800"}', "arguments are no Unicode text"), "half name": ('{"\\udc00":1}', "arguments are no Unicode text"),
+    "pair": ('{"x":1,"y":"\\ud83d\\ude00"}', None), "deep": (DEEP, "arguments are nested too deeply"),
+    "closed": (f'{{"x":{DEEP}{"]" * 100_000}}}', "arguments are nested too deeply"), "quoted": (json.dumps({"x": 1, "y": DEEP}), None),
+    "cut quote": ('{"x":1,"y":"' + DEEP, "arguments are no JSON"), "huge": ('{"x":1e999}', "arguments are no JSON"), "many digits": ('{"x":' + "9" * 9999 + "}", "arguments are no JSON"),
+    "whole": ('{"x":1.0,"y":"a"}', None), "part": ('{"x":1.5,"y":"a"}', "argument x is no integer"), "either": ('{"x":2,"y":null}', None),
+    "neither": ('{"x":2,"y":3}', "argument y is no null or string"), "missing": ('{"x":2}', "missing argument y"), "empty": ("", "arguments are no JSON"),
+    "twice": ('{"x":"no","x":3,"y":"a"}', None)}
+
+
+def test_no_arguments_and_no_schema_stop_the_job(spark):
+    calls = [(1, name, None, "tool", text) for name, (text, _) in ODD.items()]
+    calls += [(1, f"of {tool}", None, tool, "{}") for tool in ("nameless", "odd", "untyped", None)]
+    calls = spark.createDataFrame(calls, "conversation long, call_id string, after string, tool string, arguments string")
+    schemas = spark.createDataFrame([("tool", "x", "integer", True), ("tool", "y", "string", True), ("tool", "y", "null", None), ("nameless", None, "string", False),
+                                     ("odd", "x", "money", False), ("untyped", "x", None, None), (None, "x", "string", True)],
+                                    "tool string, name string, type string, required boolean")
+    results = spark.createDataFrame([], "call_id string, content string")
+    found = {r["call_id"]: r for r in tool_calls.linked(calls, results, schemas).collect()}
+    assert {k: r["fault"] for k, r in found.items()} == {k: f for k, (_, f) in ODD.items()} | {
+        "of nameless": "schema has an argument without a name", "of odd": "schema has no known type for x",
+        "of untyped": "schema has no known type for x", "of None": "unknown tool"}
+    assert found["whole"]["json"] == '{"arguments":{"x":1,"y":"a"},"call_id":"whole","result":null,"tool":"tool"}'
+    assert json.loads(found["half"]["json"])["arguments"] is None and json.loads(found["quoted"]["json"])["arguments"]["y"] == DEEP
+
+
+def test_equal_values_have_one_canonical_text():
+    for same in (("1", "1.0", "1e0", "10e-1"), ("0", "-0.0", "0e5"), ('{"a":1,"b":[2.0]}', '{ "b":[2], "a":1.0 }'), ('"\\u0061"', '"a"')):
+        assert len({tool_calls.canonical(json.loads(t)) for t in same}) == 1
+    assert tool_calls.canonical(json.loads("9007199254740993")) == "9007199254740993"
+    assert tool_calls.canonical(True) == "true" != tool_calls.canonical(1)
+
+
 def test_a_long_chain_of_calls(spark):
     calls = spark.createDataFrame([(f"{i}", f"{i - 1}") for i in range(40)], "call_id string, after string")
     assert dict(tool_calls.depths(calls).collect()) == {f"{i}": i for i in range(40)}
