@@ -34,8 +34,6 @@ PERCENT = 80
 COUNTER_BITS = 22
 # Columns and rows that a task holds before it sends what it has.
 HELD = 1_000_000
-# Stands for the documents of a column that a task found to be frequent.
-MARK = np.uint64((1 << 64) - 1)
 # Bits (a power of two) of the filter of documents that are compared, which is broadcast: 8 MB.
 WANTED_BITS = 26
 # Documents up to which a column gives pairs; beyond, documents are tied along it.
@@ -142,11 +140,11 @@ def _groups(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first, counts), np.repeat(counts, counts)
 
 
-_SENT = "block int, columns binary, docs binary, frequent boolean"
+_SENT = "block int, columns binary, docs binary, marks binary, frequent boolean"
 
 
 def _prefixes(counters):
-    """Postings of the prefixes by block. A column that is frequent in the task alone is sent apart, and marked in its block."""
+    """Postings of the prefixes by block. A column that is frequent in the task alone is sent apart, and named among the marks of its block."""
     def run(batches):
         frequency = packed.opened(counters)
         held, number = [], 0
@@ -165,13 +163,14 @@ def _prefixes(counters):
             columns, docs = columns[order], docs[order]
             begin, counts = _groups(columns)
             frequent = counts > PAIR_DOCUMENTS
-            marks = frequent & (begin == np.arange(len(columns)))
-            for apart, kept in ((True, frequent), (False, ~frequent | marks)):
-                own_columns, own_docs = columns[kept], np.where(frequent & (not apart), MARK, docs)[kept]
-                bounds = packed.block_bounds(own_columns)
-                full = np.flatnonzero(np.diff(bounds)).tolist()
+            marked = columns[frequent & (begin == np.arange(len(columns)))]
+            for apart, kept, marks in ((True, frequent, marked[:0]), (False, ~frequent, marked)):
+                own_columns, own_docs = columns[kept], docs[kept]
+                bounds, ends = packed.block_bounds(own_columns), packed.block_bounds(marks)
+                full = np.flatnonzero(np.diff(bounds) + np.diff(ends)).tolist()
                 yield {"block": np.array(full, np.int32), "columns": [packed.pack_sorted(own_columns[bounds[x]:bounds[x + 1]]) for x in full],
-                       "docs": [packed.pack(own_docs[bounds[x]:bounds[x + 1]]) for x in full], "frequent": [apart] * len(full)}
+                       "docs": [packed.pack(own_docs[bounds[x]:bounds[x + 1]]) for x in full],
+                       "marks": [packed.pack_sorted(marks[ends[x]:ends[x + 1]]) for x in full], "frequent": [apart] * len(full)}
 
         for batch, texts in slices(batches):
             values, bounds = shingle_sets(texts)
@@ -241,15 +240,15 @@ def _multiplied_columns(batches):
         return sum(len(x[0]) for x in (*pairs, *often)) > HELD
 
     def ready(parts):
-        columns, docs = (np.concatenate(x) for x in zip(*parts, strict=True))
+        columns, docs, marks = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if not len(columns):
+            return
         order = np.lexsort((docs, columns))
         columns, docs = columns[order], docs[order]
-        begin, counts = _groups(columns)
-        # a mark is the largest number, so it comes last in its group
-        many = (counts > PAIR_DOCUMENTS) | (docs[begin + counts - 1] == MARK)
-        own = many & (docs != MARK)
-        if own.any():
-            often.append((columns[own], docs[own]))
+        _, counts = _groups(columns)
+        many = (counts > PAIR_DOCUMENTS) | np.isin(columns, marks)
+        if many.any():
+            often.append((columns[many], docs[many]))
         columns, docs = columns[~many], docs[~many]
         for step in range(1, PAIR_DOCUMENTS):
             same = np.flatnonzero((columns[step:] == columns[:-step]) & (docs[step:] != docs[:-step]))
@@ -258,7 +257,7 @@ def _multiplied_columns(batches):
 
     current, parts = None, []
     for batch in batches:
-        for block, columns, docs, apart in zip(*(batch.column(c).to_pylist() for c in ("block", "columns", "docs", "frequent")), strict=True):
+        for block, columns, docs, marks, apart in zip(*(batch.column(c).to_pylist() for c in ("block", "columns", "docs", "marks", "frequent")), strict=True):
             if apart:
                 often.append((packed.unpack_sorted(columns), packed.unpack(docs)))
             elif block != current and parts:
@@ -269,7 +268,7 @@ def _multiplied_columns(batches):
             if apart:
                 continue
             current = block
-            parts.append((packed.unpack_sorted(columns), packed.unpack(docs)))
+            parts.append((packed.unpack_sorted(columns), packed.unpack(docs), packed.unpack_sorted(marks)))
     if parts:
         ready(parts)
     yield from sent()
@@ -420,8 +419,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shingles of both; the component is the smallest id that links reach. A text with fewer
     words than a shingle is one shingle; one without words has none and links with none.
     Rows with equal ids are one document as to links. A row without an id links with none,
-    and its component is null. The largest long is no id here: it marks columns. Other
-    columns are not read.
+    and its component is null. Other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

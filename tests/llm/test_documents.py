@@ -191,6 +191,18 @@ def test_small_blocks_and_tasks_change_nothing(traps, monkeypatch):
     assert rows(jaccard.near_duplicates(traps)) == expected(brute.op7(TRAPS))
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_every_long_is_an_id(spark, monkeypatch, small):
+    if small:
+        for name, value in (("HELD", 100), ("BLOCK_ROWS", 2), ("PAIR_DOCUMENTS", 2), ("arrow_map", in_process)):
+            monkeypatch.setattr(jaccard, name, value)
+    ids = [2**63 - 1, 2**63 - 2, -(2**63), -1, 0, 1]
+    words = passages(9, 30)[4].split(" ") * 4
+    docs = [(doc, " ".join([*words[:100], f"own{place}"])) for place, doc in enumerate(ids)]
+    docs += [(2**63 - 3 - i, passages(11, 20)[i]) for i in range(20)]
+    assert rows(jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))) == expected(brute.op7(docs))
+
+
 def test_overlaps_in_stripes(monkeypatch):
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 90, n).astype(np.uint64)) for n in (0, 1, 30, 60, 60, 80)]
