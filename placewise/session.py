@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,13 +31,22 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def on_one_machine(path: str) -> bool:
+    return path.startswith(("file:", "/")) or ":" not in path
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh path for tables and stream checkpoints, on storage all executors see.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``; where it is unset, as
-    in tests, the warehouse folder serves. The path is removed when the session ends.
+    The cluster names the shared folder in ``spark.checkpoint.dir``. Where it is unset, the
+    warehouse folder serves if the master is local, as in tests, or if the warehouse is no
+    folder of one machine; else this raises ValueError. The path is removed when the session ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if on_one_machine(base) and not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share: {base} is a folder of one machine")
     folder = f"{base.rstrip('/')}/placewise/{name}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
