@@ -20,8 +20,10 @@ from placewise.session import work_folder
 WINDOW, SHINGLE = 10, 3
 # Bits (a power of two) of the filter of needed shingles, which is broadcast: 2 MB, however many items there are.
 FILTER_BITS = 24
-# Rows up to which Spark is told to broadcast the needed shingles (about 100 bytes each); beyond, it joins by shuffles.
-BROADCAST_ROWS = 50_000
+# Bytes of windows up to which Spark is told to broadcast the needed shingles; beyond, it joins by shuffles.
+BROADCAST_BYTES = 16 << 20
+# Bytes of words, about, that a task turns into rows of hits at once.
+HIT_BYTES = 1 << 20
 
 
 def words_of(text: Column | str) -> Column:
@@ -74,21 +76,28 @@ def _counted(filters):
 
 
 def _searched(filters):
-    """A row for each document with its words, and for each needed shingle found its place and the words around."""
+    """A row without a key for each document, and one for each needed shingle found: its place and the words around."""
     def run(batches):
         for batch, texts in slices(batches):
             words = Words(texts, SIGNS, LOWER)
             hashes = words.hashes(1)
             owners = words.owners()
-            rows: list[list] = [[] for _ in range(batch.num_rows)]
+            none = [None] * batch.num_rows
+            yield {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "n_words": words.counts,
+                   "key": none, "place": none, "begin": none, "around": none}
             for length, bits in filters.value.items():
                 starts, keys = _found(words, hashes, length, bits)
-                for start, key in zip(starts.tolist(), keys.tolist(), strict=True):
-                    row = owners[start]
-                    first, last = words.first[row], words.first[row + 1]
-                    begin, end = max(first, start - WINDOW + 1), min(last, start + WINDOW)
-                    rows[row].append({"key": key, "place": start - first, "begin": begin - first, "around": words.between(begin, end)})
-            yield {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "n_words": words.counts, "found": rows}
+                first, last = words.first[owners[starts]], words.first[owners[starts] + 1]
+                begin, end = np.maximum(first, starts - WINDOW + 1), np.minimum(last, starts + WINDOW)
+                ends = np.cumsum(words.bytes_between(begin, end) + WINDOW)
+                a = 0
+                while a < len(starts):
+                    b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + HIT_BYTES, "right")))
+                    own = pa.array(owners[starts[a:b]])
+                    yield {"row": batch.column("row").take(own), "doc_id": batch.column("doc_id").take(own), "n_words": words.counts[own.to_numpy()],
+                           "key": keys[a:b], "place": (starts - first)[a:b], "begin": (begin - first)[a:b],
+                           "around": [words.between(x, y) for x, y in zip(begin[a:b].tolist(), end[a:b].tolist(), strict=True)]}
+                    a = b
     return run
 
 
@@ -124,7 +133,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     ``row`` is ``xxhash64(doc_id, text)``, a null text being empty. ``items`` has ``item_id, text``; ids are given as sorted strings. A text that is null or
     without words has none and is not hit, an item without words hits nothing, and items
     with one text are all given. Rows with equal ids are searched each by itself. Other
-    columns are not read.
+    columns are not read. A text of any length is one of many rows of hits: a task holds
+    its words and HIT_BYTES of hits.
     """
     spark = docs.sparkSession
     folder = work_folder(spark, "contamination")
@@ -134,26 +144,28 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     needed = spark.read.schema("window string, item_id string, place int, key long, length int").parquet(f"{folder}/needed")
     filters = spark.sparkContext.broadcast(_filters(needed.select("length", "key")))
     rows = rows.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
-    kind = "row long, doc_id long, n_words long, found array<struct<key: long, place: int, begin: int, around: array<string>>>"
+    kind = "row long, doc_id long, n_words long, key long, place int, begin int, around array<string>"
     arrow_map(rows, _searched(filters), kind).write.parquet(f"{folder}/found")
-    found = spark.read.schema(kind).parquet(f"{folder}/found")
+    # a row is told by its hash and its id
+    found = spark.read.schema(kind).parquet(f"{folder}/found").withColumn("id", F.coalesce("doc_id", F.lit(0)))
 
     windows = needed.select("key", F.col("place").alias("offset"), F.split("window", " ").alias("window"), "window", "item_id").toDF(
         "key", "offset", "words", "window", "item_id")
     distinct = windows.select("key", "offset", "words", "window").distinct()
-    if needed.count() <= BROADCAST_ROWS:
+    size = needed.agg(F.sum(2 * F.length(F.encode("window", "utf-8")) + F.coalesce(F.length("item_id"), F.lit(0)) + 100)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
         windows, distinct = F.broadcast(windows.select("window", "item_id")), F.broadcast(distinct)
-    matches = found.select("row", "n_words", F.explode("found").alias("f")).select("row", "n_words", "f.*").join(distinct, "key")
+    matches = found.where("key IS NOT NULL").drop("doc_id").join(distinct, "key")
     start, length = F.col("place") - F.col("offset"), F.size("words")
     matches = (matches.where((start >= F.col("begin")) & (start + length <= F.col("n_words")))
                .where(F.slice("around", start - F.col("begin") + 1, length) == F.col("words"))
-               .select("row", start.alias("start"), (start + length).alias("end"), "window").distinct())
-    before = F.max("end").over(Window.partitionBy("row").orderBy("start", "end", "window").rowsBetween(Window.unboundedPreceding, -1))
+               .select("row", "id", start.alias("start"), (start + length).alias("end"), "window").distinct())
+    before = F.max("end").over(Window.partitionBy("row", "id").orderBy("start", "end", "window").rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce(before, F.lit(0))))
-    hits = matches.withColumn("fresh", fresh).groupBy("row").agg(F.sum("fresh").alias("n_hit"))
-    of = (matches.select("row", "window").distinct().join(windows, "window").groupBy("row")
+    hits = matches.withColumn("fresh", fresh).groupBy("row", "id").agg(F.sum("fresh").alias("n_hit"))
+    of = (matches.select("row", "id", "window").distinct().join(windows, "window").groupBy("row", "id")
           .agg(F.array_sort(F.collect_set("item_id")).alias("items")))
-    return (found.select("row", "doc_id", "n_words").join(hits.join(of, "row"), "row", "left")
+    return (found.where("key IS NULL").select("row", "id", "doc_id", "n_words").join(hits.join(of, ["row", "id"]), ["row", "id"], "left")
             .select("row", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 

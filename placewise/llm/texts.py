@@ -98,6 +98,10 @@ class Words:
         """The words from one number to another, the end not included."""
         return [self._data[self._ends[i]:self._ends[i + 1]].tobytes().decode() for i in range(begin, end)]
 
+    def bytes_between(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Bytes of the words from one number to another, for many such runs."""
+        return (self._ends[end] - self._ends[begin]).astype(np.int64)
+
     def hashes(self, lanes: int = 2) -> np.ndarray:
         """One or two 64-bit hashes of each word: sums of its bytes by random factors for each place."""
         count = len(self.starts)
