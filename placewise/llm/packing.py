@@ -1,7 +1,8 @@
 """Packs documents into sequences of equal length, next to documents that share their words.
 
 Documents are dealt to shards by their most telling token, the one with the highest tf-idf
-over all documents, and a shard that would grow too large is split by hash. Each shard has
+over all documents, and a shard that would grow too large in tokens or rows is split by a hash of id,
+rest and place in the written table, so that equal rows are dealt out too. Each shard has
 an inverted index over token ids. A seed, the first document not used, asks it with its
 most telling tokens; BM25 ranks the unused documents, and the best fill the window one by
 one. The last one is cut where the window ends, and its rest is the next seed. So only the
@@ -27,6 +28,8 @@ from placewise.session import work_folder
 # Tokens of a sequence, and of the rests in a shard, about.
 WINDOW = 2048
 SHARD_TOKENS = 1 << 20
+# What a rest counts for beside its tokens, so that a shard of empty texts has an end as well.
+ROW_TOKENS = 16
 # BM25: saturation of term counts and weight of the length; tokens of the seed that ask.
 K1, B = 1.2, 0.75
 QUERY_TOKENS = 32
@@ -68,9 +71,9 @@ def _frequencies(kind: str, size: int):
 
 
 def _measured(kind: str, weights):
-    """For each document the checksums of its whole windows, its rest, and the rest's most telling token."""
+    """For each document the checksums of its whole windows, its rest, the rest's most telling token, and its place in the task."""
     def run(batches):
-        weight = weights.value
+        weight, number = weights.value, 0
         for batch in batches:
             ids_of, starts = [np.frombuffer(x, kind) for x in batch.column("ids").to_pylist()], batch.column("doc_id")
             windows, rests, signs = [], [], []
@@ -80,7 +83,9 @@ def _measured(kind: str, weights):
                 rests.append(ids[whole:].tobytes())
                 token, n = np.unique(ids[whole:], return_counts=True)
                 signs.append(int(token[np.argmax(n * weight[token])]) if len(token) else 0)
-            yield {"doc_id": starts, "tokens": list(map(len, ids_of)), "windows": windows, "rest": rests, "sign": signs}
+            yield {"doc_id": starts, "tokens": list(map(len, ids_of)), "windows": windows, "rest": rests, "sign": signs,
+                   "place": np.arange(number, number + batch.num_rows)}
+            number += batch.num_rows
     return run
 
 
@@ -211,12 +216,12 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     frequency = np.zeros(size, np.int64)
     frequency[list(counts)] = list(counts.values())
     weights = spark.sparkContext.broadcast(idf(frequency, documents))
-    rows = arrow_map(ids, _measured(kind, weights), "doc_id long, tokens long, windows array<long>, rest binary, sign int")
-    tokens = (F.sum(F.length("rest")) / int(kind[2])).cast("long").alias("n")
+    rows = arrow_map(ids, _measured(kind, weights), "doc_id long, tokens long, windows array<long>, rest binary, sign int, place long")
+    tokens = (F.sum(F.length("rest")) / int(kind[2]) + F.count("*") * ROW_TOKENS).cast("long").alias("n")
     signs = {r["sign"]: r["n"] for r in rows.groupBy("sign").agg(tokens).collect()}
     places = shards(signs)
     table = spark.createDataFrame([(s, first, parts) for s, (first, parts) in places.items()], "sign int, first long, parts long")
     dealt = rows.join(F.broadcast(table), "sign").withColumn(
-        "shard", F.col("first") + F.pmod(F.xxhash64("doc_id", "rest"), F.col("parts")))
+        "shard", F.col("first") + F.pmod(F.xxhash64("doc_id", "rest", "place"), F.col("parts")))
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return dealt.select("shard", "doc_id", "tokens", "windows", "rest").groupBy("shard").applyInArrow(_packed(kind, weights), kinds)
