@@ -57,10 +57,17 @@ def block_bounds(hashes: np.ndarray, bits: int = 64) -> np.ndarray:
     return np.append(np.searchsorted(hashes, firsts), len(hashes))
 
 
-def by_block(df: DataFrame) -> DataFrame:
+def finer_bounds(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """The blocks, of a power of two in all, that ascending 64-bit hashes lie in, and where each begins (one more: the end)."""
+    of = hashes >> np.uint64(65 - blocks.bit_length())
+    begins = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.zeros(0, np.int64)
+    return of[begins].astype(np.int32), np.append(begins, len(of))
+
+
+def by_block(df: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """Rows of a block to one task, a few blocks for each, in the order of ``block``."""
-    parts = min(BLOCKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartitionById(parts, F.floor(F.col("block") * parts / BLOCKS).cast("int")).sortWithinPartitions("block")
+    parts = min(blocks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartitionById(parts, F.floor(F.col("block").cast("long") * parts / blocks).cast("int")).sortWithinPartitions("block")
 
 
 def blocks(batches):

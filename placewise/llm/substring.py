@@ -10,7 +10,9 @@
 3. The windows to remove go back to the documents that hold them.
 
 The sizes of sketch and filter do not depend on the data. Over many more windows than
-cells the filter lets more windows pass; the result is the same.
+cells the filter lets more windows pass; the result is the same. The blocks of the exact
+step grow in number with the words: beyond BLOCK_WINDOWS in each they are cut once more, in
+a shuffle of their own, as a task could not send to so many at once.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ CELL_BITS = 32
 FILTER_BITS = 28
 # Windows that a task holds before it sends what it has.
 HELD_WINDOWS = 1_000_000
+# Windows of a block that is grouped exactly, at most on average: a block is held by one task.
+BLOCK_WINDOWS = 1 << 21
 # Words in a group of documents that is rewritten together, about.
 GROUP_WORDS = 1_000_000
 
@@ -149,14 +153,19 @@ def _smaller_first(first: np.ndarray, second: np.ndarray, docs: np.ndarray) -> t
     return order, np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))
 
 
-def _marks(groups: np.ndarray, docs: np.ndarray, hashes: np.ndarray):
+def _dealt(groups: np.ndarray, blocks: int) -> np.ndarray:
+    """A block for the marks of each group, which pass through: all blocks have some."""
+    return (mixed(groups.astype(np.int64).view(np.uint64)) >> np.uint64(65 - blocks.bit_length())).astype(np.int32)
+
+
+def _marks(groups: np.ndarray, docs: np.ndarray, hashes: np.ndarray, blocks: int):
     """Rows for the windows to remove: by group of documents, then document and hash."""
     if not len(docs):
         return
     order = np.lexsort((hashes, docs, groups))
     groups, docs, hashes = groups[order], docs[order], hashes[order]
     bounds = np.append(np.flatnonzero(np.append(True, groups[1:] != groups[:-1])), len(groups))
-    yield {"kind": np.zeros(len(bounds) - 1, np.int32), "block": np.zeros(len(bounds) - 1, np.int32), "group": groups[bounds[:-1]],
+    yield {"kind": np.zeros(len(bounds) - 1, np.int32), "block": _dealt(groups[bounds[:-1]], blocks), "group": groups[bounds[:-1]],
            "first": [packed.pack(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)],
            "second": [None] * (len(bounds) - 1), "groups": [None] * (len(bounds) - 1),
            "docs": [packed.pack_sorted(docs[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]}
@@ -165,25 +174,51 @@ def _marks(groups: np.ndarray, docs: np.ndarray, hashes: np.ndarray):
 _SENT = "kind int, block int, group long, first binary, second binary, docs binary, groups binary"
 
 
+def _sent(held: list[tuple[np.ndarray, ...]], blocks: int):
+    """Of the windows held, those that a smaller document has as marks, the others in a row for each block."""
+    first, second, docs, groups = (np.concatenate(x) for x in zip(*held, strict=True))
+    order, begin = _smaller_first(first, second, docs)
+    first, second, docs, groups = first[order], second[order], docs[order], groups[order].astype(np.int64)
+    own = begin == np.arange(len(order))
+    removed = docs > docs[begin]
+    yield from _marks(groups[removed], docs[removed], first[removed], blocks)
+    first, second, docs, groups = first[own], second[own], docs[own], groups[own]
+    of, bounds = packed.finer_bounds(first, blocks)
+    cut = lambda x, pack=packed.pack: [pack(x[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    yield {"kind": np.ones(len(of), np.int32), "block": of, "group": np.zeros(len(of), np.int64), "first": cut(first, packed.pack_sorted),
+           "second": cut(second), "docs": cut(docs), "groups": cut(groups.astype(np.uint64))}
+
+
+def _windows_of(columns: dict, at: int) -> tuple[np.ndarray, ...]:
+    """The windows of a row: both hashes, documents, groups."""
+    return packed.unpack_sorted(columns["first"][at]), *(packed.unpack(columns[c][at]) for c in ("second", "docs", "groups"))
+
+
+def _divided(blocks: int):
+    """Blocks cut into finer ones, ``blocks`` in all; no block is held whole."""
+    def run(batches):
+        held, number = [], 0
+        for batch in batches:
+            columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+            for at, kind in enumerate(columns["kind"]):
+                if kind == 0:
+                    group = np.array([columns["group"][at]], np.int64)
+                    yield {name: [columns[name][at]] for name in columns} | {"block": _dealt(group, blocks)}
+                    continue
+                held.append(_windows_of(columns, at))
+                number += len(held[-1][0])
+                if number > HELD_WINDOWS:
+                    yield from _sent(held, blocks)
+                    held, number = [], 0
+        if number:
+            yield from _sent(held, blocks)
+    return run
+
+
 def _candidates(bits):
     def run(batches):
         filter_, held, number = packed.opened(bits), [], 0
 
-        def sent():
-            first, second, docs, groups = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, begin = _smaller_first(first, second, docs)
-            first, second, docs, groups = first[order], second[order], docs[order], groups[order]
-            own = begin == np.arange(len(order))
-            removed = docs > docs[begin]
-            yield from _marks(groups[removed], docs[removed], first[removed])
-            first, second, docs, groups = first[own], second[own], docs[own], groups[own]
-            bounds = packed.block_bounds(first)
-            full = np.flatnonzero(np.diff(bounds)).tolist()
-            cut = lambda x: [packed.pack(x[bounds[b]:bounds[b + 1]]) for b in full]
-            yield {"kind": np.ones(len(full), np.int32), "block": np.array(full, np.int32), "group": np.zeros(len(full), np.int64),
-                   "first": [packed.pack_sorted(first[bounds[b]:bounds[b + 1]]) for b in full],
-                   "second": cut(second), "docs": cut(docs), "groups": cut(groups.astype(np.uint64))}
-
         for batch, words, starts, (first, second) in _windows(batches, 2):
             ids = batch.column("doc_id")
             known = ids.is_valid().to_numpy(zero_copy_only=False)
@@ -199,20 +234,25 @@ def _candidates(bits):
             held.append((hashes[once], second[found][once] & np.uint64(0xFFFFFFFFFFFF), docs[owners], groups[owners]))
             number += len(once)
             if number > HELD_WINDOWS:
-                yield from sent()
+                yield from _sent(held, packed.BLOCKS)
                 held, number = [], 0
         if number:
-            yield from sent()
+            yield from _sent(held, packed.BLOCKS)
     return run
 
 
+def exact_blocks(words: int) -> int:
+    """Blocks of the exact step: a power of two, packed.BLOCKS at least."""
+    return max(packed.BLOCKS, 1 << max(0, -(-words // BLOCK_WINDOWS) - 1).bit_length())
+
+
 def _grouped(batches):
     def ready(current, parts):
         first, second, docs, groups = (np.concatenate(x) for x in zip(*parts, strict=True))
         order, begin = _smaller_first(first, second, docs)
         docs, hashes, groups = docs[order], first[order], groups[order].astype(np.int64)
         removed = docs > docs[begin]
-        for row in _marks(groups[removed], docs[removed], hashes[removed]):
+        for row in _marks(groups[removed], docs[removed], hashes[removed], packed.BLOCKS):
             yield {name: row[name] for name in ("group", "first", "docs")}
 
     current, parts = None, []
@@ -226,7 +266,7 @@ def _grouped(batches):
                 yield from ready(current, parts)
                 parts = []
             current = block
-            parts.append((packed.unpack_sorted(columns["first"][at]), *(packed.unpack(columns[c][at]) for c in ("second", "docs", "groups"))))
+            parts.append(_windows_of(columns, at))
     if parts:
         yield from ready(current, parts)
 
@@ -294,7 +334,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     groups = words // GROUP_WORDS + 1
     group = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(groups)).alias("group")
     sent = arrow_map(rows.select("doc_id", "text", group), _candidates(packed.shared(spark, bits)), _SENT)
-    marks = arrow_map(packed.by_block(sent), _grouped, "group long, first binary, docs binary")
+    blocks = exact_blocks(words)
+    if blocks > packed.BLOCKS:
+        sent = arrow_map(packed.by_block(sent), _divided(blocks), _SENT)
+    marks = arrow_map(packed.by_block(sent, blocks), _grouped, "group long, first binary, docs binary")
     sides = (marks.withColumn("kind", F.lit(0))
              .unionByName(rows.select("*", group, F.lit(1).alias("kind")), allowMissingColumns=True)
              .repartition(F.col("group")).sortWithinPartitions("group", "kind"))
