@@ -7,7 +7,7 @@ import pytest
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
-from placewise.llm import cascade, components, contamination, jaccard, lattice, packed, queries, rule_ensemble, substring
+from placewise.llm import cascade, components, contamination, jaccard, lattice, packed, queries, rule_ensemble, substring, texts
 from tests.llm import brute
 from tests.llm.conftest import TRAPS, expected, in_process, passages, rows
 
@@ -129,6 +129,39 @@ def test_a_full_filter_and_small_tasks_change_nothing(traps, monkeypatch):
     assert _digest(traps) == expected(brute.op4(TRAPS))
 
 
+def test_blocks_grow_with_the_words(traps, monkeypatch):
+    assert [substring.exact_blocks(n) for n in (0, 1, 512 << 21, (512 << 21) + 1, 3 << 40)] == [512, 512, 512, 1024, 1 << 21]
+    sent = []
+
+    def here(df, function, schema):
+        if schema.startswith("kind"):
+            found = in_process(df, function, schema)
+            sent.append([r["block"] for r in found.collect()])
+            return found
+        return in_process(df, function, schema)
+
+    monkeypatch.setattr(substring, "arrow_map", here)
+    monkeypatch.setattr(substring, "BLOCK_WINDOWS", 1)
+    monkeypatch.setattr(substring, "HELD_WINDOWS", 300)
+    assert _digest(traps) == expected(brute.op4(TRAPS))
+    words = sum(len(brute.words(t)) for _, t in TRAPS)
+    assert len(sent) == 2 and max(sent[0]) < packed.BLOCKS < max(sent[1]) < substring.exact_blocks(words) < 2 * words
+
+
+def test_marks_are_dealt_to_all_blocks():
+    blocks = substring._dealt(np.arange(5000), packed.BLOCKS)
+    assert 0 <= blocks.min() and blocks.max() < packed.BLOCKS and len(np.unique(blocks)) > 500
+
+
+def test_passages_of_texts_beyond_a_slice(spark):
+    rng = np.random.default_rng(4)
+    text = lambda n: " ".join(map(str, rng.integers(0, 3_000, n)))
+    shared, far = text(40), text(600_000)
+    docs = [(5, f"{far} {shared}"), (1, f"{shared} own"), (3, far[:1_000_000]), (9, f"{text(20)} {shared}\n{far[-900:]}"), (2, "")]
+    assert len(docs[0][1]) > texts.SLICE_BYTES
+    assert _digest(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)) == expected(brute.op4(docs))
+
+
 def test_a_text_that_loses_nothing_stays_and_other_columns_do(spark):
     docs = spark.createDataFrame([(1, "two  spaces\nand a line", "s"), (2, None, None)], "doc_id long, text string, source string")
     assert [(r["text"], r["rest"]["source"]) for r in substring.without_repeats(docs).orderBy("doc_id").collect()] == [("two  spaces\nand a line", "s"), (None, None)]
@@ -168,10 +201,39 @@ def test_items_are_found_as_in_plain_python(spark, traps):
 def test_without_a_broadcast_the_same_items_are_found(spark, traps, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     first = rows(contamination.contaminated(traps, items))
-    monkeypatch.setattr(contamination, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(contamination, "BROADCAST_BYTES", -1)
     assert rows(contamination.contaminated(traps, items)) == first
 
 
+def test_hits_come_in_bounded_rows(spark, traps, monkeypatch):
+    items = spark.createDataFrame([x for x in ITEMS if x[0] is not None], "item_id long, text string")
+    first, sizes = rows(contamination.contaminated(traps, items)), []
+
+    def here(df, function, schema):
+        def run(batches):
+            for found in function(batches):
+                around = found.get("around") or [None]
+                sizes.extend([len(around)] if around[0] is not None else [])
+                yield found
+        return in_process(df, run, schema)
+
+    monkeypatch.setattr(contamination, "arrow_map", here)
+    monkeypatch.setattr(contamination, "HIT_BYTES", 300)
+    assert rows(contamination.contaminated(traps, items)) == first
+    assert len(sizes) > 5 and max(sizes) < 30
+
+
+def test_a_text_that_hits_everywhere_beyond_a_slice(spark):
+    docs = [(1, "One, two three\n" * 90_000), (2, "two three"), (3, None), (None, "x one two three " * 20)]
+    items = [(7, "one two three " * 5), (8, "three x one")]
+    assert len(docs[0][1]) > texts.SLICE_BYTES // 2
+    docs += [(4, docs[0][1] + "x " + docs[0][1])]
+    table = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    found = [(r["doc_id"], r["n_words"], r["n_hit"], len(r["items"]), brute.sha(",".join(r["items"])), r["n_hit"] > 0)
+             for r in contamination.contaminated(table, spark.createDataFrame(items, "item_id long, text string")).collect()]
+    assert expected(found) == expected(brute.op5(docs, items))
+
+
 def test_items_of_empty_tables(spark, traps, none, all_null):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert rows(contamination.contaminated(none, items)) == []

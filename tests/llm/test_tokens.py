@@ -4,7 +4,7 @@ import json
 import random
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -232,6 +232,17 @@ def test_shards_and_windows(monkeypatch):
     assert sum(p[2] for p in pieces) == 106
 
 
+def test_shards_of_empty_texts_and_of_equal_rows_have_an_end(spark, library, monkeypatch):
+    """Empty texts, whole windows without a rest, and rows that are equal in all, without an id too."""
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 4_000)
+    whole = next(t for n in range(1500, 2100) if len(library.encode(t := "word " * n, add_special_tokens=False).ids) % packing.WINDOW == packing.WINDOW - 1)
+    docs = [(None, "")] * 900 + [(i, None) for i in range(300)] + [(7, "equal rows")] * 800 + [(1000 + i, whole) for i in range(700)]
+    found = packing.packed(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), BPE).collect()
+    _check_packing(found, docs, library)
+    shards = Counter((r["sequence_id"] // packing.SHARD_SEQUENCES) for r in found)
+    assert min(shards) >= 0 and max(shards.values()) < 500
+
+
 def test_the_index_ranks_as_bm25():
     docs = [np.array(d) for d in ([1, 1, 2], [2, 3, 3, 3], [1, 4], [5])]
     weight = packing.idf(np.array([0, 2, 2, 1, 1, 1]), 4)
