@@ -63,7 +63,7 @@ def _frequencies(kind: str, size: int):
         counts, documents = np.zeros(size, np.int64), 0
         for batch in batches:
             for ids in batch.column("ids").to_pylist():
-                counts[np.unique(np.frombuffer(ids, kind))] += 1
+                counts[np.frombuffer(ids, kind)] += 1  # once for each token, however often a document has it
             documents += batch.num_rows
         token = np.flatnonzero(counts)
         yield {"token": np.append(token, -1), "n": np.append(counts[token], documents)}
@@ -84,7 +84,7 @@ def _measured(kind: str, weights):
                 token, n = np.unique(ids[whole:], return_counts=True)
                 signs.append(int(token[np.argmax(n * weight[token])]) if len(token) else 0)
             yield {"doc_id": starts, "tokens": list(map(len, ids_of)), "windows": windows, "rest": rests, "sign": signs,
-                   "place": np.arange(number, number + batch.num_rows)}
+                   "size": [len(ids) % WINDOW for ids in ids_of], "place": np.arange(number, number + batch.num_rows)}
             number += batch.num_rows
     return run
 
@@ -216,9 +216,10 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     frequency = np.zeros(size, np.int64)
     frequency[list(counts)] = list(counts.values())
     weights = spark.sparkContext.broadcast(idf(frequency, documents))
-    rows = arrow_map(ids, _measured(kind, weights), "doc_id long, tokens long, windows array<long>, rest binary, sign int, place long")
-    tokens = (F.sum(F.length("rest")) / int(kind[2]) + F.count("*") * ROW_TOKENS).cast("long").alias("n")
-    signs = {r["sign"]: r["n"] for r in rows.groupBy("sign").agg(tokens).collect()}
+    measured = "doc_id long, tokens long, windows array<long>, rest binary, sign int, size long, place long"
+    arrow_map(ids, _measured(kind, weights), measured).write.parquet(f"{folder}/measured")
+    rows = spark.read.schema(measured).parquet(f"{folder}/measured")
+    signs = {r["sign"]: r["n"] for r in rows.groupBy("sign").agg(F.sum(F.col("size") + ROW_TOKENS).alias("n")).collect()}
     places = shards(signs)
     table = spark.createDataFrame([(s, first, parts) for s, (first, parts) in places.items()], "sign int, first long, parts long")
     dealt = rows.join(F.broadcast(table), "sign").withColumn(
