@@ -243,6 +243,13 @@ def test_shards_of_empty_texts_and_of_equal_rows_have_an_end(spark, library, mon
     assert min(shards) >= 0 and max(shards.values()) < 500
 
 
+def test_a_document_counts_once_for_each_of_its_tokens():
+    docs = [np.array(d, "<u2").tobytes() for d in ([1, 1, 2], [2, 3, 3, 3], [], [5])]
+    batches = [pa.record_batch({"ids": pa.array(docs[a:b], pa.binary())}) for a, b in ((0, 2), (2, 4))]
+    (found,) = packing._frequencies("<u2", 6)(batches)
+    assert dict(zip(found["token"].tolist(), found["n"].tolist(), strict=True)) == {1: 1, 2: 2, 3: 1, 5: 1, -1: 4}
+
+
 def test_the_index_ranks_as_bm25():
     docs = [np.array(d) for d in ([1, 1, 2], [2, 3, 3, 3], [1, 4], [5])]
     weight = packing.idf(np.array([0, 2, 2, 1, 1, 1]), 4)
