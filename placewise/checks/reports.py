@@ -143,8 +143,10 @@ def place_vs_profile(spark, sf_dir):
 
 def _joined_rows(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
     placed = tables.posts(spark, sf_dir, "place")
+    # Only the digest of a text is kept, so it is taken before the join: a text is copied to every cell of its author.
     profiled = tables.posts(spark, sf_dir, "text", "author")
-    joined = locations.place_vs_profile(placed, profiled, **limits).withColumn(names.POST_TEXT, F.md5(names.POST_TEXT))
+    profiled = profiled.withColumn("data", F.col("data").withField("text", F.md5("data.text")))
+    joined = locations.place_vs_profile(placed, profiled, **limits)
     return as_json(joined, names.POST_LOCATION, names.USER_LOCATION)
 
 

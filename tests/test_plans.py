@@ -89,3 +89,10 @@ def test_the_spread_join_reads_and_shuffles_each_side_once_beside_its_sketch(spa
 def test_without_heavy_keys_the_join_is_the_plain_one(spark):
     text = plan(REPORTS["place_vs_profile_rows"](spark, SF), "simple")
     assert "_counter" not in text and not re.search(r"hashpartitioning\(.*REPARTITION_BY_NUM", text)
+
+
+def test_texts_are_digested_before_the_spread_join(spark):
+    """Only the digest of a text is kept; the text itself must not be copied into the cells of its author."""
+    text = plan(REPORTS["place_vs_profile_spread"](spark, SF), "simple")
+    physical = text.split("== Physical Plan ==")[-1]
+    assert re.search(r"Join", physical) and physical.index("md5(") > re.search(r"Join", physical).start()
