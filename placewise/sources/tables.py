@@ -67,16 +67,16 @@ def posts(spark: SparkSession, sf_dir: str, *parts: str, events: DataFrame | Non
     if place:
         there = nation.select(F.col("n_nationkey").alias("place_key"), F.col("n_name").alias("place_name"))
         df = df.join(there, F.col("place_key") == F.col("k") % 25, "left")
-    if text:
-        df = spread(df)  # one file of narrow rows, and a long text for each of them
-        documents = table(spark, sf_dir, "documents")
-        count = documents.count()  # a literal keeps the join an equi-join
-        df = df.join(documents.select("doc_id", F.col("text").alias("doc_text")), F.col("doc_id") == F.col("event_id") % count, "left")
     if author:
         home = nation.select(F.col("n_nationkey").alias("home_key"), F.col("n_name").alias("location"))
         customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
         df = (df.join(customer, F.col("c_custkey") == F.col("user_id"), "left")
               .join(home, F.col("home_key") == F.col("c_nationkey"), "left"))
+    if text:  # last: no row with its long text is shuffled again for a join
+        df = spread(df)  # one file of narrow rows, and a long text for each of them
+        documents = table(spark, sf_dir, "documents")
+        count = documents.count()  # a literal keeps the join an equi-join
+        df = df.join(documents.select("doc_id", F.col("text").alias("doc_text")), F.col("doc_id") == F.col("event_id") % count, "left")
 
     user_id = F.col("user_id").cast("string")
     body = F.lit(None).cast("string")

@@ -96,3 +96,16 @@ def test_texts_are_digested_before_the_spread_join(spark):
     text = plan(REPORTS["place_vs_profile_spread"](spark, SF), "simple")
     physical = text.split("== Physical Plan ==")[-1]
     assert re.search(r"Join", physical) and physical.index("md5(") > re.search(r"Join", physical).start()
+
+
+def test_long_texts_join_the_posts_last(spark):
+    """With a customer table too large to broadcast, the author join must not shuffle rows that carry their texts."""
+    from placewise.sources import tables
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        physical = plan(tables.posts(spark, SF, "text", "author", "place"), "simple").split("== Physical Plan ==")[-1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in physical.splitlines() if "Join " in line]
+    assert "doc_id" in joins[0]
