@@ -128,8 +128,13 @@ def rare_letter_pattern(words: Iterable[str]) -> tuple[str | None, list[str]]:
 
 
 def _folded(text: Column) -> Column:
-    """Lower case, and the few other signs that are a letter of ASCII in another case."""
-    return F.lower(F.translate(text, "ſıİ", "sii"))
+    """Lower case, and the few other signs that are a letter of ASCII in another case.
+
+    ``translate`` goes over a text sign by sign and costs twice as much as ``lower``; a byte search for
+    each of the three signs is cheaper, so it is left out for texts that hold none of them.
+    """
+    signs = reduce(Column.__or__, (text.contains(sign) for sign in "ſıİ"))
+    return F.lower(F.when(signs, F.translate(text, "ſıİ", "sii")).otherwise(text))
 
 
 def has_keyword(text: Column | str = "data.text", words: Iterable[str] = POSITIVE_WORDS,

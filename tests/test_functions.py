@@ -148,3 +148,11 @@ def test_keyword_flag_against_contains(spark):
     assert got == [any(w in t for w in POSITIVE_WORDS) for t in texts]
     every = F.exists(F.array(*map(F.lit, POSITIVE_WORDS)), lambda w: F.contains("text", w))
     assert docs.filter(has_keyword("text") != every).count() == 0
+
+
+def test_only_texts_with_the_rare_signs_are_translated(spark):
+    from placewise.functions.keywords import _folded
+    assert "translate" in str(_folded(F.col("t"))) and "CASE WHEN" in str(_folded(F.col("t")))
+    texts = ["PLAIN text", "eaſy ıt İS", "İ", "ſſ", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(_folded(F.col("t"))).collect()] == ["plain text", "easy it is", "i", "ss", "", None]
