@@ -146,8 +146,8 @@ def _joined_rows(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
     # Only the digest of a text is kept, so it is taken before the join: a text is copied to every cell of its author.
     profiled = tables.posts(spark, sf_dir, "text", "author")
     profiled = profiled.withColumn("data", F.col("data").withField("text", F.md5("data.text")))
-    joined = locations.place_vs_profile(placed, profiled, **limits)
-    return as_json(joined, names.POST_LOCATION, names.USER_LOCATION)
+    # Lists become JSON text on each side, once per post, not once per joined row.
+    return locations.place_vs_profile(placed, profiled, as_json=True, **limits)
 
 
 @report

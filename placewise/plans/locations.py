@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewise import names
@@ -29,19 +29,23 @@ def by_location(posts: DataFrame, each_user: bool = False) -> DataFrame:
 
 
 def place_vs_profile(placed: DataFrame, profiled: DataFrame, strict: bool = False,
-                     spread: bool = True, **limits: int) -> DataFrame:
+                     spread: bool = True, as_json: bool = False, **limits: int) -> DataFrame:
     """Every placed post of an author with every post that shows the author's profile location.
 
     Columns ``ID, Created, Location_Per_Tweet, Tweet_Content, Location_Per_User``. The
     result holds the product of both sides for each author, so heavy authors are spread
-    over many tasks; ``limits`` are those of ``spread_join``.
+    over many tasks; ``limits`` are those of ``spread_join``. ``as_json`` gives both lists as
+    JSON text, written once per post before the join rather than once per row after it.
     """
+    def listed(column: Column) -> Column:
+        return F.to_json(column) if as_json else column
+
     t1 = placed.filter(fields.has_place()).select(
         F.col("data.author_id").alias(names.ID), F.col("data.created_at").alias(names.CREATED),
-        F.col(fields.PLACES).alias(names.POST_LOCATION), F.col("data.id").alias("post1"))
+        listed(F.col(fields.PLACES)).alias(names.POST_LOCATION), F.col("data.id").alias("post1"))
     t2 = profiled.filter(fields.has_profile_location(strict)).select(
         F.col("data.author_id").alias(names.ID), F.col("data.text").alias(names.POST_TEXT),
-        fields.user_locations().alias(names.USER_LOCATION), F.col("data.id").alias("post2"))
+        listed(fields.user_locations()).alias(names.USER_LOCATION), F.col("data.id").alias("post2"))
     if spread:
         joined = spread_join(t1, t2, names.ID, F.col("post1"), F.col("post2"), **limits)
     else:

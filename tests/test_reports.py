@@ -127,6 +127,18 @@ def test_many_to_many_join(spark):
     assert as_dict(locations.place_vs_profile_counts(df, df), "place", "location", "n") == {"P": ("L", 6)}
 
 
+def test_joined_lists_are_json_before_the_join(spark):
+    posts = [post(str(i), f"t{i}", "a", places=["P"]) for i in range(2)]
+    posts += [post(str(i), f"t{i}", "a", users=[("u", "L"), ("v", None)]) for i in range(2, 5)]
+    df = from_dicts(spark, posts)
+    lists = (names.POST_LOCATION, names.USER_LOCATION)
+    plain = locations.place_vs_profile(df, df, spread=False)
+    texts = locations.place_vs_profile(df, df, spread=False, as_json=True)
+    assert sorted(texts.collect()) == sorted(plain.withColumns({c: F.to_json(c) for c in lists}).collect())
+    plan = texts._jdf.queryExecution().analyzed().toString()
+    assert plan.rindex("to_json") > plan.index("Join")  # only below the join, once per post
+
+
 def from_dicts(spark, posts):
     rows = [((p["data"]["id"], p["data"]["text"], p["data"]["author_id"], p["data"]["created_at"], p["data"]["source"]),
              None if "includes" not in p else
