@@ -16,7 +16,7 @@ from placewise import names
 from placewise.checks.oracle import ADDED_WORDS
 from placewise.functions import fields
 from placewise.functions.handles import last_handle
-from placewise.functions.keywords import POSITIVE_WORDS
+from placewise.functions.keywords import POSITIVE_WORDS, has_keyword_in_batches
 from placewise.operators.counting import ranked
 from placewise.operators.enriching import enrich_gender
 from placewise.plans import devices, feeds, genders, handles, hours, locations
@@ -398,7 +398,7 @@ def stream_hourly(spark, sf_dir):
 
 @report
 def stream_positive(spark, sf_dir):
-    return _replaced(spark, "positive", hours.positive_counts(_stream(spark, sf_dir, "text")))
+    return _replaced(spark, "positive", hours.positive_counts(_stream(spark, sf_dir, "text"), search=has_keyword_in_batches))
 
 
 @report

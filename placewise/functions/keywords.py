@@ -6,6 +6,8 @@ import re
 from collections.abc import Iterable
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -156,3 +158,30 @@ def has_keyword(text: Column | str = "data.text", words: Iterable[str] = POSITIV
     if not words:
         raise ValueError("keywords must be a list of non-empty words")
     return reduce(Column.__or__, ([text.rlike(pattern)] if pattern else []) + found)
+
+
+def _escaped(word: str) -> str:
+    """A word as a pattern of RE2: ASCII letters and digits as they are, every other sign by its code point."""
+    return "".join(char if char.isascii() and char.isalnum() else f"\\x{{{ord(char):x}}}" for char in word)
+
+
+def has_keyword_in_batches(text: Column | str = "data.text", words: Iterable[str] = POSITIVE_WORDS,
+                           ignore_case: bool = False, whole_word: bool = False) -> Column:
+    """``has_keyword`` with the same results, searched in Arrow batches by one automaton instead of Java's matcher.
+
+    ``rlike`` tries its pattern anew at each sign of a text; RE2 reads each byte once. Its plan holds
+    Python, so it is for streams; whole words and the other case folds are left to ``has_keyword``.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    words = list(words)
+    if not words or "" in words:
+        raise ValueError("keywords must be a list of non-empty words")
+    if whole_word or ignore_case and not all(word.isascii() and word.islower() for word in words if word.lower() != word.upper()):
+        return has_keyword(text, words, ignore_case, whole_word)
+    pattern = "|".join(map(_escaped, sorted(set(words))))
+
+    @F.arrow_udf("boolean")
+    def found(texts: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(texts, pattern)
+
+    return found(_folded(text) if ignore_case else text)

@@ -156,3 +156,18 @@ def test_only_texts_with_the_rare_signs_are_translated(spark):
     texts = ["PLAIN text", "eaſy ıt İS", "İ", "ſſ", "", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(_folded(F.col("t"))).collect()] == ["plain text", "easy it is", "i", "ss", "", None]
+
+
+def test_the_search_in_batches_flags_as_the_pattern_does(spark, traps):
+    from placewise.functions.keywords import has_keyword_in_batches
+    from placewise.plans import hours
+    texts = ["a champion", "champions", "x.y", "xzy", "so ❤!", "fun😍", "😂", "FUN", "eaſy", "faİr", "FAıR",
+             "LUCKY", "funeral", "honest", "a[b", "", None] + [w[::-1] for w in POSITIVE_WORDS]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for words in (POSITIVE_WORDS, ["x.y", "❤", "[", "a\\b"]):
+        for options in ({}, {"ignore_case": True}, {"whole_word": True}):
+            flags = [tuple(r) for r in df.select(has_keyword_in_batches("t", words, **options), has_keyword("t", words, **options)).collect()]
+            assert [mine for mine, _ in flags] == [theirs for _, theirs in flags]
+    counts = hours.positive_counts(traps, search=has_keyword_in_batches)
+    assert "RLIKE" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(repr, counts.collect())) == sorted(map(repr, hours.positive_counts(traps).collect()))
