@@ -23,7 +23,7 @@ from placewise.plans import devices, feeds, genders, handles, hours, locations
 from placewise.session import work_folder
 from placewise.sources import tables
 from placewise.sources.drift import schema_drift
-from placewise.sources.landing import land_posts, land_stream
+from placewise.sources.landing import COMPRESSION, land_posts, land_stream
 from placewise.sources.posts import LINES, NO_POSTS, lines_by_batch, read_gender_records, read_posts, stream_gender_records, stream_posts
 from placewise.streaming import reports as live
 from placewise.streaming.sinks import FEW_KEYS, append_files, landed_batches, last_batch, latest, replace_table
@@ -410,7 +410,7 @@ def stream_handles(spark, sf_dir):
 @report
 def stream_landed_posts(spark, sf_dir):
     out = work_folder(spark, "posts")
-    _finish(land_stream(_stream(spark, sf_dir, "text", "author", "place"), f"{out}/posts", f"{out}/checkpoint"))
+    _finish(land_stream(_stream(spark, sf_dir, "text", "author", "place"), f"{out}/posts", f"{out}/checkpoint", compression=COMPRESSION))
     return _landed(read_posts(spark, f"{out}/posts"))
 
 

@@ -1,10 +1,13 @@
+import gzip
+
 import pytest
 from pyspark.errors import IllegalArgumentException
 from pyspark.sql import types as T
 
 from conftest import TRAPS, post, write_lines
+from placewise.checks.reports import REPORTS
 from placewise.plans import feeds
-from placewise.sources import landing
+from placewise.sources import landing, tables
 from placewise.sources.posts import infer_schema, read_gender_records, read_posts, stream_posts
 from placewise.sources.schemas import POST, post_schema
 
@@ -87,6 +90,63 @@ def test_landing_a_stream(spark, traps_dir, tmp_path):
     assert read_posts(spark, str(tmp_path / "out")).count() == len(TRAPS)
 
 
+def words(spark, seed):
+    """Posts of invented words that don't repeat as a whole."""
+    return spark.range(2000).repartition(1).selectExpr(
+        f"named_struct('id', cast(id as string), 'text', concat_ws(' ', transform(sequence(1, 60), i -> hex(xxhash64(id, i, {seed}) % 3000)))) AS data")
+
+
+def landed_bytes(out):
+    """Bytes of the compressed files, and those of their lines at the default level."""
+    files = list(out.glob("*.json.gz"))
+    assert files and not list(out.glob("*.json"))
+    return sum(f.stat().st_size for f in files), sum(len(gzip.compress(gzip.decompress(f.read_bytes()), 6)) for f in files)
+
+
+def test_a_stream_lands_compressed_files_of_bounded_rows(spark, tmp_path):
+    level = spark.conf.get("zlib.compress.level", None)
+    words(spark, 1).write.parquet(str(tmp_path / "in"))
+    posts = stream_posts(spark, str(tmp_path / "in"), "data.text", format="parquet")
+    landing.land_stream(posts, str(tmp_path / "out"), str(tmp_path / "cp"), rows_per_file=700, compression="gzip").awaitTermination(120)
+    assert spark.conf.get("zlib.compress.level", None) == level
+    assert sorted(len(gzip.decompress(f.read_bytes()).splitlines()) for f in (tmp_path / "out").glob("*.json.gz")) == [600, 700, 700]
+    back = read_posts(spark, str(tmp_path / "out"), "data.text")
+    assert back.count() == 2000 and back.select("data.*").exceptAll(words(spark, 1).select("data.*")).count() == 0
+    fast, usual = landed_bytes(tmp_path / "out")
+    assert fast > usual * 1.02
+
+
+TEXTS = ["two\nlines \u2028 \"quoted\" \\ é \U0001f600", "", None]
+
+
+@pytest.fixture(scope="module")
+def small_tables(spark, tmp_path_factory):
+    """Seven events over three documents; of two customers only one is known."""
+    out = str(tmp_path_factory.mktemp("tables"))
+    events = spark.range(7).selectExpr("id AS event_id", "timestamp_ntz'2024-01-15 10:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "id % 2 AS user_id",
+                                       "'click' AS event_type", "0.5D AS value", "concat('{\"k\":', id, '}') AS props")
+    documents = spark.createDataFrame([(i, t, "en", "web", 1) for i, t in enumerate(TEXTS)], tables.SCHEMAS["documents"])
+    customer = spark.createDataFrame([(1, "Ann", 3, 0.5, "BUILDING")], tables.SCHEMAS["customer"])
+    nation = spark.createDataFrame([(0, "ALGERIA", 0), (3, "CANADA", 1), (6, "FRANCE", 3)], tables.SCHEMAS["nation"])
+    for name, df in (("events", events), ("documents", documents), ("customer", customer), ("nation", nation)):
+        df.coalesce(1).write.parquet(f"{out}/{name}.parquet")
+    return out
+
+
+def check_landed(spark, small_tables, name):
+    """Every post comes back with its whole text, from compressed files alone."""
+    text = [t if t is None or i % 4 else f"RT @user{i % 2} {t}" for i, t in ((i, TEXTS[i % 3]) for i in range(7))]
+    place = {0: "ALGERIA", 3: "CANADA", 6: "FRANCE"}
+    want = [(str(i), str(i % 2), f"2024-01-15T10:00:0{i}.000000Z", "click", text[i], place.get(i), *(("Ann", "CANADA") if i % 2 else (None, None))) for i in range(7)]
+    got = REPORTS[name](spark, small_tables)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == want
+    assert got.inputFiles() and all(f.endswith(".json.gz") for f in got.inputFiles())
+
+
+def test_streamed_posts_stay_whole_in_compressed_files(spark, small_tables):
+    check_landed(spark, small_tables, "stream_landed_posts")
+
+
 def test_ids_and_times_are_strings():
     assert {f.dataType for f in POST["data"].dataType} == {T.StringType()}
 
