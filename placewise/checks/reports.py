@@ -219,7 +219,7 @@ def _landed(posts: DataFrame) -> DataFrame:
 def landed_posts(spark, sf_dir):
     """Lands the posts as JSON files and reads them back."""
     out = work_folder(spark, "posts")
-    land_posts(tables.posts(spark, sf_dir, "text", "author", "place"), out)
+    land_posts(tables.posts(spark, sf_dir, "text", "author", "place"), out, compression=COMPRESSION)
     return _landed(read_posts(spark, out))
 
 

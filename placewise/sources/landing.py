@@ -34,13 +34,17 @@ def _fastest(spark: SparkSession) -> Iterator[None]:
 
 
 def land_posts(df: DataFrame, out: str, rows_per_file: int = ROWS_PER_FILE, format: str = "json",
-               mode: str = "append", partition_by: tuple[str, ...] = ()) -> None:
+               mode: str = "append", partition_by: tuple[str, ...] = (), compression: str | None = None) -> None:
     """Write posts as files of at most ``rows_per_file`` rows, without a shuffle.
 
     ``format="text"`` lands a one-column table of raw lines. Use a much larger
-    ``rows_per_file`` for big feeds: small files cost every later scan.
+    ``rows_per_file`` for big feeds: small files cost every later scan. ``compression``
+    is the format's own by default (none for JSON lines and text). Readers tell it by the file
+    name; one task reads a whole gzip file, so keep ``rows_per_file`` bounded.
     """
     writer = df.write.format(format).mode(mode).option("maxRecordsPerFile", rows_per_file)
+    if compression:
+        writer = writer.option("compression", compression).option(_LEVEL, _FASTEST)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(out)

@@ -116,6 +116,15 @@ def test_a_stream_lands_compressed_files_of_bounded_rows(spark, tmp_path):
     assert fast > usual * 1.02
 
 
+def test_compressed_landing_bounds_rows_per_file_and_reads_back(spark, tmp_path):
+    landing.land_posts(words(spark, 2), str(tmp_path / "out"), rows_per_file=700, compression="gzip")
+    assert sorted(len(gzip.decompress(f.read_bytes()).splitlines()) for f in (tmp_path / "out").glob("*.json.gz")) == [600, 700, 700]
+    back = read_posts(spark, str(tmp_path / "out"), "data.text")
+    assert back.count() == 2000 and back.select("data.*").exceptAll(words(spark, 2).select("data.*")).count() == 0
+    fast, usual = landed_bytes(tmp_path / "out")
+    assert fast > usual * 1.02
+
+
 TEXTS = ["two\nlines \u2028 \"quoted\" \\ é \U0001f600", "", None]
 
 
@@ -147,6 +156,10 @@ def test_streamed_posts_stay_whole_in_compressed_files(spark, small_tables):
     check_landed(spark, small_tables, "stream_landed_posts")
 
 
+def test_landed_posts_stay_whole_in_compressed_files(spark, small_tables):
+    check_landed(spark, small_tables, "landed_posts")
+
+
 def test_ids_and_times_are_strings():
     assert {f.dataType for f in POST["data"].dataType} == {T.StringType()}
 
