@@ -8,7 +8,7 @@ from conftest import TRAPS, post, write_lines
 from placewise.checks.reports import REPORTS
 from placewise.plans import feeds
 from placewise.sources import landing, tables
-from placewise.sources.posts import infer_schema, read_gender_records, read_posts, stream_posts
+from placewise.sources.posts import infer_schema, read_gender_records, read_posts, stream_posts, torn_lines
 from placewise.sources.schemas import POST, post_schema
 
 
